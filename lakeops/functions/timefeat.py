@@ -23,6 +23,16 @@ def epoch_seconds(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("long")
 
 
+def epoch_micros(df: DataFrame, col: str) -> Column:
+    """Microseconds since 1970-01-01 (exact order key for either timestamp type)."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(F.col(col))
+    return F.unix_micros(F.col(col).cast("timestamp"))
+
+
 # The three cycles used by the time features (days per week,
 # days per month, hours per day).
 CYCLES = (("day_of_week", 7), ("day_of_month", 30), ("hour", 24))

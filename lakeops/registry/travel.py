@@ -48,8 +48,7 @@ def rolling_count_7d(spark, sf_dir):
     return out.select("event_id", "user_id", "ts", "rows_7d")
 
 
-USER_FEATURES_SQL = f"""
-WITH {TRAVEL_CTE}
+USER_FEAT_BODY = f"""
 SELECT user_id, ts,
   round(sum(price) OVER {_W7} / count(*) OVER {_W7}, 6) AS mean_price_7d,
   CAST(sum(CAST(purchased AS INTEGER)) OVER (PARTITION BY user_id ORDER BY {_SEC}
@@ -57,21 +56,21 @@ SELECT user_id, ts,
   user_longitude, user_latitude, {_CYCLIC_SQL}
 FROM travel
 """
+DEST_FEAT_BODY = f"""
+SELECT destination_id, ts,
+  CAST(sum(CAST(clicked AS INTEGER)) OVER w AS BIGINT) AS sum_clicks_7d,
+  count(*) OVER w AS sum_impressions_7d
+FROM travel
+WINDOW w AS (PARTITION BY destination_id ORDER BY {_SEC} RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW)
+"""
 
 
-@query("user_features", USER_FEATURES_SQL)
+@query("user_features", f"WITH {TRAVEL_CTE} {USER_FEAT_BODY}")
 def user_features_q(spark, sf_dir):
     return round_floats(user_features(travel_log(spark, sf_dir)))
 
 
-@query("destination_features", f"""
-WITH {TRAVEL_CTE}
-SELECT destination_id, ts,
-  CAST(sum(CAST(clicked AS INTEGER)) OVER w AS BIGINT) AS sum_clicks_7d,
-  count(*) OVER w AS sum_impressions_7d
-FROM travel
-WINDOW w AS (PARTITION BY destination_id ORDER BY {_SEC} RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW)
-""")
+@query("destination_features", f"WITH {TRAVEL_CTE} {DEST_FEAT_BODY}")
 def destination_features_q(spark, sf_dir):
     return destination_features(travel_log(spark, sf_dir))
 
