@@ -56,3 +56,18 @@ def cyclic_time_columns(ts: str = "ts") -> dict[str, Column]:
 def add_cyclic_time_features(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Adds the six cyclic columns in one projection (no pandas round trip)."""
     return df.withColumns(cyclic_time_columns(ts))
+
+
+def as_instant(df: DataFrame, col: str) -> Column:
+    """TIMESTAMP_NTZ wall clock read as UTC instant (TIMESTAMP), independent of
+    the session time zone; event-time windows and watermarks need TIMESTAMP."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, TimestampNTZType):
+        return F.timestamp_micros(epoch_micros(df, col))
+    return F.col(col)
+
+
+def as_wall_clock(c: Column) -> Column:
+    """TIMESTAMP instant -> TIMESTAMP_NTZ in UTC (inverse of ``as_instant``)."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c),
+                           F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
