@@ -17,17 +17,26 @@ def epoch_seconds(df: DataFrame, col: str) -> Column:
     """
     dtype = df.schema[col].dataType
     if isinstance(dtype, TimestampNTZType):
-        return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+        return _ntz_minutes(col) * 60 + F.second(F.col(col)).cast("long")
     if isinstance(dtype, TimestampType):
         return F.unix_seconds(F.col(col))
     return F.col(col).cast("long")
 
 
+def _ntz_minutes(col: str) -> Column:
+    """Whole minutes since the epoch of an NTZ wall clock, from calendar fields
+    only (no time zone, so no daylight-saving shifts)."""
+    c = F.col(col)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 1440 + F.hour(c).cast("long") * 60 + F.minute(c).cast("long")
+
+
 def epoch_micros(df: DataFrame, col: str) -> Column:
     """Microseconds since 1970-01-01 (exact order key for either timestamp type)."""
     dtype = df.schema[col].dataType
     if isinstance(dtype, TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+        micros_in_minute = (F.expr(f"date_part('SECOND', `{col}`)") * 1000000).cast("long")
+        return _ntz_minutes(col) * 60000000 + micros_in_minute
     if isinstance(dtype, TimestampType):
         return F.unix_micros(F.col(col))
     return F.unix_micros(F.col(col).cast("timestamp"))

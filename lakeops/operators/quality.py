@@ -47,9 +47,9 @@ def apply_expectations(df: DataFrame, expectations: list[Expectation],
         if e.action == "drop":
             out = out.filter(e.holds())
         elif e.action == "fail":
-            out = out.withColumn(
-                "__check", F.when(~e.holds(), F.raise_error(F.lit(f"expectation {e.name} violated"))))
-            out = out.drop("__check")
+            # a filter, not a dropped column: the optimizer cannot prune it away
+            out = out.filter(F.when(~e.holds(), F.raise_error(F.lit(f"expectation {e.name} violated")))
+                             .otherwise(F.lit(True)))
         elif e.action != "keep":
             raise ValueError(f"unknown action {e.action}")
     return out, obs

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import IntegerType
 
 
 def previous_sales_expr(current: str | Column, pct: str | Column) -> Column:
@@ -21,7 +22,7 @@ def previous_sales_expr(current: str | Column, pct: str | Column) -> Column:
     return F.try_divide(cur.cast("double"), 1 + p / 100).cast("int")
 
 
-@pandas_udf("int")
+@pandas_udf(IntegerType())
 def previous_sales_pandas(current: pd.Series, pct: pd.Series) -> pd.Series:
     prev = current.astype("float64") / (1.0 + pct.astype("float64") / 100.0)
     prev = prev.where(np.isfinite(prev))        # a -100 % change has no previous value
