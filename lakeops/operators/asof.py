@@ -12,10 +12,11 @@ Spark has no as-of join type.  The plain form (union both sides, then
 ``last(ignorenulls)`` over ``partitionBy(key).orderBy(ts)``) puts every row of
 a key into one task.  We partition by ``(key, time bucket)`` instead:
 
-1. per (key, bucket) the last feature row of the bucket (a hash aggregate with
-   map-side combine; output size keys x buckets, independent of row counts);
-2. per (key, label bucket) the "carry-in": the last of those from any earlier
-   bucket (a window over the small summary, ordered by bucket);
+1. per (key, bucket) the last feature row of the bucket and whether labels
+   fall into it (one hash aggregate with map-side combine; output size
+   keys x buckets, independent of row counts);
+2. per (key, label bucket) the "carry-in": the last feature row of any
+   earlier bucket (a window over the small summary, ordered by bucket);
 3. the carry-in enters its bucket as a synthetic feature row that sorts first,
    and one window over ``(key, bucket)`` ordered by time picks the match.
 
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.timefeat import epoch_micros
@@ -51,51 +52,69 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str],
               right_keys: list[str] | None = None,
               bucket_seconds: int = DAY_SECONDS) -> DataFrame:
     """Left rows plus the as-of matched feature columns of ``right``."""
+    return asof_by_position(left, right, keys, epoch_micros(left, left_ts),
+                            epoch_micros(right, right_ts), features=features,
+                            right_keys=right_keys, exclude=[right_ts],
+                            bucket_width=int(bucket_seconds) * 1_000_000)
+
+
+def asof_by_position(left: DataFrame, right: DataFrame, keys: list[str], left_pos: Column,
+                     right_pos: Column, features: list[str] | None = None,
+                     right_keys: list[str] | None = None, exclude: list[str] | None = None,
+                     bucket_width: int = DAY_SECONDS * 1_000_000) -> DataFrame:
+    """As-of join on integral positions (times in any unit, sequence numbers):
+    for each left row the right row of the same key with the greatest
+    position <= the left row's position."""
     right_keys = right_keys or keys
-    names = _feature_names(right, right_keys, right_ts, features)
+    skip = set(right_keys) | set(exclude or [])
+    names = list(features) if features else [c for c in right.columns if c not in skip]
+    missing = [c for c in names if c not in right.columns]
+    if missing:
+        raise ValueError(f"unknown feature columns {missing}")
     clash = sorted(set(names) & set(left.columns))
     if clash:
         raise ValueError(f"feature columns already in the label frame: {clash}")
-    bucket_us = int(bucket_seconds) * 1_000_000
+    width = F.lit(int(bucket_width))
     kcols = [f"__k{i}" for i in range(len(keys))]
 
     lab = left.select(
         *[F.col(k).alias(c) for k, c in zip(keys, kcols)],
-        epoch_micros(left, left_ts).alias("__us"),
-        F.struct(*[F.col(c) for c in left.columns]).alias("__l"),
-    ).withColumn("__b", F.floor(F.col("__us") / F.lit(bucket_us)))
+        left_pos.cast("long").alias("__us"),
+        F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("__l"),
+    ).withColumn("__b", F.floor(F.col("__us") / width))
 
     feat = right.select(
         *[F.col(k).alias(c) for k, c in zip(right_keys, kcols)],
-        epoch_micros(right, right_ts).alias("__us"),
-        F.struct(*[F.col(c) for c in names]).alias("__f"),
+        right_pos.cast("long").alias("__us"),
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("__f"),
     )
     feat = feat.filter(F.col("__us").isNotNull())
     for c in kcols:
         feat = feat.filter(F.col(c).isNotNull())
-    feat = feat.withColumn("__b", F.floor(F.col("__us") / F.lit(bucket_us)))
+    feat = feat.withColumn("__b", F.floor(F.col("__us") / width))
 
     f_type = feat.schema["__f"].dataType
     l_type = lab.schema["__l"].dataType
+    null_l = F.lit(None).cast(l_type)
+    null_f = F.lit(None).cast(f_type)
 
-    # 1. last feature row of each (key, bucket)
-    last_in_bucket = (feat.groupBy(*kcols, "__b")
-                      .agg(F.max_by("__f", "__us").alias("__f"))
-                      .withColumn("__is_feat", F.lit(True)))
-    # 2. carry-in for every bucket that holds labels: strictly earlier buckets
-    label_buckets = (lab.select(*kcols, "__b").distinct()
-                     .withColumn("__f", F.lit(None).cast(f_type))
-                     .withColumn("__is_feat", F.lit(False)))
-    w_carry = (Window.partitionBy(*kcols).orderBy("__b", "__is_feat")
+    # 1. per (key, bucket): the bucket's last feature row, and whether labels
+    #    fall into it (one aggregation over both sides; partial per task)
+    summary = (feat.select(*kcols, "__b", "__us", "__f", F.lit(False).alias("__has_lab"))
+               .unionByName(lab.select(*kcols, "__b", F.lit(None).cast("long").alias("__us"),
+                                       F.lit(None).cast(f_type).alias("__f"),
+                                       F.lit(True).alias("__has_lab")))
+               .groupBy(*kcols, "__b")
+               .agg(F.max_by("__f", "__us").alias("__f"), F.max("__has_lab").alias("__has_lab")))
+    # 2. carry-in for buckets holding labels: the last feature of any earlier
+    #    bucket (a window over the keys x buckets summary)
+    w_carry = (Window.partitionBy(*kcols).orderBy("__b")
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (last_in_bucket.unionByName(label_buckets)
-             .withColumn("__carry", F.last("__f", ignorenulls=True).over(w_carry))
-             .filter(~F.col("__is_feat") & F.col("__carry").isNotNull())
+    carry = (summary.withColumn("__carry", F.last("__f", ignorenulls=True).over(w_carry))
+             .filter(F.col("__has_lab") & F.col("__carry").isNotNull())
              .select(*kcols, "__b", F.col("__carry").alias("__f")))
 
     # 3. one window per (key, bucket): carry row first, features before labels
-    null_l = F.lit(None).cast(l_type)
-    null_f = F.lit(None).cast(f_type)
     rows = (
         feat.select(*kcols, "__b", "__us", F.lit(0).alias("__side"), null_l.alias("__l"), "__f")
         .unionByName(lab.select(*kcols, "__b", "__us", F.lit(1).alias("__side"), "__l",

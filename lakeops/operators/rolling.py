@@ -6,8 +6,21 @@ the same second are peers and all share one result (Spark RANGE semantics).
 Scale design
 ------------
 ``Window.partitionBy(key)`` sends every row of a key to one task; a key that
-holds a third of all rows would then run in a single task.  We partition by
-``(key, time bucket)`` instead.  A row belongs to bucket ``floor(sec / B)``;
+holds a third of all rows would then run in a single task.  Two exact
+strategies avoid that:
+
+**prefix** (sums and counts, the default for them).  Rows are first reduced
+to one row per distinct (key, second) — a partial aggregate, so duplicates of
+a hot key collapse map-side.  Running totals are computed per (key, day),
+where a group can never exceed 86,400 rows however hot the key, and each day
+adds the carried total of all earlier days (a window over the small
+key x day table).  A frame's value is then ``P(sec - upper) - P(sec - lower - 1)``
+where the lower edge is found with the bucketed as-of join.  Results are joined
+back to the rows on (key, second).  Fractional sums run in DECIMAL(38,12) so
+the difference of two large running totals loses nothing (|values| < 1e26;
+NaN and infinities count as NULL).
+
+**halo** (any aggregate).  We partition by ``(key, time bucket)``.  A row belongs to bucket ``floor(sec / B)``;
 because a frame only looks back ``W = max(lower)`` seconds, the rows of the
 last ``W`` seconds of a bucket are also copied ("halo") into the following
 buckets.  Each output row is computed inside its own bucket, where the halo
@@ -23,31 +36,67 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, DateType, DecimalType, FractionalType,
+                               IntegralType, StringType, TimestampNTZType, TimestampType)
+
+from lakeops.operators.asof import asof_by_position
+
+DAY = 86400
+EXACT_DECIMAL = DecimalType(38, 12)
 
 
 @dataclass(frozen=True)
 class Frame:
-    """One rolling aggregate: ``name = agg`` over ``[sec-lower, sec-upper]``."""
+    """One rolling aggregate: ``name = agg`` over ``[sec-lower, sec-upper]``.
+
+    ``kind``/``column`` mark invertible aggregates (``sum``, ``count``,
+    ``count_all``) that the prefix strategy can compute; use the
+    ``sum_frame``/``count_frame`` constructors for those.
+    """
 
     name: str
     agg: Column
     lower: int
     upper: int = 0
+    kind: str | None = None
+    column: str | None = None
+
+
+def sum_frame(name: str, column: str, lower: int, upper: int = 0) -> Frame:
+    return Frame(name, F.sum(column), lower, upper, "sum", column)
+
+
+def count_frame(name: str, lower: int, upper: int = 0, column: str | None = None) -> Frame:
+    if column is None:
+        return Frame(name, F.count(F.lit(1)), lower, upper, "count_all", None)
+    return Frame(name, F.count(column), lower, upper, "count", column)
 
 
 def rolling_aggregate(df: DataFrame, keys: list[str], seconds_col: str,
-                      frames: list[Frame], bucket_seconds: int | None = None) -> DataFrame:
+                      frames: list[Frame], bucket_seconds: int | None = None,
+                      strategy: str = "auto") -> DataFrame:
     """Adds one column per frame; one output row per input row.
 
     ``seconds_col`` must be an integral epoch-seconds column.  Rows with a NULL
     key form their own partition, as in a plain ``partitionBy``; rows with a
-    NULL time get NULL-time peers only.
+    NULL time get NULL-time peers only.  ``strategy``: ``prefix`` (sums and
+    counts only), ``halo``, or ``auto`` (prefix when every frame allows it).
     """
     if not frames:
         return df
-    reach = max(f.lower for f in frames)
     if any(f.lower < 0 or f.upper < 0 or f.upper > f.lower for f in frames):
         raise ValueError("frames must look back: 0 <= upper <= lower")
+    invertible = all(f.kind in ("sum", "count", "count_all") for f in frames)
+    if strategy == "prefix" or (strategy == "auto" and invertible):
+        if not invertible:
+            raise ValueError("prefix strategy needs sum/count frames")
+        return _rolling_prefix(df, keys, seconds_col, frames, bucket_seconds or DAY)
+    return _rolling_halo(df, keys, seconds_col, frames, bucket_seconds)
+
+
+def _rolling_halo(df: DataFrame, keys: list[str], seconds_col: str,
+                  frames: list[Frame], bucket_seconds: int | None) -> DataFrame:
+    reach = max(f.lower for f in frames)
     bucket = int(bucket_seconds or max(4 * reach, 86400))
     sec = F.col(seconds_col)
     own = F.floor(sec / F.lit(bucket))
@@ -75,3 +124,110 @@ def rolling_aggregate_plain(df: DataFrame, keys: list[str], seconds_col: str,
     return df.select(*df.columns,
                      *[f.agg.over(w.rangeBetween(-f.lower, -f.upper)).alias(f.name)
                        for f in frames])
+
+
+def _null_safe_key(df: DataFrame, k: str, i: int) -> list[Column]:
+    """A NULL key is its own group: (is_null flag, value or a type default)."""
+    t = df.schema[k].dataType
+    if isinstance(t, StringType):
+        default = F.lit("")
+    elif isinstance(t, BooleanType):
+        default = F.lit(False)
+    elif isinstance(t, (DateType, TimestampType, TimestampNTZType)):
+        default = F.lit("1970-01-01").cast(t)
+    else:
+        default = F.lit(0).cast(t)
+    return [F.col(k).isNull().alias(f"__kn{i}"), F.coalesce(F.col(k), default).alias(f"__kv{i}")]
+
+
+def _measure(df: DataFrame, f: Frame, j: int) -> list[Column]:
+    """Per (key, second) partial measures of one frame."""
+    if f.kind == "count_all":
+        return [F.count(F.lit(1)).alias(f"__n{j}")]
+    if f.kind == "count":
+        return [F.count(f.column).alias(f"__n{j}")]
+    t = df.schema[f.column].dataType
+    if isinstance(t, IntegralType):
+        v = F.col(f.column).cast("long")
+    elif isinstance(t, DecimalType):
+        v = F.col(f.column)
+    else:
+        v = F.col(f.column).try_cast(EXACT_DECIMAL)
+    return [F.sum(v).alias(f"__s{j}"), F.count(v).alias(f"__n{j}")]
+
+
+def _rolling_prefix(df: DataFrame, keys: list[str], seconds_col: str, frames: list[Frame],
+                    bucket: int) -> DataFrame:
+    kcols = [c for i, k in enumerate(keys) for c in (f"__kn{i}", f"__kv{i}")]
+    staged = df.select("*", *[c for i, k in enumerate(keys) for c in _null_safe_key(df, k, i)])
+    sec = F.col(seconds_col)
+    measures = [c for j, f in enumerate(frames) for c in _measure(df, f, j)]
+    mcols = [m for j, f in enumerate(frames)
+             for m in ([f"__s{j}"] if f.kind == "sum" else []) + [f"__n{j}"]]
+
+    # 1. one row per (key, second); NULL seconds form their own peer group
+    per_sec = staged.groupBy(*kcols, sec.alias("__sec")).agg(*measures)
+    timed = per_sec.filter(F.col("__sec").isNotNull()) \
+        .withColumn("__b", F.floor(F.col("__sec") / F.lit(bucket)))
+
+    # 2. running totals per (key, day) plus the carried totals of earlier days
+    w_in = (Window.partitionBy(*kcols, "__b").orderBy("__sec")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    running = timed.select(*kcols, "__b", "__sec", *mcols,
+                           *[F.sum(m).over(w_in).alias(f"__r{m}") for m in mcols])
+    totals = timed.groupBy(*kcols, "__b").agg(*[F.sum(m).alias(f"__t{m}") for m in mcols])
+    w_c = (Window.partitionBy(*kcols).orderBy("__b")
+           .rowsBetween(Window.unboundedPreceding, -1))
+    carry = totals.select(*kcols, "__b", *[F.sum(f"__t{m}").over(w_c).alias(f"__c{m}") for m in mcols])
+    prefix = running.join(carry, on=kcols + ["__b"], how="inner").select(
+        *kcols, "__sec", *mcols,
+        *[(F.col(f"__r{m}") + F.coalesce(F.col(f"__c{m}"), F.lit(0))).alias(f"__P{m}") for m in mcols])
+
+    # 3. the frame edges: one as-of lookup of the running totals for all edges
+    #    (each row is stacked once per edge, then pivoted back per key-second)
+    edges = sorted({f.lower + 1 for f in frames} | {f.upper for f in frames if f.upper > 0})
+    table = prefix.select(*kcols, "__sec", *[F.col(f"__P{m}").alias(f"__Q{m}") for m in mcols])
+    stacked = prefix.select(*kcols, "__sec", *[f"__P{m}" for m in mcols],
+                            F.explode(F.array(*[F.lit(e) for e in edges])).alias("__edge"))
+    looked = asof_by_position(stacked, table, kcols, F.col("__sec") - F.col("__edge"),
+                              F.col("__sec"), exclude=["__sec"], bucket_width=bucket)
+    current = looked.groupBy(*kcols, "__sec").agg(
+        *[F.first(f"__P{m}").alias(f"__P{m}") for m in mcols],
+        *[F.max(F.when(F.col("__edge") == e, F.col(f"__Q{m}"))).alias(f"__Q{m}_{e}")
+          for e in edges for m in mcols])
+
+    def edge_value(m: str, edge: int) -> Column:
+        return F.coalesce(F.col(f"__Q{m}_{edge}"), F.lit(0))
+
+    outs = []
+    for j, f in enumerate(frames):
+        hi_n = F.col(f"__P__n{j}") if f.upper == 0 else edge_value(f"__n{j}", f.upper)
+        n = hi_n - edge_value(f"__n{j}", f.lower + 1)
+        if f.kind == "sum":
+            hi_s = F.col(f"__P__s{j}") if f.upper == 0 else edge_value(f"__s{j}", f.upper)
+            total = hi_s - edge_value(f"__s{j}", f.lower + 1)
+            out_type = df.schema[f.column].dataType
+            if isinstance(out_type, IntegralType):
+                out_type = "long"
+            elif isinstance(out_type, FractionalType) and not isinstance(out_type, DecimalType):
+                out_type = "double"
+            outs.append(F.when(n > 0, total.cast(out_type)).alias(f.name))
+        else:
+            outs.append(n.cast("long").alias(f.name))
+    results = current.select(*kcols, "__sec", *outs)
+
+    # NULL seconds: each key's NULL-time rows are peers of each other only
+    nulls = per_sec.filter(F.col("__sec").isNull()).select(*kcols, "__sec", *[
+        (F.when(F.col(f"__n{j}") > 0, F.col(f"__s{j}").cast(
+            "long" if isinstance(df.schema[f.column].dataType, IntegralType) else
+            ("double" if not isinstance(df.schema[f.column].dataType, DecimalType)
+             else df.schema[f.column].dataType)))
+         if f.kind == "sum" else F.col(f"__n{j}").cast("long")).alias(f.name)
+        for j, f in enumerate(frames)])
+    results = results.unionByName(nulls)
+
+    # 4. back to the rows: every row of a (key, second) shares its result
+    cond = [staged[c].eqNullSafe(results[c]) for c in kcols] + \
+        [staged[seconds_col].eqNullSafe(results["__sec"])]
+    joined = staged.join(results, cond, "left")
+    return joined.select(*[staged[c] for c in df.columns], *[results[f.name] for f in frames])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.timefeat import cyclic_time_columns, epoch_seconds
-from lakeops.operators.rolling import Frame, rolling_aggregate
+from lakeops.operators.rolling import count_frame, rolling_aggregate, sum_frame
 
 DAY = 86400
 # Frame lengths of the feature definitions (7 days; 6 x 30 days).
@@ -28,13 +28,13 @@ def user_features(log: DataFrame, leak_free: bool = False,
     label's own time is not part of its features.
     """
     end = 1 if leak_free else 0
-    staged = log.select("user_id", "ts", "price", "purchased", "user_longitude",
-                        "user_latitude", epoch_seconds(log, "ts").alias("__sec"))
+    staged = log.select("user_id", "ts", "price", "user_longitude", "user_latitude",
+                        F.col("purchased").cast("int").alias("__purchased"),
+                        epoch_seconds(log, "ts").alias("__sec"))
     frames = [
-        Frame("__price_7d", F.sum("price"), WEEK_SECONDS, end),
-        Frame("__rows_7d", F.count(F.lit(1)), WEEK_SECONDS, end),
-        Frame("last_6m_purchases", F.sum(F.col("purchased").cast("int").cast("long")),
-              HALF_YEAR_SECONDS, end),
+        sum_frame("__price_7d", "price", WEEK_SECONDS, end),
+        count_frame("__rows_7d", WEEK_SECONDS, end),
+        sum_frame("last_6m_purchases", "__purchased", HALF_YEAR_SECONDS, end),
     ]
     rolled = rolling_aggregate(staged, ["user_id"], "__sec", frames, bucket_seconds)
     return rolled.select(
@@ -47,11 +47,11 @@ def user_features(log: DataFrame, leak_free: bool = False,
 
 def destination_features(log: DataFrame, bucket_seconds: int | None = None) -> DataFrame:
     """7-day clicks and impressions (rows) per destination."""
-    staged = log.select("destination_id", "ts", "clicked",
+    staged = log.select("destination_id", "ts", F.col("clicked").cast("int").alias("__clicked"),
                         epoch_seconds(log, "ts").alias("__sec"))
     frames = [
-        Frame("sum_clicks_7d", F.sum(F.col("clicked").cast("int").cast("long")), WEEK_SECONDS),
-        Frame("sum_impressions_7d", F.count(F.lit(1)), WEEK_SECONDS),
+        sum_frame("sum_clicks_7d", "__clicked", WEEK_SECONDS),
+        count_frame("sum_impressions_7d", WEEK_SECONDS),
     ]
     rolled = rolling_aggregate(staged, ["destination_id"], "__sec", frames, bucket_seconds)
     return rolled.select("destination_id", "ts", "sum_clicks_7d", "sum_impressions_7d")

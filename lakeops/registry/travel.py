@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.functions.timefeat import add_cyclic_time_features, epoch_seconds
-from lakeops.operators.rolling import Frame, rolling_aggregate
+from lakeops.operators.rolling import count_frame, rolling_aggregate, sum_frame
 from lakeops.operators.travel_features import (WEEK_SECONDS, destination_features,
                                                user_features)
 from lakeops.registry._base import query, round_floats
@@ -32,7 +32,7 @@ def rolling_sum_7d(spark, sf_dir):
     staged = log.select("event_id", "user_id", "ts", "price",
                         epoch_seconds(log, "ts").alias("sec"))
     out = rolling_aggregate(staged, ["user_id"], "sec",
-                            [Frame("price_7d_sum", F.sum("price"), WEEK_SECONDS)])
+                            [sum_frame("price_7d_sum", "price", WEEK_SECONDS)])
     return round_floats(out.select("event_id", "user_id", "ts", "price_7d_sum"))
 
 
@@ -43,8 +43,10 @@ SELECT event_id, user_id, ts, count(*) OVER {_W7} AS rows_7d FROM travel
 def rolling_count_7d(spark, sf_dir):
     log = travel_log(spark, sf_dir)
     staged = log.select("event_id", "user_id", "ts", epoch_seconds(log, "ts").alias("sec"))
+    # the halo strategy (time buckets with copied frame edges) on purpose,
+    # so both exact strategies stay covered by the oracle
     out = rolling_aggregate(staged, ["user_id"], "sec",
-                            [Frame("rows_7d", F.count(F.lit(1)), WEEK_SECONDS)])
+                            [count_frame("rows_7d", WEEK_SECONDS)], strategy="halo")
     return out.select("event_id", "user_id", "ts", "rows_7d")
 
 

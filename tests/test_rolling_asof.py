@@ -139,3 +139,23 @@ def test_time_split_disjoint_and_complete(spark):
 def test_epoch_seconds_ntz(spark):
     df = spark.createDataFrame([(dt.datetime(1970, 1, 2, 0, 0, 1, 999),)], "ts timestamp_ntz")
     assert df.select(epoch_seconds(df, "ts").alias("s")).first().s == 86401
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)),
+                          st.one_of(st.none(), st.integers(0, 300)),
+                          st.one_of(st.none(), st.floats(-5, 5).map(lambda x: round(x, 2)))),
+                min_size=1, max_size=40),
+       st.integers(1, 90), st.integers(0, 60), st.integers(0, 3))
+def test_prefix_strategy_property(spark, data, bucket, lower, upper):
+    from lakeops.operators.rolling import count_frame, sum_frame
+    upper = min(upper, lower)
+    df = spark.createDataFrame([(k, s, v, None if v is None else int(v)) for k, s, v in data],
+                               "k int, sec long, v double, iv long")
+    frames = [sum_frame("s", "v", lower, upper), count_frame("n", lower, upper),
+              count_frame("nv", lower, upper, column="v"), sum_frame("si", "iv", lower)]
+    got = rolling_aggregate(df, ["k"], "sec", frames, bucket_seconds=bucket, strategy="prefix")
+    want = rolling_aggregate_plain(df, ["k"], "sec", frames)
+    norm = lambda d: sorted(((r.k, r.sec, r.v, None if r.s is None else round(r.s, 6), r.n, r.nv, r.si)
+                             for r in d.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
+    assert norm(got) == norm(want)
