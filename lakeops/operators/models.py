@@ -109,3 +109,12 @@ def save_model(model: PipelineModel, path: str, input_schema=None) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def log_inferences(store, scored: DataFrame, table: str, model_name: str) -> str:
+    """Appends scored rows to an inference table with request time, model
+    and a request id per row (the request/response log)."""
+    out = scored.select(F.expr("uuid()").alias("request_id"),
+                        F.current_timestamp().alias("request_time"),
+                        F.lit(model_name).alias("model"), "*")
+    return store.write(out, table, mode="append", operation="INFERENCE LOG")

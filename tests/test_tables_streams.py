@@ -145,3 +145,23 @@ def test_vector_topk_matches_numpy_and_chunks(spark):
         got = {(r.query_id, r.rank, r.vec_id) for r in
                vector_topk(V.repartition(4), Q, k=5, max_broadcast_queries=limit).collect()}
         assert got == want
+
+
+def test_feature_store_keys_and_lookups(spark):
+    import pytest
+    from lakeops.plans.features import FeatureStore, KeyViolation
+    fs = FeatureStore(TableStore(spark, "fs_t"))
+    feats = spark.createDataFrame([(1, 2020, 0.5), (2, 2020, 0.7)], "id long, year long, score double")
+    info = fs.create_table("skills", ["id", "year"], feats, description="skill scores")
+    assert info.primary_keys == ["id", "year"] and info.features == ["score"]
+    with pytest.raises(KeyViolation):
+        fs.write_table("skills", feats.unionByName(feats))
+    fs.write_table("skills", spark.createDataFrame([(2, 2020, 0.9), (3, 2020, 0.1)],
+                                                   "id long, year long, score double"), mode="merge")
+    assert rows(fs.read_table("skills")) == [(1, 2020, 0.5), (2, 2020, 0.9), (3, 2020, 0.1)]
+    labels = spark.createDataFrame([(1, 2020, 10.0), (4, 2020, 1.0)], "id long, year long, value double")
+    ts = fs.create_training_set(labels, [fs.lookup("skills", ["id", "year"])], label="value")
+    assert rows(ts) == [(1, 2020, 0.5, 10.0), (4, 2020, None, 1.0)]
+    empty = fs.create_table("later", "id", schema=feats.schema, timestamp_keys="year")
+    assert empty.timestamp_keys == ["year"]
+    fs.drop_table("later")
