@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.operators.ranking import best_trial
+from lakeops.session import cut_lineage
 
 TRIAL_SCHEMA = "run_id string, model string, params string, status string, metric double, seconds double"
 
@@ -55,8 +56,10 @@ def search(train: DataFrame, valid: DataFrame, features: list[str], label: str,
     Entries not started before ``budget_seconds`` are recorded as SKIPPED.
     """
     grid = grid or (CLASSIFIER_GRID if task == "classification" else REGRESSOR_GRID)
-    tr = _prepare(train, features, label)
-    va = _prepare(valid, features, label)
+    # iterative fits re-read their input many times: materialise the prepared
+    # frames once (reliable checkpoint in the shared folder, lineage cut)
+    tr = cut_lineage(_prepare(train, features, label))
+    va = cut_lineage(_prepare(valid, features, label))
     if task == "classification":
         evaluator = MulticlassClassificationEvaluator(metricName="logLoss")
     else:

@@ -80,9 +80,10 @@ def csv_year_from_filename(spark, sf_dir):
     root = work_dir(spark, "player-csv")
     even = b.filter(F.col("year").cast("int") % 2 == 0).select("file", "id", "name", "value", "loaned_from")
     odd = b.filter(F.col("year").cast("int") % 2 == 1).select("file", "id", "wage", "name", "value")
-    for part in (even, odd):
-        (part.repartition("file").write.mode("append").partitionBy("file")
-         .option("header", "true").option("nullValue", "nan").csv(root))
+    for sub, part in (("even", even), ("odd", odd)):
+        # one directory per write and no appends: a retried job cannot duplicate files
+        (part.repartition("file").write.mode("errorifexists").partitionBy("file")
+         .option("header", "true").option("nullValue", "nan").csv(f"{root}/{sub}"))
     paths = [r.path for r in files.list_files(spark, root, glob="*.csv", recursive=True)
              .select("path").collect()]
     df = files.read_csv_files_by_header(spark, paths, null_value="nan",
