@@ -78,14 +78,19 @@ def test_dedup_within_watermark(spark):
 
 
 # ------------------------------------------------------------------ plans
-def test_user_features_single_shuffle(spark):
+def test_rolling_plans_split_hot_keys(spark):
     from lakeops.registry import QUERIES
-    plan = _plan(QUERIES["user_features"](spark, SF001))
+    # halo strategy: all frames share one shuffle on (key, time bucket)
+    plan = _plan(QUERIES["rolling_count_7d"](spark, SF001))
     tree = plan.split("\n\n")[0]
-    assert tree.count("Exchange") == 1                       # all frames share one shuffle
-    assert tree.count("Window") == 1
+    assert tree.count("Exchange") == 1 and tree.count("Window") == 1
     assert "hashpartitioning(user_id" in plan and "__b" in plan
-    assert "props" not in plan.split("ReadSchema:")[1].split("\n")[0]   # column pruning
+    # prefix strategy: no window is partitioned by the raw key alone, and the
+    # scan reads only the needed columns
+    plan = _plan(QUERIES["user_features"](spark, SF001))
+    assert "windowspecdefinition(user_id" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "props" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
 def test_scan_pruning_and_pushdown(spark):
