@@ -111,13 +111,20 @@ def classify_columns(df: DataFrame, columns: list[str] | None = None,
                     F.round(F.try_divide(F.col("s.n_match"), F.col("n_rows")), 6).alias("share")))
 
 
-def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Per column: rows, NULLs, exact distinct count, numeric min/max/mean and,
-    for text columns, the most frequent value (ties: smallest value).
-
-    Distinct counts come from one (column, value) aggregation of the unpivoted
-    values: hot values collapse in the map-side partial aggregate, so no task
-    receives a whole column.
+def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False,
+                   rsd: float = 0.01, max_top_cardinality: int = 100_000) -> DataFrame:
+    """Per column: rows, NULLs, distinct count, numeric min/max/mean and, for
+    text columns, the most frequent value (ties: smallest value).
+
+    ``exact=False`` (default): distinct counts are HyperLogLog sketches
+    (relative error ``rsd``) computed in the same single pass as the other
+    statistics; that one-row result (one value per column) is read first, and
+    only text columns whose sketch is at most ``max_top_cardinality`` are
+    unpivoted for value frequencies (free-text columns get no top value).
+    ``exact=True``: every column is unpivoted to (column, value) and counted
+    in one aggregation; hot values collapse in the map-side partial aggregate,
+    so no task receives a whole column, but the shuffle grows with columns x
+    distinct values.
     """
     columns = columns or df.columns
     fields = {f.name: f.dataType for f in df.schema.fields}
@@ -129,26 +136,48 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
             F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
             (F.min(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias(f"{c}__min"),
             (F.max(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias(f"{c}__max"),
-            (F.avg(c) if c in numeric else F.lit(None).cast("double")).alias(f"{c}__mean"))])
+            (F.avg(c) if c in numeric else F.lit(None).cast("double")).alias(f"{c}__mean"),
+            F.approx_count_distinct(c, rsd).alias(f"{c}__approx"))])
     per_col = stats.select("n_rows", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__nulls").alias("n_nulls"),
                  F.col(f"{c}__min").alias("min_value"), F.col(f"{c}__max").alias("max_value"),
-                 F.col(f"{c}__mean").alias("mean_value")) for c in columns])).alias("s")
-    ).select("s.column_name", "n_rows", "s.n_nulls", "s.min_value", "s.max_value", "s.mean_value")
-
+                 F.col(f"{c}__mean").alias("mean_value"),
+                 F.col(f"{c}__approx").alias("approx_distinct")) for c in columns])).alias("s")
+    ).select("s.column_name", "n_rows", "s.n_nulls", "s.min_value", "s.max_value", "s.mean_value",
+             "s.approx_distinct")
+
+    if exact:
+        counted = columns
+    else:
+        # the statistics are one row; keep them as a small local frame so the
+        # pass over the data is not repeated for the final result
+        row = per_col.collect()
+        per_col = df.sparkSession.createDataFrame(row, per_col.schema)
+        low = {r.column_name for r in row
+               if r.approx_distinct is not None and r.approx_distinct <= max_top_cardinality}
+        counted = [c for c in text if c in low]
     values = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"),
-                 F.lit(c in text).alias("is_text")) for c in columns])).alias("s")
-    ).select("s.*").filter(F.col("v").isNotNull())
+                 F.lit(c in text).alias("is_text")) for c in counted])).alias("s")
+    ).select("s.*").filter(F.col("v").isNotNull()) if counted else None
+    if values is None:
+        return per_col.select("column_name", "n_rows", "n_nulls",
+                              F.col("approx_distinct").alias("n_distinct"),
+                              F.round("min_value", 6).alias("min_value"),
+                              F.round("max_value", 6).alias("max_value"),
+                              F.round("mean_value", 6).alias("mean_value"),
+                              F.lit(None).cast("string").alias("top_value"),
+                              F.lit(None).cast("long").alias("top_count"))
     freq = values.groupBy("column_name", "v", "is_text").agg(F.count(F.lit(1)).alias("n"))
     per_value = freq.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("n_distinct"),
         F.min_by(F.when(F.col("is_text"), F.col("v")),
                  F.struct(F.lit(0) - F.col("n"), F.col("v"))).alias("__top"),
         F.max(F.when(F.col("is_text"), F.col("n"))).alias("top_count"))
+    distinct = (F.coalesce(F.col("n_distinct"), F.lit(0)) if exact
+                else F.coalesce(F.col("n_distinct"), F.col("approx_distinct")))
     return (per_col.join(per_value, "column_name", "left")
-            .select("column_name", "n_rows", "n_nulls",
-                    F.coalesce(F.col("n_distinct"), F.lit(0)).alias("n_distinct"),
+            .select("column_name", "n_rows", "n_nulls", distinct.alias("n_distinct"),
                     F.round("min_value", 6).alias("min_value"),
                     F.round("max_value", 6).alias("max_value"),
                     F.round("mean_value", 6).alias("mean_value"),

@@ -244,7 +244,7 @@ def _profile_sql() -> str:
 
 @query("column_profile", _profile_sql())
 def column_profile(spark, sf_dir):
-    return quality.column_profile(table(spark, sf_dir, "orders"))
+    return quality.column_profile(table(spark, sf_dir, "orders"), exact=True)
 
 
 _EVENTS_DAY = "e AS (SELECT *, CAST(ts AS DATE) AS day FROM events)"

@@ -101,7 +101,9 @@ def test_classify_and_profile(spark):
                                 ("see https://example.org/x", "x")], "t string, u string")
     cls = {(r.column_name, r.tag): r.n_match for r in quality.classify_columns(df).collect()}
     assert cls[("t", "email")] == 1 and cls[("t", "phone")] == 1 and cls[("t", "url")] == 1
-    prof = {r.column_name: r for r in quality.column_profile(df).collect()}
+    prof = {r.column_name: r for r in quality.column_profile(df, exact=True).collect()}
+    approx = {r.column_name: r for r in quality.column_profile(df).collect()}
+    assert approx["u"].n_distinct == 1 and approx["t"].n_distinct == 3
     assert prof["u"].n_nulls == 1 and prof["u"].n_distinct == 1 and prof["u"].top_value == "x"
     assert prof["u"].top_count == 2
 
