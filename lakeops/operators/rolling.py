@@ -14,9 +14,10 @@ to one row per distinct (key, second) — a partial aggregate, so duplicates of
 a hot key collapse map-side.  Running totals are computed per (key, day),
 where a group can never exceed 86,400 rows however hot the key, and each day
 adds the carried total of all earlier days (a window over the small
-key x day table).  A frame's value is then ``P(sec - upper) - P(sec - lower - 1)``
-where the lower edge is found with the bucketed as-of join.  Results are joined
-back to the rows on (key, second).  Fractional sums run in DECIMAL(38,12) so
+key x day table).  A frame's value is then ``P(sec - upper) - P(sec - lower - 1)``;
+the running total at a frame edge comes from a "probe" row placed at that
+second in the same (key, day) pass.  Results are joined back to the rows on
+(key, second).  Fractional sums run in DECIMAL(38,12) so
 the difference of two large running totals loses nothing (|values| < 1e26;
 NaN and infinities count as NULL).
 
@@ -39,7 +40,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, DecimalType, FractionalType,
                                IntegralType, StringType, TimestampNTZType, TimestampType)
 
-from lakeops.operators.asof import asof_by_position
 
 DAY = 86400
 EXACT_DECIMAL = DecimalType(38, 12)
@@ -170,30 +170,38 @@ def _rolling_prefix(df: DataFrame, keys: list[str], seconds_col: str, frames: li
     timed = per_sec.filter(F.col("__sec").isNotNull()) \
         .withColumn("__b", F.floor(F.col("__sec") / F.lit(bucket)))
 
-    # 2. running totals per (key, day) plus the carried totals of earlier days
-    w_in = (Window.partitionBy(*kcols, "__b").orderBy("__sec")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = timed.select(*kcols, "__b", "__sec", *mcols,
-                           *[F.sum(m).over(w_in).alias(f"__r{m}") for m in mcols])
-    totals = timed.groupBy(*kcols, "__b").agg(*[F.sum(m).alias(f"__t{m}") for m in mcols])
-    w_c = (Window.partitionBy(*kcols).orderBy("__b")
-           .rowsBetween(Window.unboundedPreceding, -1))
-    carry = totals.select(*kcols, "__b", *[F.sum(f"__t{m}").over(w_c).alias(f"__c{m}") for m in mcols])
-    prefix = running.join(carry, on=kcols + ["__b"], how="inner").select(
-        *kcols, "__sec", *mcols,
-        *[(F.col(f"__r{m}") + F.coalesce(F.col(f"__c{m}"), F.lit(0))).alias(f"__P{m}") for m in mcols])
-
-    # 3. the frame edges: one as-of lookup of the running totals for all edges
-    #    (each row is stacked once per edge, then pivoted back per key-second)
+    # 2. one pass over (key, day) buckets.  Besides each key-second's own row,
+    #    a "probe" row is placed at every frame edge (sec - edge); a running
+    #    sum ordered by position (values before probes at equal positions)
+    #    gives each probe the total of its day up to that second.
     edges = sorted({f.lower + 1 for f in frames} | {f.upper for f in frames if f.upper > 0})
-    table = prefix.select(*kcols, "__sec", *[F.col(f"__P{m}").alias(f"__Q{m}") for m in mcols])
-    stacked = prefix.select(*kcols, "__sec", *[f"__P{m}" for m in mcols],
-                            F.explode(F.array(*[F.lit(e) for e in edges])).alias("__edge"))
-    looked = asof_by_position(stacked, table, kcols, F.col("__sec") - F.col("__edge"),
-                              F.col("__sec"), exclude=["__sec"], bucket_width=bucket)
-    current = looked.groupBy(*kcols, "__sec").agg(
-        *[F.first(f"__P{m}").alias(f"__P{m}") for m in mcols],
-        *[F.max(F.when(F.col("__edge") == e, F.col(f"__Q{m}"))).alias(f"__Q{m}_{e}")
+    mtypes = {m: per_sec.schema[m].dataType for m in mcols}
+    values = timed.select(*kcols, F.col("__sec").alias("__pos"), F.lit(0).alias("__side"),
+                          F.col("__sec").alias("__origin"), F.lit(0).alias("__edge"), *mcols)
+    probes = (timed.select(*kcols, "__sec", F.explode(F.array(*[F.lit(e) for e in edges])).alias("__edge"))
+              .select(*kcols, (F.col("__sec") - F.col("__edge")).alias("__pos"), F.lit(1).alias("__side"),
+                      F.col("__sec").alias("__origin"), "__edge",
+                      *[F.lit(0).cast(mtypes[m]).alias(m) for m in mcols]))
+    both = values.unionByName(probes).withColumn("__b", F.floor(F.col("__pos") / F.lit(bucket)))
+    order = Window.partitionBy(*kcols, "__b").orderBy("__pos", "__side")
+    running = both.select(
+        *kcols, "__b", "__side", "__origin", "__edge",
+        *[F.sum(m).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"__r{m}")
+          for m in mcols],
+        *[F.sum(m).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+          .alias(f"__t{m}") for m in mcols])
+    # 3. each day's carried total of all earlier days (keys x days rows)
+    totals = running.groupBy(*kcols, "__b").agg(*[F.first(f"__t{m}").alias(f"__t{m}") for m in mcols])
+    earlier = Window.partitionBy(*kcols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*kcols, "__b", *[F.sum(f"__t{m}").over(earlier).alias(f"__c{m}") for m in mcols])
+    totals_at = running.join(carry, on=kcols + ["__b"], how="left").select(
+        *kcols, "__side", "__origin", "__edge",
+        *[(F.col(f"__r{m}") + F.coalesce(F.col(f"__c{m}"), F.lit(0))).alias(f"__P{m}") for m in mcols])
+    # 4. back to one row per key-second: own running total and one per edge
+    own = F.col("__side") == 0
+    current = totals_at.groupBy(*kcols, F.col("__origin").alias("__sec")).agg(
+        *[F.max(F.when(own, F.col(f"__P{m}"))).alias(f"__P{m}") for m in mcols],
+        *[F.max(F.when(~own & (F.col("__edge") == e), F.col(f"__P{m}"))).alias(f"__Q{m}_{e}")
           for e in edges for m in mcols])
 
     def edge_value(m: str, edge: int) -> Column:
