@@ -10,7 +10,8 @@ Scale design
 ------------
 Spark has no as-of join type.  The plain form (union both sides, then
 ``last(ignorenulls)`` over ``partitionBy(key).orderBy(ts)``) puts every row of
-a key into one task.  We partition by ``(key, time bucket)`` instead:
+a key into one task.  We partition by ``(key, time bucket)`` instead (one hour
+by default, ``bucket_seconds`` to change):
 
 1. per (key, bucket) the last feature row of the bucket and whether labels
    fall into it (one hash aggregate with map-side combine; output size
@@ -34,6 +35,10 @@ from pyspark.sql import functions as F
 from lakeops.functions.timefeat import epoch_micros
 
 DAY_SECONDS = 86400
+# Default time bucket of the as-of join: one hour.  Any width gives the same
+# result; narrower buckets spread a hot key over more tasks and add carry-in
+# rows (at most one per key and label bucket).
+ASOF_BUCKET_SECONDS = 3600
 
 
 def _feature_names(right: DataFrame, keys: list[str], ts: str | None,
@@ -50,7 +55,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str],
               left_ts: str = "ts", right_ts: str = "ts",
               features: list[str] | None = None,
               right_keys: list[str] | None = None,
-              bucket_seconds: int = DAY_SECONDS) -> DataFrame:
+              bucket_seconds: int = ASOF_BUCKET_SECONDS) -> DataFrame:
     """Left rows plus the as-of matched feature columns of ``right``."""
     return asof_by_position(left, right, keys, epoch_micros(left, left_ts),
                             epoch_micros(right, right_ts), features=features,
@@ -61,7 +66,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str],
 def asof_by_position(left: DataFrame, right: DataFrame, keys: list[str], left_pos: Column,
                      right_pos: Column, features: list[str] | None = None,
                      right_keys: list[str] | None = None, exclude: list[str] | None = None,
-                     bucket_width: int = DAY_SECONDS * 1_000_000) -> DataFrame:
+                     bucket_width: int = ASOF_BUCKET_SECONDS * 1_000_000) -> DataFrame:
     """As-of join on integral positions (times in any unit, sequence numbers):
     for each left row the right row of the same key with the greatest
     position <= the left row's position."""
@@ -171,7 +176,7 @@ class FeatureLookup:
     feature_names: list[str] | None = None
     table_keys: list[str] | None = None
     table_timestamp_key: str = "ts"
-    bucket_seconds: int = DAY_SECONDS
+    bucket_seconds: int = ASOF_BUCKET_SECONDS
     rename: dict = field(default_factory=dict)
 
 
