@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.operators.ranking import best_trial
-from lakeops.session import cut_lineage
+from lakeops.session import cut_lineage, work_dir
 
 TRIAL_SCHEMA = "run_id string, model string, params string, status string, metric double, seconds double"
 
@@ -66,6 +66,7 @@ def search(train: DataFrame, valid: DataFrame, features: list[str], label: str,
         evaluator = RegressionEvaluator(metricName="rmse")
     assembler = VectorAssembler(inputCols=features, outputCol="features")
     trials, models = [], {}
+    model_root = work_dir(train.sparkSession, "models")
     started = time.time()
     for i, (name, cls, params) in enumerate(grid):
         run_id = f"run-{i:02d}-{uuid.uuid4().hex[:6]}"
@@ -74,13 +75,20 @@ def search(train: DataFrame, valid: DataFrame, features: list[str], label: str,
             continue
         t0 = time.time()
         try:
-            model = Pipeline(stages=[assembler, cls(**params)]).fit(tr)
+            fitted = Pipeline(stages=[assembler, cls(**params)]).fit(tr)
+            # persist every trial model in the shared folder and continue with
+            # the reloaded copy: it carries no training summary, whose session
+            # reference cannot be serialised once the session has used
+            # observations (expectation counters)
+            path = f"{model_root}/{run_id}"
+            fitted.write().overwrite().save(path)
+            model = PipelineModel.load(path)
             metric = float(evaluator.evaluate(model.transform(va)))
             trials.append((run_id, name, json.dumps(params, sort_keys=True), "FINISHED", metric,
                            time.time() - t0))
             models[run_id] = model
         except Exception as e:  # noqa: BLE001 - a failed trial is a result, not a crash
-            trials.append((run_id, name, json.dumps({"error": str(e)[:200]}), "FAILED", None,
+            trials.append((run_id, name, json.dumps({"error": str(e)[:1500]}), "FAILED", None,
                            time.time() - t0))
     spark = train.sparkSession
     return spark.createDataFrame(trials, TRIAL_SCHEMA), models
