@@ -92,18 +92,27 @@ def latency_quantile(df: DataFrame, ts: str, value: str, q: float = 0.95,
         F.percentile_approx(value, q, accuracy).alias(f"p{int(q * 100)}"))
 
 
-def linear_forecast(daily: DataFrame, key: str, day: str, value: str, horizon: int = 7) -> DataFrame:
-    """Least-squares trend per key over day numbers, projected ``horizon`` days
-    past each key's last day.  Fit = one aggregate per key (regr_slope /
-    regr_intercept are algebraic, merged from partials)."""
-    x = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
-    fit = daily.groupBy(key).agg(
-        F.regr_slope(F.col(value).cast("double"), x.cast("double")).alias("slope"),
-        F.regr_intercept(F.col(value).cast("double"), x.cast("double")).alias("intercept"),
-        F.max(day).alias("__last"))
-    future = fit.select(key, "slope", "intercept",
-                        F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"), "__last")
+def linear_forecast(daily: DataFrame, key: str, day: str, value: str, horizon: int = 7,
+                    weekday_effect: bool = True) -> DataFrame:
+    """Per key: least-squares trend over day numbers plus, optionally, the
+    mean residual of each weekday, projected ``horizon`` days past the key's
+    last day.  The fit is one aggregate per key (regr_slope / regr_intercept
+    merge from partials); the weekday effects one aggregate per (key, weekday)."""
+    x = F.datediff(F.col(day), F.lit("1970-01-01").cast("date")).cast("double")
+    y = F.col(value).cast("double")
+    fit = daily.groupBy(key).agg(F.regr_slope(y, x).alias("slope"),
+                                 F.regr_intercept(y, x).alias("intercept"),
+                                 F.max(day).alias("__last"))
+    future = fit.select(key, "slope", "intercept", "__last",
+                        F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
     fday = F.date_add(F.col("__last"), F.col("h"))
     fx = F.datediff(fday, F.lit("1970-01-01").cast("date")).cast("double")
-    return future.select(key, fday.alias(day),
-                         (F.col("intercept") + F.col("slope") * fx).alias("forecast"))
+    out = future.select(key, fday.alias(day), (F.col("intercept") + F.col("slope") * fx).alias("trend"))
+    if not weekday_effect:
+        return out.select(key, day, F.col("trend").alias("forecast"))
+    resid = (daily.join(fit, key)
+             .select(key, F.weekday(day).alias("__wd"),
+                     (y - (F.col("intercept") + F.col("slope") * x)).alias("__r")))
+    effect = resid.groupBy(key, "__wd").agg(F.avg("__r").alias("__e"))
+    return (out.withColumn("__wd", F.weekday(day)).join(effect, [key, "__wd"], "left")
+            .select(key, day, (F.col("trend") + F.coalesce(F.col("__e"), F.lit(0.0))).alias("forecast")))

@@ -323,10 +323,14 @@ d AS (SELECT event_type, day, count(*) AS n FROM e GROUP BY ALL),
 f AS (SELECT event_type, regr_slope(n, CAST(day - DATE '1970-01-01' AS DOUBLE)) AS slope,
         regr_intercept(n, CAST(day - DATE '1970-01-01' AS DOUBLE)) AS intercept, max(day) AS last
       FROM d GROUP BY 1),
-h AS (SELECT *, unnest(range(1, 8)) AS h FROM f)
-SELECT event_type, CAST(last + CAST(h AS INTEGER) AS DATE) AS day,
-  round(intercept + slope * CAST((last + CAST(h AS INTEGER)) - DATE '1970-01-01' AS DOUBLE), 4) AS forecast
-FROM h
+w AS (SELECT d.event_type, isodow(d.day) - 1 AS wd,
+        avg(n - (intercept + slope * CAST(d.day - DATE '1970-01-01' AS DOUBLE))) AS effect
+      FROM d JOIN f USING (event_type) GROUP BY 1, 2),
+h AS (SELECT *, unnest(range(1, 8)) AS h FROM f),
+p AS (SELECT event_type, CAST(last + CAST(h AS INTEGER) AS DATE) AS day,
+        intercept + slope * CAST((last + CAST(h AS INTEGER)) - DATE '1970-01-01' AS DOUBLE) AS trend FROM h)
+SELECT p.event_type, p.day, round(trend + coalesce(w.effect, 0), 4) AS forecast
+FROM p LEFT JOIN w ON p.event_type = w.event_type AND isodow(p.day) - 1 = w.wd
 """)
 def usage_forecast(spark, sf_dir):
     e = table(spark, sf_dir, "events")
