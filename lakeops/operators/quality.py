@@ -144,7 +144,8 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool
             (F.min(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias(f"{c}__min"),
             (F.max(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias(f"{c}__max"),
             (F.avg(c) if c in numeric else F.lit(None).cast("double")).alias(f"{c}__mean"),
-            F.approx_count_distinct(c, rsd).alias(f"{c}__approx"))])
+            (F.lit(None).cast("long") if exact
+             else F.approx_count_distinct(c, rsd)).alias(f"{c}__approx"))])
     per_col = stats.select("n_rows", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__nulls").alias("n_nulls"),
                  F.col(f"{c}__min").alias("min_value"), F.col(f"{c}__max").alias("max_value"),
@@ -176,11 +177,13 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool
                               F.lit(None).cast("string").alias("top_value"),
                               F.lit(None).cast("long").alias("top_count"))
     freq = values.groupBy("column_name", "v", "is_text").agg(F.count(F.lit(1)).alias("n"))
-    per_value = freq.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n_distinct"),
-        F.min_by(F.when(F.col("is_text"), F.col("v")),
-                 F.struct(F.lit(0) - F.col("n"), F.col("v"))).alias("__top"),
-        F.max(F.when(F.col("is_text"), F.col("n"))).alias("top_count"))
+    # distinct counts: a hash aggregate over all counted columns; the top value
+    # (a sort-based min_by) only over the text columns' value counts
+    n_distinct = freq.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    tops = (freq.filter(F.col("is_text")).groupBy("column_name")
+            .agg(F.min_by(F.col("v"), F.struct(F.lit(0) - F.col("n"), F.col("v"))).alias("__top"),
+                 F.max("n").alias("top_count")))
+    per_value = n_distinct.join(tops, "column_name", "left")
     distinct = (F.coalesce(F.col("n_distinct"), F.lit(0)) if exact
                 else F.coalesce(F.col("n_distinct"), F.col("approx_distinct")))
     return (per_col.join(per_value, "column_name", "left")
