@@ -48,7 +48,6 @@ class DatasetGraph:
         self.datasets: dict[str, _Dataset] = {}
         self.done: set[str] = set()
         self.metrics: dict[str, dict] = {}
-        self._deps_declared: dict[str, set] = {}
 
     # -- definitions ---------------------------------------------------------
     def live_table(self, name: str, fn: Callable, expectations: list[Expectation] | None = None,

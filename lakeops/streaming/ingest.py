@@ -11,13 +11,15 @@ once from the existing files by a batch read, then fixed for the stream.
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeops.sources.files import detect_format
+from lakeops.streaming.listener import metrics_listener
 
 
 def infer_schema(spark: SparkSession, path: str, fmt: str, header: bool = True) -> StructType:
@@ -74,17 +76,28 @@ class StreamingTable:
     def refresh(self, timeout_seconds: int = 3600) -> int:
         """Processes all new input; returns the number of rows ingested."""
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        listener = metrics_listener(self.spark)
+        name = f"st_{uuid.uuid4().hex[:12]}"
         w = (self.stream().writeStream.format("parquet").option("path", self.data_path)
-             .option("checkpointLocation", self.checkpoint).trigger(availableNow=True))
+             .option("checkpointLocation", self.checkpoint).queryName(name)
+             .trigger(availableNow=True))
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         q = w.start()
         q.awaitTermination(timeout_seconds)
         if q.exception():
             raise q.exception()
-        progress = [p for p in q.recentProgress]
-        self.progress.extend(progress)
-        rows = sum(int(p.get("numInputRows", 0)) for p in progress)
+        # rows per batch come from the listener (recentProgress keeps only the
+        # last 100 batches); its events arrive asynchronously
+        last_batch = q.lastProgress["batchId"] if q.lastProgress else -1
+        for _ in range(200):
+            seen = listener.batches_of(name)
+            if not q.lastProgress or any(b["batch_id"] == last_batch for b in seen):
+                break
+            time.sleep(0.05)
+        seen = listener.batches_of(name)
+        self.progress.extend(seen)
+        rows = sum(int(b["rows"]) for b in seen)
         if self.store is not None and self.name:
             ended = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
             self.store.log_refresh(self.name, "STREAMING UPDATE", self.data_path, rows, started, ended)
@@ -114,8 +127,7 @@ def land_files(df: DataFrame, path: str, fmt: str = "csv", n_files: int | None =
 
 
 def watermark_ts(df: DataFrame, col: str = "ts") -> DataFrame:
-    """Event-time column usable by watermarks: TIMESTAMP_NTZ is read as UTC."""
-    from pyspark.sql.types import TimestampNTZType
-    if isinstance(df.schema[col].dataType, TimestampNTZType):
-        return df.withColumn(col, F.to_utc_timestamp(F.col(col), "UTC"))
-    return df
+    """Event-time column usable by watermarks: a TIMESTAMP_NTZ wall clock is
+    read as a UTC instant (independent of the session time zone)."""
+    from lakeops.functions.timefeat import as_instant
+    return df.withColumn(col, as_instant(df, col))

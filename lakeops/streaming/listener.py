@@ -42,6 +42,10 @@ class MetricsListener(StreamingQueryListener):
         with self._lock:
             return sum(1 for b in self.batches if b["name"] == query_name)
 
+    def batches_of(self, query_name: str) -> list[dict]:
+        with self._lock:
+            return [dict(b) for b in self.batches if b["name"] == query_name]
+
     def metrics(self, obs_name: str) -> dict[str, int]:
         with self._lock:
             return dict(self.totals.get(obs_name, {}))
