@@ -48,8 +48,8 @@ def test_rolling_property(spark, data, bucket, lower):
     frames = [Frame("s", F.sum("v"), lower), Frame("n", F.count(F.lit(1)), lower)]
     got = rolling_aggregate(df, ["k"], "sec", frames, bucket_seconds=bucket)
     want = rolling_aggregate_plain(df, ["k"], "sec", frames)
-    norm = lambda d: sorted((r.k, r.sec, r.v, None if r.s is None else round(r.s, 6), r.n)
-                            for r in d.collect())
+    norm = lambda d: sorted(((r.k, r.sec, r.v, None if r.s is None else round(r.s, 6), r.n)
+                             for r in d.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
     assert norm(got) == norm(want)
 
 
