@@ -124,7 +124,7 @@ SELECT id,
     AS Work_Rate_Score,
   {', '.join(P.DEMOGRAPHIC)}
 FROM silver""",
-    "skill_features": (lambda f: f"""
+    "skill_features": f"""
 WITH {SILVER}, filled AS (SELECT id, year, {', '.join(f'COALESCE({c}, 0.0) AS {c}' for c in
                                                        P.OFFENSIVE + P.DEFENSIVE + P.GOALKEEPER)} FROM silver),
 m AS (SELECT *, ({' + '.join(P.OFFENSIVE + P.DEFENSIVE)}) / 14 AS mu FROM filled)
@@ -135,7 +135,7 @@ SELECT id,
   round(({' + '.join(P.GOALKEEPER)}) / 5, 6) AS Goalkeeper_Skill_Score,
   round(({' + '.join(f'pow({c} - mu, 2)' for c in P.OFFENSIVE + P.DEFENSIVE)}) / 14, 6) AS Skill_Variance,
   year, {', '.join(P.OFFENSIVE + P.DEFENSIVE)}
-FROM m""")(None),
+FROM m""",
     "physical_features": f"""
 WITH {SILVER}, m AS (SELECT *, ({' + '.join(P.PHYSICAL)}) / 8 AS mu FROM silver)
 SELECT id,
