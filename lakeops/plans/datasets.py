@@ -19,7 +19,6 @@ with ``observe`` (per micro-batch for streams, summed by a listener).
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.quality import Expectation, apply_expectations, violation_counters
 from lakeops.plans.tables import TableStore
-from lakeops.streaming.listener import metrics_listener
+from lakeops.streaming.listener import metrics_listener, run_batches
 
 
 @dataclass
@@ -145,12 +144,14 @@ class DatasetGraph:
         q.awaitTermination()
         if q.exception():
             raise q.exception()
-        # listener events arrive asynchronously: wait until all batches are seen
-        expected = len(q.recentProgress)
-        for _ in range(200):
-            if listener.batch_count(q.name) >= expected:
-                break
-            time.sleep(0.05)
+        batches = run_batches(self.spark, q, listener)
+        if all(b["observed"] is not None for b in batches):
+            totals: dict[str, int] = {}
+            for b in batches:
+                for k, v in b["observed"].get(obs_name, {}).items():
+                    totals[k] = totals.get(k, 0) + v
+            self.metrics[ds.name] = totals
+            return
         self.metrics[ds.name] = listener.metrics(obs_name)
 
 

@@ -11,7 +11,6 @@ once from the existing files by a batch read, then fixed for the stream.
 from __future__ import annotations
 
 import datetime as dt
-import time
 import uuid
 from collections.abc import Callable
 
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeops.sources.files import detect_format
-from lakeops.streaming.listener import metrics_listener
+from lakeops.streaming.listener import metrics_listener, run_batches
 
 
 def infer_schema(spark: SparkSession, path: str, fmt: str, header: bool = True) -> StructType:
@@ -87,15 +86,7 @@ class StreamingTable:
         q.awaitTermination(timeout_seconds)
         if q.exception():
             raise q.exception()
-        # rows per batch come from the listener (recentProgress keeps only the
-        # last 100 batches); its events arrive asynchronously
-        last_batch = q.lastProgress["batchId"] if q.lastProgress else -1
-        for _ in range(200):
-            seen = listener.batches_of(name)
-            if not q.lastProgress or any(b["batch_id"] == last_batch for b in seen):
-                break
-            time.sleep(0.05)
-        seen = listener.batches_of(name)
+        seen = run_batches(self.spark, q, listener)
         self.progress.extend(seen)
         rows = sum(int(b["rows"]) for b in seen)
         if self.store is not None and self.name:

@@ -8,6 +8,7 @@ progress row per batch for the refresh ledger.
 from __future__ import annotations
 
 import threading
+import time
 from collections import defaultdict
 
 from pyspark.sql.streaming import StreamingQueryListener
@@ -62,3 +63,27 @@ def metrics_listener(spark) -> MetricsListener:
         spark.streams.addListener(lst)
         _LISTENERS[key] = lst
     return _LISTENERS[key]
+
+
+def run_batches(spark, query, listener: MetricsListener) -> list[dict]:
+    """Per-batch rows and observed metrics of a finished query run.
+
+    ``recentProgress`` is complete and synchronous while a run has fewer
+    batches than Spark keeps (``spark.sql.streaming.numRecentProgressUpdates``);
+    longer runs are read from the listener, waiting for its asynchronous
+    events of the batches that carried data.
+    """
+    keep = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    progress = query.recentProgress
+    if len(progress) < keep:
+        return [{"batch_id": p["batchId"], "rows": int(p["numInputRows"]),
+                 "observed": {k: (v.asDict() if hasattr(v, "asDict") else dict(v))
+                              for k, v in (p["observedMetrics"] or {}).items()}}
+                for p in progress]
+    expected = {p["batchId"] for p in progress if p["numInputRows"] > 0}
+    for _ in range(600):
+        if expected <= {b["batch_id"] for b in listener.batches_of(query.name)}:
+            break
+        time.sleep(0.05)
+    return [{"batch_id": b["batch_id"], "rows": int(b["rows"]), "observed": None}
+            for b in listener.batches_of(query.name)]
