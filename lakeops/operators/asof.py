@@ -22,7 +22,12 @@ by default, ``bucket_seconds`` to change):
    and one window over ``(key, bucket)`` ordered by time picks the match.
 
 Everything stays exact; a hot key is split across its time buckets, and there
-is one shuffle of the large inputs.
+is one shuffle of the large inputs.  With ``max_labels_per_task`` set, a bucket
+that still holds more labels than that is salted: its labels are spread over
+several tasks by hash and its feature and carry-in rows are copied to each of
+them (labels never depend on each other, so this stays exact).  The check
+reads the per-bucket summary first, i.e. one extra pass over the inputs, so it
+is opt-in; ``bucket_seconds`` is the cheaper first knob.
 """
 
 from __future__ import annotations
@@ -33,12 +38,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.timefeat import epoch_micros
+from lakeops.session import cut_lineage
 
 DAY_SECONDS = 86400
 # Default time bucket of the as-of join: one hour.  Any width gives the same
 # result; narrower buckets spread a hot key over more tasks and add carry-in
 # rows (at most one per key and label bucket).
 ASOF_BUCKET_SECONDS = 3600
+# Suggested limit for ``max_labels_per_task`` (salting is opt-in because the
+# check needs one extra pass over the inputs): buckets with more labels are
+# spread over ceil(labels / limit) tasks, their feature rows copied to each.
+MAX_LABELS_PER_TASK = 1_000_000
+# Upper bound on hot buckets joined by broadcast (beyond it: a shuffled join).
+MAX_BROADCAST_HOT_BUCKETS = 200_000
 
 
 def _feature_names(right: DataFrame, keys: list[str], ts: str | None,
@@ -55,18 +67,21 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str],
               left_ts: str = "ts", right_ts: str = "ts",
               features: list[str] | None = None,
               right_keys: list[str] | None = None,
-              bucket_seconds: int = ASOF_BUCKET_SECONDS) -> DataFrame:
+              bucket_seconds: int = ASOF_BUCKET_SECONDS,
+              max_labels_per_task: int | None = None) -> DataFrame:
     """Left rows plus the as-of matched feature columns of ``right``."""
     return asof_by_position(left, right, keys, epoch_micros(left, left_ts),
                             epoch_micros(right, right_ts), features=features,
                             right_keys=right_keys, exclude=[right_ts],
-                            bucket_width=int(bucket_seconds) * 1_000_000)
+                            bucket_width=int(bucket_seconds) * 1_000_000,
+                            max_labels_per_task=max_labels_per_task)
 
 
 def asof_by_position(left: DataFrame, right: DataFrame, keys: list[str], left_pos: Column,
                      right_pos: Column, features: list[str] | None = None,
                      right_keys: list[str] | None = None, exclude: list[str] | None = None,
-                     bucket_width: int = ASOF_BUCKET_SECONDS * 1_000_000) -> DataFrame:
+                     bucket_width: int = ASOF_BUCKET_SECONDS * 1_000_000,
+                     max_labels_per_task: int | None = None) -> DataFrame:
     """As-of join on integral positions (times in any unit, sequence numbers):
     for each left row the right row of the same key with the greatest
     position <= the left row's position."""
@@ -110,7 +125,19 @@ def asof_by_position(left: DataFrame, right: DataFrame, keys: list[str], left_po
                                        F.lit(None).cast(f_type).alias("__f"),
                                        F.lit(True).alias("__has_lab")))
                .groupBy(*kcols, "__b")
-               .agg(F.max_by("__f", "__us").alias("__f"), F.max("__has_lab").alias("__has_lab")))
+               .agg(F.max_by("__f", "__us").alias("__f"), F.max("__has_lab").alias("__has_lab"),
+                    F.count_if("__has_lab").alias("__n_lab")))
+    salts = None
+    if max_labels_per_task:
+        # the summary is small (keys x buckets): materialise it once, read the
+        # number of hot buckets, and salt only those
+        summary = cut_lineage(summary)
+        hot = (summary.filter(F.col("__n_lab") > max_labels_per_task)
+               .select(*kcols, "__b", F.ceil(F.col("__n_lab") / F.lit(max_labels_per_task))
+                       .cast("int").alias("__salts")))
+        n_hot = hot.count()
+        if n_hot:
+            salts = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_BUCKETS else hot
     # 2. carry-in for buckets holding labels: the last feature of any earlier
     #    bucket (a window over the keys x buckets summary)
     w_carry = (Window.partitionBy(*kcols).orderBy("__b")
@@ -120,14 +147,24 @@ def asof_by_position(left: DataFrame, right: DataFrame, keys: list[str], left_po
              .select(*kcols, "__b", F.col("__carry").alias("__f")))
 
     # 3. one window per (key, bucket): carry row first, features before labels
-    rows = (
-        feat.select(*kcols, "__b", "__us", F.lit(0).alias("__side"), null_l.alias("__l"), "__f")
-        .unionByName(lab.select(*kcols, "__b", "__us", F.lit(1).alias("__side"), "__l",
-                                null_f.alias("__f")))
-        .unionByName(carry.select(*kcols, "__b", F.lit(None).cast("long").alias("__us"),
-                                  F.lit(-1).alias("__side"), null_l.alias("__l"), "__f"))
-    )
-    w = (Window.partitionBy(*kcols, "__b")
+    feat_rows = feat.select(*kcols, "__b", "__us", F.lit(0).alias("__side"), null_l.alias("__l"), "__f")
+    lab_rows = lab.select(*kcols, "__b", "__us", F.lit(1).alias("__side"), "__l", null_f.alias("__f"))
+    carry_rows = carry.select(*kcols, "__b", F.lit(None).cast("long").alias("__us"),
+                              F.lit(-1).alias("__side"), null_l.alias("__l"), "__f")
+    if salts is None:
+        feat_rows, lab_rows, carry_rows = (d.withColumn("__salt", F.lit(0))
+                                           for d in (feat_rows, lab_rows, carry_rows))
+    else:
+        def salted(d, copy):
+            j = d.join(salts, on=kcols + ["__b"], how="left")
+            n = F.coalesce(F.col("__salts"), F.lit(1))
+            if copy:     # feature and carry rows go to every salt of their bucket
+                return j.withColumn("__salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("__salts")
+            return j.withColumn("__salt", F.pmod(F.xxhash64("__l"), n).cast("int")).drop("__salts")
+        feat_rows, lab_rows, carry_rows = salted(feat_rows, True), salted(lab_rows, False), \
+            salted(carry_rows, True)
+    rows = feat_rows.unionByName(lab_rows).unionByName(carry_rows)
+    w = (Window.partitionBy(*kcols, "__b", "__salt")
          .orderBy(F.col("__us").asc_nulls_first(), F.col("__side"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     matched = (rows.withColumn("__m", F.last("__f", ignorenulls=True).over(w))
@@ -178,6 +215,7 @@ class FeatureLookup:
     table_timestamp_key: str = "ts"
     bucket_seconds: int = ASOF_BUCKET_SECONDS
     rename: dict = field(default_factory=dict)
+    max_labels_per_task: int | None = None
 
 
 def create_training_set(labels: DataFrame, lookups: list[FeatureLookup],
@@ -196,7 +234,8 @@ def create_training_set(labels: DataFrame, lookups: list[FeatureLookup],
         if lk.timestamp_lookup_key:
             df = asof_join(df, table, keys, left_ts=lk.timestamp_lookup_key,
                            right_ts=lk.table_timestamp_key, features=lk.feature_names,
-                           right_keys=lk.table_keys, bucket_seconds=lk.bucket_seconds)
+                           right_keys=lk.table_keys, bucket_seconds=lk.bucket_seconds,
+                           max_labels_per_task=lk.max_labels_per_task)
         else:
             t = table
             if lk.table_keys:

@@ -159,3 +159,15 @@ def test_prefix_strategy_property(spark, data, bucket, lower, upper):
     norm = lambda d: sorted(((r.k, r.sec, r.v, None if r.s is None else round(r.s, 6), r.n, r.nv, r.si)
                              for r in d.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
     assert norm(got) == norm(want)
+
+
+def test_asof_salted_hot_buckets(spark):
+    d = lambda s: T0 + dt.timedelta(seconds=s)
+    labels = [(i, i % 2, d(3 * i)) for i in range(40)] + [(99, None, d(5))]
+    feats = [(k, d(s), float(s)) for k in (0, 1) for s in range(0, 120, 7)]
+    L = spark.createDataFrame(labels, "lid int, k int, ts timestamp_ntz")
+    R = spark.createDataFrame(feats, "k int, ts timestamp_ntz, f double")
+    for limit in (1, 3, 1000):                      # salts per hot bucket: many, some, none
+        got = sorted((r.lid, r.k, r.ts, r.f) for r in
+                     asof_join(L, R, ["k"], bucket_seconds=60, max_labels_per_task=limit).collect())
+        assert got == _brute_asof(labels, feats), limit
