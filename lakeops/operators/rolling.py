@@ -187,11 +187,11 @@ def _rolling_prefix(df: DataFrame, keys: list[str], seconds_col: str, frames: li
     running = both.select(
         *kcols, "__b", "__side", "__origin", "__edge",
         *[F.sum(m).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"__r{m}")
-          for m in mcols],
-        *[F.sum(m).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-          .alias(f"__t{m}") for m in mcols])
-    # 3. each day's carried total of all earlier days (keys x days rows)
-    totals = running.groupBy(*kcols, "__b").agg(*[F.first(f"__t{m}").alias(f"__t{m}") for m in mcols])
+          for m in mcols])
+    # 3. each day's carried total of all earlier days (keys x days rows); the
+    #    day totals are a hash aggregate (probe rows add zero but make their
+    #    day exist), so the window above runs once
+    totals = both.groupBy(*kcols, "__b").agg(*[F.sum(m).alias(f"__t{m}") for m in mcols])
     earlier = Window.partitionBy(*kcols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*kcols, "__b", *[F.sum(f"__t{m}").over(earlier).alias(f"__c{m}") for m in mcols])
     totals_at = running.join(carry, on=kcols + ["__b"], how="left").select(
