@@ -153,7 +153,11 @@ def _measure(df: DataFrame, f: Frame, j: int) -> list[Column]:
         v = F.col(f.column)
     else:
         v = F.col(f.column).try_cast(EXACT_DECIMAL)
-    return [F.sum(v).alias(f"__s{j}"), F.count(v).alias(f"__n{j}")]
+    # a key-second whose values are all NULL adds 0 to the running total; the
+    # non-NULL count decides whether a frame's sum is NULL
+    zero = F.lit(0).cast(t if isinstance(t, DecimalType) else
+                         ("long" if isinstance(t, IntegralType) else EXACT_DECIMAL))
+    return [F.coalesce(F.sum(v), zero).alias(f"__s{j}"), F.count(v).alias(f"__n{j}")]
 
 
 def _rolling_prefix(df: DataFrame, keys: list[str], seconds_col: str, frames: list[Frame],

@@ -171,3 +171,15 @@ def test_asof_salted_hot_buckets(spark):
         got = sorted((r.lid, r.k, r.ts, r.f) for r in
                      asof_join(L, R, ["k"], bucket_seconds=60, max_labels_per_task=limit).collect())
         assert got == _brute_asof(labels, feats), limit
+
+
+def test_prefix_all_null_second_keeps_earlier_total(spark):
+    from lakeops.operators.rolling import sum_frame
+    df = spark.createDataFrame([(None, 132, 0.0), (None, 133, None), (1, 10, 2.0), (1, 11, None)],
+                               "k int, sec long, v double")
+    frames = [sum_frame("s", "v", 55)]
+    for bucket in (1, 7, 86400):
+        got = sorted(((r.k, r.sec, r.s) for r in rolling_aggregate(
+            df, ["k"], "sec", frames, bucket_seconds=bucket, strategy="prefix").collect()),
+            key=lambda t: tuple((x is None, str(x)) for x in t))
+        assert got == [(1, 10, 2.0), (1, 11, 2.0), (None, 132, 0.0), (None, 133, 0.0)], bucket
