@@ -7,11 +7,16 @@ line number), anywhere in the corpus has a Jaccard similarity of at least
 Words are hashed and ordered from rare to common.  Any fixed order gives the
 exact result, so frequencies are kept in a table of ``BUCKETS`` hashed counts,
 whose size does not grow with the vocabulary.  Equal sets are first reduced to
-the earliest line.  Two sets at the threshold share a word among the first
-n - ceil(t n) + 1 of each (prefix filter); the join on those words also asks
-for sizes within the threshold (length filter) and for enough words left after
-the shared one (positional filter); the survivors are verified by the sizes of
-their intersections.
+the earliest line.  Two sets at the threshold share ``SHARED`` words among the
+first n - ceil(t n) + SHARED of each (prefix filter); the join on those words
+also asks for sizes within the threshold (length filter), and a pair for enough
+words after the last shared one (positional filter); the survivors are verified
+by the sizes of their intersections.
+
+Words that very many lines have in their prefix (found on a hashed share of the
+lines; a miss costs time, never a result) come from large groups of near
+copies.  There each line first meets the earliest line only; the lines that
+this removes need no further partner, so only the rest meet the whole group.
 
 Cases: a null text stays null; lines of fewer than ``min_words`` distinct words
 stay; repeated rows stand at one place, so neither removes the other; rows of
@@ -28,14 +33,18 @@ from lakeops.llm._common import side, stored
 
 PERCENT = 80
 MIN_WORDS = 5
+SHARED = 3
 BUCKETS = 1 << 18
 CLASS_BITS = 9                 # classes of rarity: 8 to each doubling of the count
 HASH_BITS = 63 - CLASS_BITS
+LOOK_AT, CROWD = 8, 6          # crowded: in the prefix of CROWD lines of one in LOOK_AT
 
 
 def words(text: Column) -> Column:
     """Runs of characters other than ASCII white space."""
-    return F.array_remove(F.split(F.translate(text, "\t\x0b\x0c\r\n", "     "), " "), "")
+    for c in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def need(n: Column, percent: int) -> Column:
@@ -43,24 +52,26 @@ def need(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100).cast("int")
 
 
+def bucket(word: Column) -> Column:
+    return F.hash(word).bitwiseAND(F.lit(BUCKETS - 1))
+
+
 def rarity(docs: DataFrame) -> Column:
-    """The class of rarity of every bucket of words, as an array constant of
-    BUCKETS small numbers (under 1 MB as text, whatever the corpus)."""
+    """The class of rarity of every bucket of words: an array constant of
+    BUCKETS small numbers, whatever the corpus."""
     n = (docs.select(F.explode(words(F.col("text"))).alias("w"))
-         .groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).agg(F.count("*").alias("n")))
+         .groupBy(bucket(F.col("w")).cast("long").alias("b")).agg(F.count("*").alias("n")))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").alias("b"), F.lit(0).cast("long").alias("n"))
     level = F.least(F.floor(F.log2(F.col("n") + 1) * 8), F.lit((1 << CLASS_BITS) - 1)).cast("int")
     row = (n.unionByName(every).groupBy("b").agg(F.sum("n").alias("n")).select("b", level.cast("string").alias("c"))
            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "c"))), lambda x: x["c"]), ",")))
-    return F.split(F.lit(row.first()[0]), ",").cast("array<int>")
+    return F.split(F.lit(row.first()[0]), ",").cast("array<long>")
 
 
 def keys(line: Column, classes: Column) -> Column:
     """The line's distinct words as sorted numbers: class of rarity, then hash."""
-    hashes = F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w)))
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(
-        F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), HASH_BITS)
-        .bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))))
+    return F.sort_array(F.array_distinct(F.transform(words(line), lambda w: F.shiftleft(
+        F.get(classes, bucket(w)), HASH_BITS).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << HASH_BITS) - 1))))))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -73,13 +84,43 @@ def place(*names: str) -> Column:
     return F.struct(*names)
 
 
+def similar(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(d, th, l) of the later lines of those pairs (ad, al), (bd, bl) that
+    reach the threshold."""
+    wanted = stored(pairs.select(F.col("ad").alias("_d"), F.col("al").alias("_l"))
+                    .unionByName(pairs.select(F.col("bd").alias("_d"), F.col("bl").alias("_l"))).distinct(), "line-wanted")
+    sets = (numbered(docs).join(side(wanted, 4_000_000), F.col("d").eqNullSafe(F.col("_d")) & (F.col("l") == F.col("_l")),
+                                "left_semi")
+            .select("d", "th", "l", F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w))).alias("s")))
+    sets = stored(sets, "line-words")
+    x = sets.select(F.col("d").alias("xd"), F.col("l").alias("xl"), F.col("s").alias("xs"))
+    y = sets.select(F.col("d").alias("yd"), F.col("l").alias("yl"), F.col("th").alias("yt"), F.col("s").alias("ys"))
+    both = F.size(F.array_intersect("xs", "ys"))
+    return (pairs.join(x, F.col("ad").eqNullSafe(F.col("xd")) & (F.col("al") == F.col("xl")))
+            .join(y, F.col("bd").eqNullSafe(F.col("yd")) & (F.col("bl") == F.col("yl")))
+            .filter(both * 100 >= (F.size("xs") + F.size("ys") - both) * percent)
+            .select(F.col("bd").alias("d"), F.col("yt").alias("th"), F.col("bl").alias("l")))
+
+
+def meetings(earlier: DataFrame, later: DataFrame, percent: int) -> DataFrame:
+    """A row for each word that the prefixes of two lines share, sizes within
+    the threshold."""
+    a = earlier.select(F.col("w").alias("aw"), F.col("d").alias("ad"), F.col("l").alias("al"), F.col("n").alias("an"),
+                       F.col("i").alias("ai"))
+    b = later.select(F.col("w").alias("bw"), F.col("d").alias("bd"), F.col("l").alias("bl"), F.col("n").alias("bn"),
+                     F.col("i").alias("bi"))
+    return a.join(b, (F.col("aw") == F.col("bw")) & (F.struct("ad", "al") < F.struct("bd", "bl"))
+                  & (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent)).drop("aw", "bw")
+
+
 def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """(d, th, gone): the numbers of the lines to remove, for each document that has any."""
     docs = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
+    shared = F.least(F.lit(SHARED), need(F.col("n"), percent))
     lines = (numbered(docs).withColumn("k", keys(F.col("line"), rarity(docs)))
              .withColumn("n", F.size("k")).filter(F.col("n") >= min_words)
              .select("d", "th", "l", "n", F.xxhash64("k").alias("h"), F.hash("k").alias("h2"),
-                     F.slice("k", F.lit(1), F.col("n") - need(F.col("n"), percent) + 1).alias("prefix")))
+                     F.slice("k", F.lit(1), F.col("n") - need(F.col("n"), percent) + shared).alias("prefix")))
     lines = stored(lines, "line-sets")
 
     # equal sets: the earliest stands for them
@@ -90,35 +131,33 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
                         & (F.col("n") == F.col("_n")), "left")
     equal = marked.filter(place("d", "l") > F.col("first")).select("d", "th", "l")
     first = marked.filter(F.col("first").isNull() | (place("d", "l") == F.col("first")))
-
-    post = first.select("d", "l", "n", F.posexplode("prefix").alias("i", "w"))
-    a = post.select(F.col("w").alias("aw"), F.col("d").alias("ad"), F.col("l").alias("al"), F.col("n").alias("an"),
-                    F.col("i").alias("ai"))
-    b = post.select(F.col("w").alias("bw"), F.col("d").alias("bd"), F.col("l").alias("bl"), F.col("n").alias("bn"),
-                    F.col("i").alias("bi"))
-    pairs = (a.join(b, (F.col("aw") == F.col("bw"))
-                    & (F.struct("ad", "al") < F.struct("bd", "bl"))
-                    & (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent)
-                    & (F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi")) * (100 + percent)
-                       >= (F.col("an") + F.col("bn")) * percent))
-             .select("ad", "al", "bd", "bl").distinct())
-    pairs = stored(pairs, "line-pairs")
-
-    wanted = stored(pairs.select(F.col("ad").alias("_d"), F.col("al").alias("_l"))
-                    .unionByName(pairs.select(F.col("bd").alias("_d"), F.col("bl").alias("_l"))).distinct(), "line-wanted")
-    sets = (numbered(docs).join(side(wanted), F.col("d").eqNullSafe(F.col("_d")) & (F.col("l") == F.col("_l")), "left_semi")
-            .select("d", "th", "l", F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w))).alias("s")))
-    sets = stored(sets, "line-words")
-    x = sets.select(F.col("d").alias("xd"), F.col("l").alias("xl"), F.col("s").alias("xs"))
-    y = sets.select(F.col("d").alias("yd"), F.col("l").alias("yl"), F.col("th").alias("yt"), F.col("s").alias("ys"))
-    both = F.size(F.array_intersect("xs", "ys"))
-    near = (pairs.join(x, F.col("ad").eqNullSafe(F.col("xd")) & (F.col("al") == F.col("xl")))
-            .join(y, F.col("bd").eqNullSafe(F.col("yd")) & (F.col("bl") == F.col("yl")))
-            .filter(both * 100 >= (F.size("xs") + F.size("ys") - both) * percent)
-            .select(F.col("bd").alias("d"), F.col("yt").alias("th"), F.col("bl").alias("l")))
+    posts = first.select("d", "l", "n", F.posexplode("prefix").alias("i", "w"))
+
+    # crowded words: against the earliest line first
+    crowded = stored(posts.filter(F.pmod(F.xxhash64("d", "l"), F.lit(LOOK_AT)) == 0).groupBy(F.col("w").alias("_w"))
+                     .agg(F.count("*").alias("c")).filter(F.col("c") >= CROWD).select("_w"), "line-crowded")
+    dense = stored(posts.join(side(crowded), F.col("w") == F.col("_w"), "left_semi"), "line-dense")
+    lead = dense.groupBy(F.col("w").alias("_w")).agg(F.min(place("d", "l")).alias("lead"))
+    star = (dense.join(lead, F.col("w") == F.col("_w")).groupBy("d", "l").agg(F.min("lead").alias("a"))
+            .select(F.col("a.d").alias("ad"), F.col("a.l").alias("al"), F.col("d").alias("bd"), F.col("l").alias("bl"))
+            .filter(F.struct("ad", "al") < F.struct("bd", "bl")))
+    quick = stored(similar(docs, stored(star, "line-star"), percent), "line-quick")
+    gone = quick.select(F.col("d").alias("_d"), F.col("l").alias("_l")).distinct()
+    rest = dense.join(gone, F.col("d").eqNullSafe(F.col("_d")) & (F.col("l") == F.col("_l")), "left_anti")
+
+    sparse = posts.join(side(crowded), F.col("w") == F.col("_w"), "left_anti")
+    both = meetings(sparse, sparse, percent).unionByName(meetings(dense, rest, percent))
+    least = F.least(F.lit(SHARED), need(F.col("an"), percent), need(F.col("bn"), percent))
+    pairs = (both.groupBy("ad", "al", "bd", "bl", "an", "bn")
+             .agg(F.count("*").alias("c"), F.max("ai").alias("ai"), F.max("bi").alias("bi"))
+             .filter((F.col("c") >= least)
+                     & ((F.col("c") + F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi")) - 1) * (100 + percent)
+                        >= (F.col("an") + F.col("bn")) * percent))
+             .select("ad", "al", "bd", "bl"))
+    near = similar(docs, stored(pairs, "line-pairs"), percent)
     # lines equal to one that goes are later than it, and go as equal lines
-    return stored(equal.unionByName(near).groupBy("d", "th").agg(F.sort_array(F.collect_set("l")).alias("gone")),
-                  "line-gone")
+    return stored(equal.unionByName(quick).unionByName(near).groupBy("d", "th")
+                  .agg(F.sort_array(F.collect_set("l")).alias("gone")), "line-gone")
 
 
 def without(text: Column, gone: Column) -> Column:
