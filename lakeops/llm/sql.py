@@ -2,10 +2,10 @@
 
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
@@ -38,7 +38,7 @@ QUALITY_RULES_SQL = rf"""
 WITH d AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln
   FROM documents
 ), tri AS (
   SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n
@@ -49,7 +49,7 @@ WITH d AS (
   FROM (SELECT doc_id, i, unnest([0, 1, 2]) AS k FROM tri WHERE n > 1) GROUP BY doc_id
 ), f AS (
   SELECT d.doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
-         CAST(coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(ln) AS BIGINT) AS n_lines,
          CAST(len(ln) - len(list_distinct(ln)) AS BIGINT) AS n_dup_lines,
