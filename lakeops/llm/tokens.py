@@ -30,7 +30,12 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if word.isascii() and word[-1:] in (".", ",") and word[:-1].isalpha():
+            ids = self[word[:-1]] + self[word[-1]]          # letters and marks are never one token
+        elif word.isascii() and word.isalpha() and not word.islower():
+            ids = self[word.lower()]                         # the tokenizer lower-cases
+        else:
+            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) <= MAX_CACHED_WORD:
             if len(self) >= MAX_CACHE:
                 self.clear()
