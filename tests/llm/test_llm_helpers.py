@@ -123,7 +123,7 @@ def test_license_scan_words_and_spans():
     n, base, first, last, labels, every, score, spans = s.scan("x É CC--BY-NC 4.0; All\nRIGHTS reserved. cc by")
     assert (n, base, first, last, labels, score) == (12, 3, 2, 10, "cc-by,reserved", 1.0)
     assert s.scan("accc by")[1] == 0 and s.scan("cc byé")[1] == 0 and s.scan("K cc by")[1] == 1
-    typo = s.scan("foo bar Relaesed under the MIT Licens and more")
+    typo = s.scan("foo bar Relased under the MIT Licens and more")
     assert typo[1] == 0 and typo[5] == "mit" and 0 < typo[6] < 1
     assert [(x["label"], x["first_word"], x["last_word"]) for x in typo[7]] == [("mit", 2, 6)]
     assert s.scan("nothing to see " * 50)[5] == ""
@@ -168,6 +168,7 @@ def test_gradient_of_the_attention_model():
     bags = [r.normal(size=(n, quality_classifier.N_FEATURES)) for n in (1, 3, 2)]
     y = np.array([0, 1, 1])
     m = quality_classifier.fit(bags, y, hidden=3, gate=2, steps=2)
+    m.p = {k: np.array(v, np.float64) for k, v in m.p.items()}
     x, starts = (np.concatenate(bags) - m.mean) / m.scale, np.array([0, 1, 4])
     weight = np.array([0.5, 0.25, 0.25])
 
