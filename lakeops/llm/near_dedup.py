@@ -228,7 +228,7 @@ def mixed(rows: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, kept): kept is true for one document of each class,
     the one with the smallest doc_id."""
-    docs = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
+    every, docs = docs.select("doc_id"), docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
     marks = stored(signed(docs), "near-signatures")
     copies = stored(marks.groupBy("key").agg(F.min(F.struct("doc_id", "bands")).alias("x"))
                     .select("key", F.col("x.doc_id").alias("rep"), F.col("x.bands").alias("bands")), "near-copies")
@@ -281,7 +281,7 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
              .join(classes.select(F.col("doc").alias("_d"), "class"), F.col("rep") == F.col("_d"), "left")
              .select("doc_id", F.coalesce("class", "rep").alias("class_id")))
     one = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    return (docs.select("doc_id").join(one.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
+    return (every.join(one.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
             .select("doc_id", "class_id", (F.col("class_id").isNull() | (F.col("class_id") == F.col("doc_id"))).alias("kept")))
 
 
