@@ -20,20 +20,24 @@ def _null_safe_differs(cols: list[str], left: str, right: str) -> Column:
 
 
 def latest_per_key(updates: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """One row per key: the one with the greatest ``order_col`` (an aggregate,
-    so a hot key is reduced map-side)."""
+    """One row per key: the one with the greatest ``order_col``, NULL lowest,
+    ties to the greatest other columns (an aggregate, so a hot key is reduced
+    map-side)."""
     others = [c for c in updates.columns if c not in keys]
-    agg = updates.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(order_col)).alias("__r"))
-    return agg.select(*keys, *[F.col(f"__r.`{c}`").alias(c) for c in others])
+    agg = updates.groupBy(*keys).agg(F.max(F.struct(F.col(order_col).alias("__o"), F.struct(*others).alias("__v"))).alias("__r"))
+    return agg.select(*keys, *[F.col(f"__r.__v.`{c}`").alias(c) for c in others])
 
 
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: list[str],
                  delete_condition: str | None = None) -> DataFrame:
     """``MERGE``: matched rows take the update's values, unmatched updates are
     inserted, other target rows are kept.  ``updates`` must be unique on the
-    keys (see ``latest_per_key``).  Rows of the update matching
+    keys (see ``latest_per_key``; else ValueError).  Rows of the update matching
     ``delete_condition`` delete the target row instead."""
     cols = target.columns
+    if (updates.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("__n"))
+            .filter("__n > 1").limit(1).count()):
+        raise ValueError(f"several updates for one key {keys}")
     t = target.alias("t")
     u = updates.select(*cols).withColumn("__u", F.lit(True)).alias("u")
     j = t.join(u, [F.col(f"t.`{k}`") == F.col(f"u.`{k}`") for k in keys], "full")

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 def top_k_with_others(df: DataFrame, key: str, value: str, k: int = 5,
                       others_label: str = "others") -> DataFrame:
     """Sums ``value`` per ``key``; keeps the top k keys (ties broken by key) and
-    folds every other key into one ``others`` row.
+    folds every other key into one ``others`` row (apart from a real key of that
+    name); a NULL key is a key.
 
     The top-k list is k rows by construction, so joining it back is a
     broadcast of a bounded side.
@@ -21,10 +22,10 @@ def top_k_with_others(df: DataFrame, key: str, value: str, k: int = 5,
     totals = df.groupBy(key).agg(F.sum(value).alias(value))
     top = (totals.orderBy(F.col(value).desc_nulls_last(), F.col(key).asc()).limit(k)
            .select(F.col(key).alias("__top_key"), F.lit(True).alias("__is_top")))
-    labelled = (totals.join(F.broadcast(top), totals[key] == top["__top_key"], "left")
+    labelled = (totals.join(F.broadcast(top), totals[key].eqNullSafe(top["__top_key"]), "left")
                 .select(F.when(F.col("__is_top"), F.col(key).cast("string"))
-                        .otherwise(F.lit(others_label)).alias(key), value))
-    return labelled.groupBy(key).agg(F.sum(value).alias(value))
+                        .otherwise(F.lit(others_label)).alias(key), "__is_top", value))
+    return labelled.groupBy(key, "__is_top").agg(F.sum(value).alias(value)).select(key, value)
 
 
 def top1(df: DataFrame, order: list[Column]) -> DataFrame:

@@ -58,14 +58,18 @@ class IncrementalAggregateView:
         part = batch.groupBy(*self.keys).agg(*self._partial_columns())
         part.write.mode("overwrite").parquet(f"{self.partials}/batch_id={batch_id}")
 
-    def refresh(self, timeout_seconds: int = 3600) -> None:
+    def refresh(self, timeout_seconds: int | None = None) -> None:
         r = self.spark.readStream.format(self.fmt).schema(self.schema)
         if self.max_files:
             r = r.option("maxFilesPerTrigger", str(self.max_files))
         q = (r.load(self.source_path).writeStream.foreachBatch(self._write_batch)
              .option("checkpointLocation", f"{self.root}/_checkpoint")
              .trigger(availableNow=True).start())
-        q.awaitTermination(timeout_seconds)
+        if timeout_seconds is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_seconds):
+            q.stop()
+            raise TimeoutError(f"refresh not finished after {timeout_seconds} s; a later one resumes it")
         if q.exception():
             raise q.exception()
 

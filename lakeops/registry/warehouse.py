@@ -112,8 +112,8 @@ def top1_growth(spark, sf_dir):
 @query("previous_sales", f"""
 WITH {_NATION_YEAR}
 SELECT brand, us_sales, sales_change_percentage,
-  CAST(trunc(us_sales / (1 + sales_change_percentage / 100)) AS INTEGER) AS "2021_sales",
-  CAST(trunc(us_sales / (1 + sales_change_percentage / 100)) AS INTEGER) AS native_2021_sales
+  CAST(trunc(us_sales / (1 + sales_change_percentage / 100)) AS BIGINT) AS "2021_sales",
+  CAST(trunc(us_sales / (1 + sales_change_percentage / 100)) AS BIGINT) AS native_2021_sales
 FROM nation_sales
 """)
 def previous_sales(spark, sf_dir):

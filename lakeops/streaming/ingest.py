@@ -72,7 +72,7 @@ class StreamingTable:
         df = r.load(self.source)
         return self.transform(df) if self.transform else df
 
-    def refresh(self, timeout_seconds: int = 3600) -> int:
+    def refresh(self, timeout_seconds: int | None = None) -> int:
         """Processes all new input; returns the number of rows ingested."""
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         listener = metrics_listener(self.spark)
@@ -83,7 +83,11 @@ class StreamingTable:
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         q = w.start()
-        q.awaitTermination(timeout_seconds)
+        if timeout_seconds is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_seconds):
+            q.stop()
+            raise TimeoutError(f"refresh not finished after {timeout_seconds} s; a later one resumes it")
         if q.exception():
             raise q.exception()
         seen = run_batches(self.spark, q, listener)

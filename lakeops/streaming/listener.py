@@ -27,7 +27,8 @@ class MetricsListener(StreamingQueryListener):
         p = event.progress
         with self._lock:
             self.batches.append({"name": p.name, "batch_id": p.batchId,
-                                 "rows": p.numInputRows, "timestamp": p.timestamp})
+                                 "rows": p.numInputRows, "timestamp": p.timestamp,
+                                 "observed": {k: v.asDict() for k, v in (p.observedMetrics or {}).items()}})
             for obs_name, row in (p.observedMetrics or {}).items():
                 for k, v in row.asDict().items():
                     if isinstance(v, (int, float)):
@@ -75,7 +76,7 @@ def run_batches(spark, query, listener: MetricsListener) -> list[dict]:
     """
     keep = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
     progress = query.recentProgress
-    if len(progress) < keep:
+    if len(progress) < keep - 1:                # Spark drops one before it adds one
         return [{"batch_id": p["batchId"], "rows": int(p["numInputRows"]),
                  "observed": {k: (v.asDict() if hasattr(v, "asDict") else dict(v))
                               for k, v in (p["observedMetrics"] or {}).items()}}
@@ -85,5 +86,7 @@ def run_batches(spark, query, listener: MetricsListener) -> list[dict]:
         if expected <= {b["batch_id"] for b in listener.batches_of(query.name)}:
             break
         time.sleep(0.05)
-    return [{"batch_id": b["batch_id"], "rows": int(b["rows"]), "observed": None}
+    else:
+        raise TimeoutError(f"batches of {query.name} not reported; its rows are stored, its counts are not known")
+    return [{"batch_id": b["batch_id"], "rows": int(b["rows"]), "observed": b["observed"]}
             for b in listener.batches_of(query.name)]
