@@ -12,7 +12,7 @@ smallest doc_id).  BANDS bands of ROWS components give buckets; a pair at 0.8
 misses all buckets with probability 6e-5.  Candidates are verified exactly, in
 rounds that avoid pairs within a group: each representative against the
 smallest one it shares a bucket with; then against the smallest of each bucket
-whose component differs; then, in buckets that still hold several components,
+that has not linked to the same; then, in buckets that still hold several components,
 pairs of different components only.  Buckets of more than ``CROWD`` rows are
 first split by a second band (and a third): similar pairs agree in several
 bands, unlike ones that share a passage do not.
@@ -184,14 +184,21 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return stored(map_batches(rows, make, schema).filter(F.col("sim") >= threshold - 1e-12), "near-links")
 
 
+def stars(edges: DataFrame) -> bool:
+    """Whether every u has one edge and no v is a u: the components are found."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")),
+                                          F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))).alias("e")).select("e.*")
+    return not (ends.groupBy("x").agg(F.sum("up").alias("n"), F.min("up").alias("low"))
+                .filter("n > 1 OR (n = 1 AND low = 0)").limit(1).count())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(doc, class) of every linked document: the smallest id of its connected
     component, by alternating large-star and small-star steps (Kiveris et al.
     2014) until the edges are stars."""
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                    .filter("u <> v").distinct(), "near-edges")
-    size = None
-    while True:
+    while not stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy(F.col("u").alias("x")).agg(F.least(F.min("v"), F.col("x")).alias("m"))
         large = (both.join(low, F.col("u") == F.col("x")).filter("v > u")
@@ -202,11 +209,8 @@ def components(links: DataFrame) -> DataFrame:
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").filter("u <> v").distinct())
         edges = stored(small, "near-edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
-        if now == size:
-            return edges.select(F.col("u").alias("doc"), F.col("v").alias("class")).unionByName(
-                edges.select(F.col("v").alias("doc"), F.col("v").alias("class")).distinct())
-        size = now
+    return edges.select(F.col("u").alias("doc"), F.col("v").alias("class")).unionByName(
+        edges.select(F.col("v").alias("doc"), F.col("v").alias("class")).distinct())
 
 
 def labelled(buckets: DataFrame, classes: DataFrame) -> DataFrame:
@@ -245,9 +249,10 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
                    .select("a", "b"), "near-pairs")
     tested = pairs
     links = verified(pairs, sets, threshold)
-    classes = stored(components(links), "near-classes")
+    # one link each, to a smaller one, so two that have linked to the same need no test
+    classes = links.select(F.col("b").alias("doc"), F.col("a").alias("class"))
 
-    # against the smallest of each bucket, where the components differ
+    # against the smallest of each bucket, where these differ
     own = labelled(buckets, classes)
     other = classes.select(F.col("doc").alias("_d"), F.col("class").alias("_c"))
     pairs = stored(own.join(other, F.col("lead") == F.col("_d"), "left").filter(F.coalesce("_c", "lead") != F.col("c"))
