@@ -13,9 +13,10 @@ misses all buckets with probability 6e-5.  Candidates are verified exactly, in
 rounds that avoid pairs within a group: each representative against the
 smallest one it shares a bucket with; then against the smallest of each bucket
 that has not linked to the same; then, in buckets that still hold several components,
-pairs of different components only.  Buckets of more than ``CROWD`` rows are
-first split by a second band (and a third): similar pairs agree in several
-bands, unlike ones that share a passage do not.
+pairs of different components only.  In buckets with more than ``CROWD`` such
+pairs for each row, the rows outside the largest component first meet one row of
+it; what still holds several is split by a second band (and a third): similar
+pairs agree in several bands, unlike ones that share a passage do not.
 
 Result: one row a document with its class (the smallest doc_id of its
 connected component of links).
@@ -42,9 +43,9 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
 M = BANDS * ROWS
-CROWD = 32                     # rows of a bucket that is not split further
+CROWD = 16                     # pairs for each row of a bucket that is not split further
 MAX_SPLITS = 2
-MAX_CACHE = 1_000_000
+MAX_CACHE = 200_000
 
 # Fixed values of the splitmix64 generator (Steele, Lea, Flood 2014).
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -221,12 +222,25 @@ def labelled(buckets: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def mixed(rows: DataFrame) -> DataFrame:
-    """The rows (h, rep, c, split) of buckets that hold several components, with the
-    bucket's size ``n``."""
-    sizes = (rows.groupBy(F.col("h").alias("_h")).agg(F.min("c").alias("_x"), F.max("c").alias("_y"),
-                                                     F.count("*").alias("n"))
-             .filter("_x <> _y").select("_h", "n"))
-    return rows.join(sizes, F.col("h") == F.col("_h")).select("h", "rep", "c", "split", "n")
+    """The rows (h, rep, c, split) of buckets that hold several components, with
+    the bucket's largest component ``most``, one row ``hub`` of it, and whether the
+    bucket is a ``crowd``: more than CROWD pairs of different components a row."""
+    n, square = F.sum("n").cast("double"), F.sum(F.col("n").cast("double") * F.col("n"))
+    sizes = (rows.groupBy(F.col("h").alias("_h"), "c")
+             .agg(F.count("*").alias("n"), F.max("rep").alias("hub"))
+             .groupBy("_h").agg(F.count("*").alias("k"), F.max(F.struct("n", "c", "hub")).alias("x"),
+                                (n * n - square > 2 * CROWD * n).alias("crowd"))
+             .filter("k > 1").select("_h", F.col("x.c").alias("most"), F.col("x.hub").alias("hub"), "crowd"))
+    return rows.join(sizes, F.col("h") == F.col("_h")).select("h", "rep", "c", "split", "most", "hub", "crowd")
+
+
+def split_further(crowd: DataFrame) -> DataFrame:
+    """Buckets (h, rep, split) of the rows of crowds that agree in one more of
+    them; rows that agree in a bucket that is none have met there."""
+    other = crowd.select(F.col("rep").alias("_r"), F.explode("split").alias("k")).distinct()
+    return (crowd.join(other, (F.col("rep") == F.col("_r")) & ~F.array_contains("split", F.col("k")))
+            .select("rep", F.array_sort(F.concat("split", F.array("k"))).alias("split"))
+            .withColumn("h", F.xxhash64("split")).dropDuplicates(["h", "rep"]))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -262,25 +276,27 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     links = links.unionByName(verified(pairs, sets, threshold))
     classes = stored(components(links), "near-classes")
 
-    # pairs of different components in the buckets that still hold several
+    # pairs of different components in the buckets that still hold several; crowds
+    # first meet a hub of their largest component, and then are split
     own = labelled(buckets.select("h", "rep").withColumn("split", F.array("h")), classes)
-    for level in range(MAX_SPLITS + 1):
+    for step in range(MAX_SPLITS + 1):
+        last = step == MAX_SPLITS
         again = stored(mixed(own), "near-mixed")
-        few = again if level == MAX_SPLITS else again.filter(F.col("n") <= CROWD)
-        x = few.select("h", F.col("rep").alias("a"), F.col("c").alias("ca"))
-        y = few.select(F.col("h").alias("_h"), F.col("rep").alias("b"), F.col("c").alias("cb"))
-        pairs = stored(x.join(y, (F.col("h") == F.col("_h")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-                       .select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        few, crowd = (again, again.limit(0)) if last else (again.filter(~F.col("crowd")), again.filter("crowd"))
+        x = few.filter("c <> most").select("h", F.col("rep").alias("x"), F.col("c").alias("cx"), "most")
+        y = few.select(F.col("h").alias("_h"), F.col("rep").alias("y"), F.col("c").alias("cy"))
+        pairs = (x.join(y, (F.col("h") == F.col("_h")) & (F.col("cx") != F.col("cy"))
+                        & ((F.col("cy") == F.col("most")) | (F.col("x") < F.col("y")))).select("x", "y")
+                 .unionByName(crowd.filter("c <> most").select(F.col("rep").alias("x"), F.col("hub").alias("y")))
+                 .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         tested = tested.unionByName(pairs)
         links = links.unionByName(verified(pairs, sets, threshold))
-        crowd = again.filter(F.col("n") > CROWD)
-        if level == MAX_SPLITS or not crowd.limit(1).count():
+        classes = stored(components(links), "near-classes")
+        if last or not crowd.limit(1).count():
             break
-        own = (crowd.join(copies.select(F.col("rep").alias("_r"), "bands"), F.col("rep") == F.col("_r"))
-               .select("rep", "c", "split", F.explode("bands").alias("k")).filter(~F.array_contains("split", F.col("k")))
-               .select("rep", "c", F.array_sort(F.concat("split", F.array("k"))).alias("split"))
-               .withColumn("h", F.xxhash64("split")).dropDuplicates(["h", "rep"]))
-    classes = stored(components(links), "near-classes")
+        crowd = stored(mixed(labelled(crowd.select("h", "rep", "split"), classes)), "near-crowd")
+        own = labelled(split_further(crowd), classes)
 
     found = (marks.select("doc_id", "key").join(copies.select(F.col("key").alias("_k"), "rep"), F.col("key") == F.col("_k"))
              .join(classes.select(F.col("doc").alias("_d"), "class"), F.col("rep") == F.col("_d"), "left")
