@@ -26,6 +26,8 @@ come first; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,7 +119,8 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
     """(d, th, gone): the numbers of the lines to remove, for each document that has any."""
     docs = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
     shared = F.least(F.lit(SHARED), need(F.col("n"), percent))
-    lines = (numbered(docs).withColumn("k", keys(F.col("line"), rarity(docs)))
+    # by a generator, over which the filter on n isn't pushed: that would compute the keys twice
+    lines = (numbered(docs).select("d", "th", "l", F.explode(F.array(keys(F.col("line"), rarity(docs)))).alias("k"))
              .withColumn("n", F.size("k")).filter(F.col("n") >= min_words)
              .select("d", "th", "l", "n", F.xxhash64("k").alias("h"), F.hash("k").alias("h2"),
                      F.slice("k", F.lit(1), F.col("n") - need(F.col("n"), percent) + shared).alias("prefix")))
@@ -160,13 +163,20 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
                   .agg(F.sort_array(F.collect_set("l")).alias("gone")), "line-gone")
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once for a row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def without(text: Column, gone: Column) -> Column:
     """The text without the lines whose sorted numbers are in ``gone``."""
-    lines = F.split(text, "\n")
-    ends = F.concat(F.array(F.lit(-1)), gone, F.array(F.size(lines)))
-    return F.array_join(F.flatten(F.transform(
-        F.sequence(F.lit(0), F.size(gone)),
-        lambda j: F.slice(lines, F.get(ends, j) + 2, F.get(ends, j + 1) - F.get(ends, j) - 1))), "\n")
+    def rest(lines: Column, ends: Column) -> Column:
+        return F.array_join(F.flatten(F.transform(
+            F.sequence(F.lit(0), F.size(ends) - 2),
+            lambda j: F.slice(lines, F.get(ends, j) + 2, F.get(ends, j + 1) - F.get(ends, j) - 1))), "\n")
+
+    return once(F.split(text, "\n"), lambda lines: once(
+        F.concat(F.array(F.lit(-1)), gone, F.array(F.size(lines))), lambda ends: rest(lines, ends)))
 
 
 def joined(docs: DataFrame, percent: int, min_words: int) -> DataFrame:
@@ -181,7 +191,8 @@ def line_dedup(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WOR
     from 0), text."""
     gone = F.coalesce("_line_gone", F.array().cast("array<int>"))
     return joined(docs, percent, min_words).select(
-        "doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
+        "doc_id", F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))
+        .cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_removed"), gone.alias("removed"),
         F.when(F.col("_line_gone").isNull(), F.col("text")).otherwise(without(F.col("text"), gone)).alias("text"))
 
