@@ -195,7 +195,8 @@ def asof_join_plain(left: DataFrame, right: DataFrame, keys: list[str], ts: str
 def exact_lookup(left: DataFrame, right: DataFrame, keys: list[str],
                  features: list[str] | None = None) -> DataFrame:
     """Left join on the full primary key.  ``right`` must be unique on ``keys``
-    (feature tables check this when written)."""
+    (feature tables check this when written, and ``FeatureStore.lookup`` refuses
+    a table with a time key that gets none)."""
     names = _feature_names(right, keys, None, features)
     clash = sorted(set(names) & set(left.columns))
     if clash:

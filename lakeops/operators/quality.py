@@ -42,7 +42,13 @@ def apply_expectations(df: DataFrame, expectations: list[Expectation],
     The observation is filled once an action has run on the returned frame.
     """
     obs = Observation(name or "expectations")
-    out = df.observe(obs, *violation_counters(expectations))
+    return enforce(df.observe(obs, *violation_counters(expectations)), expectations), obs
+
+
+def enforce(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
+    """Drops the rows that break a ``drop`` expectation; a row that breaks a
+    ``fail`` one ends the job.  For frames and streams."""
+    out = df
     for e in expectations:
         if e.action == "drop":
             out = out.filter(e.holds())
@@ -52,7 +58,7 @@ def apply_expectations(df: DataFrame, expectations: list[Expectation],
                              .otherwise(F.lit(True)))
         elif e.action != "keep":
             raise ValueError(f"unknown action {e.action}")
-    return out, obs
+    return out
 
 
 def expectation_report(df: DataFrame, expectations: list[Expectation]) -> DataFrame:

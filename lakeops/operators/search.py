@@ -63,14 +63,25 @@ def _score_partition(batches, q_ids, q_mat, k, id_col, vec_col, block=256):
         {"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
 
+def usable(vector: str):
+    return F.coalesce(F.forall(vector, lambda x: x.isNotNull()), F.lit(False))
+
+
 def vector_topk(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id",
                 vec_col: str = "embedding", query_id: str = "query_id", query_vec: str = "query",
                 max_broadcast_queries: int = 4096) -> DataFrame:
-    """(query_id, rank, vec_id, score) for the k most similar vectors of each query."""
+    """(query_id, rank, vec_id, score) for the k most similar vectors of each query.
+
+    Vectors that are null or hold a null take no part, nor do null vector ids;
+    query ids must be unique."""
     spark = vectors.sparkSession
-    n_queries = queries.count()                      # size check before any broadcast
+    queries = queries.filter(usable(query_vec))
+    n_queries, n_ids = queries.agg(F.count("*"), F.count_distinct(query_id)).first()   # before any broadcast
+    if n_ids != n_queries:
+        raise ValueError(f"{n_queries} query vectors have {n_ids} ids: ids must be unique and not null")
     passes = max(1, math.ceil(n_queries / max_broadcast_queries))
-    vec = vectors.select(F.col(id_col).cast("long").alias(id_col), F.col(vec_col))
+    vec = vectors.filter(F.col(id_col).isNotNull() & usable(vec_col)).select(F.col(id_col).cast("long").alias(id_col),
+                                                                             F.col(vec_col))
     results = None
     for p in range(passes):
         part = queries if passes == 1 else queries.filter(

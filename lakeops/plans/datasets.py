@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.operators.quality import Expectation, apply_expectations, violation_counters
+from lakeops.operators.quality import Expectation, apply_expectations, enforce, violation_counters
 from lakeops.plans.tables import TableStore
 from lakeops.streaming.listener import metrics_listener, run_batches
 
@@ -133,9 +133,7 @@ class DatasetGraph:
         stream = ds.fn(self)
         if ds.expectations:
             stream = stream.observe(obs_name, *violation_counters(ds.expectations))
-            for e in ds.expectations:
-                if e.action == "drop":
-                    stream = stream.filter(e.holds())
+            stream = enforce(stream, ds.expectations)
         q = (stream.writeStream.format("parquet")
              .option("path", f"{self._path(ds.name)}/data")
              .option("checkpointLocation", f"{self._path(ds.name)}/_checkpoint")

@@ -95,6 +95,10 @@ class FeatureStore:
                feature_names: list[str] | None = None) -> FeatureLookup:
         info = self.get_table(name)
         keys = [lookup_key] if isinstance(lookup_key, str) else list(lookup_key)
+        if len(keys) != len(info.primary_keys):
+            raise ValueError(f"{name} has the keys {info.primary_keys}; looked up by {keys}")
+        if info.timestamp_keys and not timestamp_lookup_key:
+            raise ValueError(f"{name} has the time key {info.timestamp_keys}: give timestamp_lookup_key")
         return FeatureLookup(self.read_table(name), keys,
                              timestamp_lookup_key=timestamp_lookup_key if info.timestamp_keys else None,
                              feature_names=feature_names, table_keys=info.primary_keys,

@@ -4,8 +4,11 @@ lineage records, feature tables with key metadata.
 A table is a Parquet directory per version plus a catalog entry pointing at
 the current version.  Overwrite writes a new version directory and then moves
 the table's location, so a table can be rebuilt from itself and readers never
-see a half-written directory.  Row counts come from ``observe`` on the write
-itself (no second pass over the data).
+see a half-written directory.  Where the new version has other columns or
+either one is partitioned, the catalog entry is replaced instead (a reader that
+resolves the name between the two statements finds no table); properties stay.
+Appended partitions are registered.  Row counts come from ``observe`` on the
+write itself (no second pass over the data).
 """
 
 from __future__ import annotations
@@ -69,12 +72,20 @@ class TableStore:
         obs = Observation(f"write-{uuid.uuid4().hex[:8]}")
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        old_parts = self.partition_columns(name) if self.exists(name) else []
         if mode == "append" and self.exists(name):
+            if partition_by and list(partition_by) != old_parts:
+                raise ValueError(f"{full} is partitioned by {old_parts}, not by {list(partition_by)}")
+            have, new = _columns(self.read(name).schema), _columns(df.schema)
+            if have != new:
+                raise ValueError(f"appended columns {new} differ from those of {full}: {have}")
             version = self.current_location(name)
             w = observed.write.mode("append")
-            if partition_by:
-                w = w.partitionBy(*partition_by)
+            if old_parts:
+                w = w.partitionBy(*old_parts)
             w.parquet(version)
+            if old_parts:
+                self.spark.sql(f"MSCK REPAIR TABLE {full}")
             self.spark.sql(f"REFRESH TABLE {full}")
         else:
             version = f"{self.root}/{self._short(name)}/v-{uuid.uuid4().hex[:12]}"
@@ -82,11 +93,17 @@ class TableStore:
             if partition_by:
                 w = w.partitionBy(*partition_by)
             w.parquet(version)
-            if self.exists(name):
+            if (self.exists(name) and not partition_by and not old_parts
+                    and self.read(name).schema.simpleString() == df.schema.simpleString()):
                 self.spark.sql(f"ALTER TABLE {full} SET LOCATION '{version}'")
                 self.spark.sql(f"REFRESH TABLE {full}")
             else:
-                self.spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{version}'")
+                kept = self._user_properties(name) if self.exists(name) else {}
+                self.spark.sql(f"DROP TABLE IF EXISTS {full}")
+                cols = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
+                by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+                self.spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet{by} LOCATION '{version}'")
+                properties = {**kept, **(properties or {})}
             if partition_by:
                 self.spark.sql(f"MSCK REPAIR TABLE {full}")
         props = dict(properties or {})
@@ -103,6 +120,13 @@ class TableStore:
             self.record_lineage(sources, full)
         return version
 
+    def partition_columns(self, name: str) -> list[str]:
+        return [c.name for c in self.spark.catalog.listColumns(self.full_name(name)) if c.isPartition]
+
+    def _user_properties(self, name: str) -> dict:
+        return {k: v for k, v in self.properties(name).items()
+                if not k.startswith(("transient_", "spark.sql."))}
+
     def current_location(self, name: str) -> str:
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(name)}").collect()
         for r in rows:
@@ -114,7 +138,7 @@ class TableStore:
         return self.spark.table(self.full_name(name))
 
     def drop(self, name: str) -> None:
-        """``DROP TABLE IF EXISTS``; files of old versions stay until vacuumed."""
+        """``DROP TABLE IF EXISTS``; the files of all versions stay."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.full_name(name)}")
 
     def properties(self, name: str) -> dict:
@@ -170,6 +194,10 @@ def lineage_lookup(store: TableStore, target: str) -> DataFrame:
                                 for c in lin.columns])
 
 
+def _columns(schema: StructType) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in schema.fields}
+
+
 def _esc(v) -> str:
     s = v if isinstance(v, str) else json.dumps(v)
     return s.replace("\\", "\\\\").replace("'", "\\'")

@@ -7,13 +7,14 @@ to date without rebuilding: every micro-batch of new input is reduced to
 Reading the view merges the partials (one more aggregation over data that is
 already reduced per batch).  ``avg`` is sum/count.  Aggregates that are not
 mergeable (distinct counts, medians) need a full recompute and are refused.
-``compact()`` merges all partials into one new directory and switches to it.
+``compact()`` merges the partials up to batch N into ``compacted/through=N``.
+The directory counts once Spark has put its success marker there; readers,
+whichever object they use, take the newest such one and only the partials of
+later batches, so a batch replayed after a compaction isn't counted twice.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -73,8 +74,23 @@ class IncrementalAggregateView:
         if q.exception():
             raise q.exception()
 
-    def read(self) -> DataFrame:
+    def compacted_through(self) -> int | None:
+        """The last batch that a finished compaction covers."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/compacted/through=*/_SUCCESS")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        return max((int(s.getPath().getParent().getName().split("=")[1]) for s in found or []), default=None)
+
+    def _merged_so_far(self) -> DataFrame:
+        """(batch_id, keys, partial aggregates): the compacted batches as one."""
         p = self.spark.read.parquet(self.partials)
+        through = self.compacted_through()
+        if through is None:
+            return p
+        old = self.spark.read.parquet(f"{self.root}/compacted/through={through}")
+        return p.filter(F.col("batch_id") > through).unionByName(old.withColumn("batch_id", F.lit(through)))
+
+    def read(self) -> DataFrame:
+        p = self._merged_so_far()
         merged = []
         for name, (fn, _) in self.measures.items():
             if fn == "sum":
@@ -90,8 +106,12 @@ class IncrementalAggregateView:
         return p.groupBy(*self.keys).agg(*merged)
 
     def compact(self) -> str:
-        """Merges all partials into one directory (as batch -1) and switches."""
-        p = self.spark.read.parquet(self.partials)
+        """Merges the partials of all batches so far into one directory; returns it."""
+        through = self.spark.read.parquet(self.partials).agg(F.max("batch_id")).first()[0]
+        path = f"{self.root}/compacted/through={through}"
+        if through == self.compacted_through():
+            return path
+        p = self._merged_so_far().filter(F.col("batch_id") <= through)
         merged = []
         for c in p.columns:
             if c in self.keys or c == "batch_id":
@@ -102,7 +122,5 @@ class IncrementalAggregateView:
                 merged.append(F.max(c).alias(c))
             else:
                 merged.append(F.sum(c).alias(c))
-        new_root = f"{self.root}/partials-{uuid.uuid4().hex[:8]}"
-        p.groupBy(*self.keys).agg(*merged).write.parquet(f"{new_root}/batch_id=-1")
-        self.partials = new_root
-        return new_root
+        p.groupBy(*self.keys).agg(*merged).write.mode("overwrite").parquet(path)
+        return path
