@@ -16,7 +16,10 @@ that has not linked to the same; then, in buckets that still hold several compon
 pairs of different components only.  In buckets with more than ``CROWD`` such
 pairs for each row, the rows outside the largest component first meet one row of
 it; what still holds several is split by a second band (and a third): similar
-pairs agree in several bands, unlike ones that share a passage do not.
+pairs agree in several bands, unlike ones that share a passage do not.  The join
+that makes these last pairs leaves out those whose weights and parity bitmaps
+(Sandes et al. 2017) already bound the similarity below the threshold, which
+loses no link; all others are verified.
 
 Result: one row a document with its class (the smallest doc_id of its
 connected component of links).
@@ -29,10 +32,12 @@ their texts counts; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField,
                                StructType)
@@ -43,6 +48,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
 M = BANDS * ROWS
+BITS = 512                     # of a parity bitmap
 CROWD = 16                     # pairs for each row of a bucket that is not split further
 MAX_SPLITS = 2
 MAX_CACHE = 200_000
@@ -117,6 +123,39 @@ def bands(sig: np.ndarray) -> np.ndarray:
     return mix(parts + np.arange(BANDS, dtype=np.uint64) * GOLDEN).view(np.int64)
 
 
+def parities(sets: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
+    """(documents, BITS / 64) words: every shingle's every occurrence flips a bit,
+    so two bitmaps differ in at most as many bits as the bags differ in members."""
+    n_docs = len(sets)
+    rate = np.concatenate(weights) if n_docs else np.zeros(0, np.int64)
+    item = np.repeat(np.concatenate(sets) if n_docs else np.zeros(0, np.uint64), rate)
+    doc = np.repeat(np.arange(n_docs), [int(w.sum()) for w in weights])
+    nth = np.arange(len(item)) - np.repeat(np.cumsum(rate) - rate, rate)
+    bit = (mix(item + nth.astype(np.uint64) * GOLDEN) % np.uint64(BITS)).astype(np.int64)
+    odd = np.bincount(doc * BITS + bit, minlength=n_docs * BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(n_docs, BITS // 64)
+
+
+def possible(x: Callable[[str], Column], y: Callable[[str], Column], threshold: float) -> Column:
+    """Whether the similarity can reach the threshold, by ``total`` weights, ``n``
+    distinct shingles and ``parity`` bitmaps of both.
+
+    With d members in one bag only, S both totals, m the smaller one: a shingle of
+    equal weight w in both adds w / ((S + d) / 2); one of unequal weights adds at
+    most its smaller weight / m, and these smaller weights sum up to at most what
+    repeats add to the totals, S less both n.  All equal ones and those weigh
+    (S - d) / 2 together.  The bound falls with d, which is at least the differing
+    bits and the difference of the totals.
+    """
+    bits = sum((F.bit_count(F.get(x("parity"), F.lit(i)).bitwiseXOR(F.get(y("parity"), F.lit(i))))
+                for i in range(BITS // 64)), F.lit(0))
+    both = x("total") + y("total")
+    d = F.greatest(bits.cast("long"), F.abs(x("total") - y("total")))
+    common = (both - d) / 2
+    unequal = F.least(common, (both - x("n") - y("n")).cast("double"))
+    return (common - unequal) * 2 / (both + d) + unequal / F.least(x("total"), y("total")) >= threshold - 1e-9
+
+
 def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
     """Probability Jaccard of two weighted sets (sorted distinct hashes)."""
     both, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
@@ -130,19 +169,23 @@ def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) ->
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, bands) of every document with words."""
+    """(doc_id, key, bands, parity, n, total) of every document with words."""
     schema = StructType([docs.schema["doc_id"], StructField("key", BinaryType()),
-                         StructField("bands", ArrayType(LongType()))])
+                         StructField("bands", ArrayType(LongType())), StructField("parity", ArrayType(LongType())),
+                         StructField("n", LongType()), StructField("total", LongType())])
+
+    def lists(words: np.ndarray) -> pa.Array:
+        n, width = words.shape
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(words.ravel(), pa.int64()))
 
     def make():
         hashes = WordHashes()
 
         def step(batch):
             found = [shingles(t, hashes) for t in batch.column(1).to_pylist()]
-            b = bands(signatures([f[1] for f in found], [f[2] for f in found]))
-            return [batch.column(0), [f[0] for f in found],
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * BANDS, pa.int32()),
-                                             pa.array(b.ravel(), pa.int64()))]
+            sets, weights = [f[1] for f in found], [f[2] for f in found]
+            return [batch.column(0), [f[0] for f in found], lists(bands(signatures(sets, weights))),
+                    lists(parities(sets, weights)), [len(x) for x in sets], [int(w.sum()) for w in weights]]
         return step
 
     return map_batches(docs.select("doc_id", "text"), make, schema).filter(F.col("key").isNotNull())
@@ -248,8 +291,8 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     the one with the smallest doc_id."""
     every, docs = docs.select("doc_id"), docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
     marks = stored(signed(docs), "near-signatures")
-    copies = stored(marks.groupBy("key").agg(F.min(F.struct("doc_id", "bands")).alias("x"))
-                    .select("key", F.col("x.doc_id").alias("rep"), F.col("x.bands").alias("bands")), "near-copies")
+    copies = stored(marks.groupBy("key").agg(F.min(F.struct("doc_id", "bands", "parity", "n", "total")).alias("x"))
+                    .select("key", F.col("x.doc_id").alias("rep"), "x.bands", "x.parity", "x.n", "x.total"), "near-copies")
     rows = copies.select("rep", F.explode("bands").alias("h"))
     lead = rows.groupBy(F.col("h").alias("_h")).agg(F.min("rep").alias("lead"), F.count("*").alias("n")).filter("n > 1")
     buckets = stored(rows.join(lead, F.col("h") == F.col("_h")).select("h", "rep", "lead"), "near-buckets")
@@ -281,12 +324,13 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     own = labelled(buckets.select("h", "rep").withColumn("split", F.array("h")), classes)
     for step in range(MAX_SPLITS + 1):
         last = step == MAX_SPLITS
-        again = stored(mixed(own), "near-mixed")
+        again = stored(mixed(own).join(copies.select("rep", "parity", "n", "total"), "rep"), "near-mixed")
         few, crowd = (again, again.limit(0)) if last else (again.filter(~F.col("crowd")), again.filter("crowd"))
-        x = few.filter("c <> most").select("h", F.col("rep").alias("x"), F.col("c").alias("cx"), "most")
-        y = few.select(F.col("h").alias("_h"), F.col("rep").alias("y"), F.col("c").alias("cy"))
-        pairs = (x.join(y, (F.col("h") == F.col("_h")) & (F.col("cx") != F.col("cy"))
-                        & ((F.col("cy") == F.col("most")) | (F.col("x") < F.col("y")))).select("x", "y")
+        x, y = few.filter("c <> most").alias("l"), few.alias("r")
+        left, right = (lambda c: F.col(f"l.{c}")), (lambda c: F.col(f"r.{c}"))
+        pairs = (x.join(y, (left("h") == right("h")) & (left("c") != right("c"))
+                        & ((right("c") == left("most")) | (left("rep") < right("rep")))
+                        & possible(left, right, threshold)).select(left("rep").alias("x"), right("rep").alias("y"))
                  .unionByName(crowd.filter("c <> most").select(F.col("rep").alias("x"), F.col("hub").alias("y")))
                  .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
