@@ -3,12 +3,13 @@
 Markup is stripped into lines, one to each block of the page, in page order.
 Blocks in menus, headers, footers, sidebars, notices, adverts, forms and
 comments (by element, role, class or id) and blocks outside the article, where
-the page marks one, are lines of length 0; a run of such lines counts as one.
-Text lengths are summed over sliding windows of ``WINDOW`` lines: text surges
-where a sum rises above the level of the page's noise and dives where it falls
-to zero; the lines between a surge and its dive are kept, whatever their own
-length.  A page that marks its article keeps every region found in it; without
-a mark the region with the most text is kept.
+the page marks one, are lines of length 0.  A page that marks its article keeps
+all other lines of it.  Without a mark the lengths choose: the text of links does
+not count, except in headings and on pages that have no other; lengths are summed
+over sliding windows of ``WINDOW`` lines; text surges where a sum reaches half the
+mean length of the page's lines of text and dives where it falls to zero; of the
+lines between a surge and its dive all outside boilerplate are kept, whatever
+their own length.
 
 Cases: null html is empty text; unclosed elements end with their parent or the
 page; a page cut off anywhere is read as far as it goes; repeated rows are
@@ -45,9 +46,11 @@ MARKS = frozenset("""ad ads adv advert adverts advertisement advertising banner
     """.split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 SPLIT = re.compile(r"[^a-z0-9]+")
+HREF = re.compile(r"\bhref\s*=", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: elements that an opening tag of the same kind, or a block, closes
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
-          "th": {"td", "th"}, "option": {"option"}}
+          "th": {"td", "th"}, "option": {"option"}, "a": {"a"}}
 
 
 def boilerplate(name: str, attributes: str, in_article: bool) -> bool:
@@ -64,31 +67,41 @@ def boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines(html: str) -> tuple[list[tuple[str, bool, bool]], bool]:
-    """((text, boilerplate, in the article) of each block; article marked)."""
-    out: list[tuple[str, bool, bool]] = []
+def lines(html: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
+    """((text, boilerplate, in the article, length without links) of each block;
+    article marked)."""
+    out: list[tuple[str, bool, bool, int]] = []
     stack: list[str] = []
-    skip_at = article_at = 0                     # depth of the element that began it; 0: none
+    skip_at = article_at = link_at = 0           # depth of the element that began it; 0: none
     seen_article = False
     part: list[str] = []
+    linked: list[str] = []
+
+    def add(text: str):
+        part.append(text)
+        if link_at:
+            linked.append(text)
 
     def end_block():
         if part:
             text = " ".join(unescape("".join(part)).split())
             if text:
-                out.append((text, bool(skip_at), bool(article_at)))
+                links = len(" ".join(unescape(" ".join(linked)).split())) if linked else 0
+                out.append((text, bool(skip_at), bool(article_at), max(len(text) - links, 0)))
             part.clear()
+            linked.clear()
 
     def close_to(depth: int):
-        nonlocal skip_at, article_at
+        nonlocal skip_at, article_at, link_at
         del stack[depth:]
         skip_at = 0 if skip_at > depth else skip_at
         article_at = 0 if article_at > depth else article_at
+        link_at = 0 if link_at > depth else link_at
 
     html, last = HIDDEN.sub(" ", html), 0
     for m in TAG.finditer(html):
         if m.start() > last:
-            part.append(html[last:m.start()])
+            add(html[last:m.start()])
         last = m.end()
         closing, name, attributes = m[1], (m[2] or "").lower(), m[3]
         if name == "br":
@@ -111,22 +124,25 @@ def lines(html: str) -> tuple[list[tuple[str, bool, bool]], bool]:
         elif name in CLOSES and stack and stack[-1] in CLOSES[name]:
             close_to(len(stack) - 1)
         stack.append(name)
+        if name == "a" and not link_at and HREF.search(attributes) and HEADINGS.isdisjoint(stack):
+            link_at = len(stack)
         if not skip_at and boilerplate(name, attributes, bool(article_at)):
             skip_at = len(stack)
         elif not article_at and not skip_at and name in ("article", "main"):
             article_at, seen_article = len(stack), True
-    part.append(html[last:])
+    add(html[last:])
     end_block()
     return out, seen_article
 
 
-def regions(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
+def regions(lengths: list[int], window: int = WINDOW, level: float = 0) -> list[tuple[int, int]]:
     """[surge, dive) of each stretch where the sums over ``window`` lines from
-    each line on stay above zero; it begins and ends with a line of text."""
+    each line on reach ``level`` and then stay above zero; it begins and ends
+    with a line of text."""
     n, out, start = len(lengths), [], None
     total = sum(lengths[:window])
     for i in range(n + 1):
-        if start is None and i < n and lengths[i]:
+        if start is None and i < n and lengths[i] and total >= level:
             start = i
         if start is not None and (i == n or not total):
             end = i
@@ -143,17 +159,13 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     blocks, marked = lines(html)
-    texts, lengths = [], []
-    for text, skip, inside in blocks:
-        zero = skip or marked and not inside
-        if zero and lengths and not lengths[-1]:
-            continue                                                # a run of such lines counts as one
-        texts.append(text)
-        lengths.append(0 if zero else len(text))
-    found = regions(lengths)
-    if not marked and found:
-        found = [max(found, key=lambda r: sum(lengths[r[0]:r[1]]))]
-    return "\n\n".join(texts[i] for a, b in found for i in range(a, b) if lengths[i])
+    if marked:
+        return "\n\n".join(text for text, skip, inside, _ in blocks if inside and not skip)
+    lengths = [0 if skip else own for _, skip, _, own in blocks]
+    if not any(lengths):
+        lengths = [0 if skip else len(text) for text, skip, _, _ in blocks]
+    level = sum(lengths) / (2 * max(sum(map(bool, lengths)), 1))
+    return "\n\n".join(blocks[i][0] for a, b in regions(lengths, WINDOW, level) for i in range(a, b) if not blocks[i][1])
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -163,6 +163,19 @@ def test_regions_between_surge_and_dive():
     assert html_extract.regions([]) == [] == html_extract.regions([0, 0])
 
 
+def test_line_blocks_choose_the_text_of_bare_divs():
+    long = "some words of the text " * 8
+    menu = "".join(f'<div><a href="/{i}">Section number {i}</a></div>' for i in range(8))
+    page = (f'<body>{menu}<div>{long}one</div><div>short</div><div><a href="/x">see also</a></div><div>{long}two</div>'
+            f'<div class="ad">a</div><div class="ad">b</div><div class="ad">c</div><div>{long}three</div>{menu}'
+            '<div>Printed on paper</div>')
+    assert html_extract.main_text(page).split("\n\n") == [long + "one", "short", "see also", long + "two", long + "three"]
+    assert html_extract.main_text('<div><a href="/x">only a link</a></div>') == "only a link"
+    assert html_extract.main_text(f'<h1><a href="/x">Title</a></h1><div>{long}</div>') == "Title\n\n" + long.strip()
+    assert html_extract.main_text(f"<main><div>{long}</div>{menu}<div>end</main>").endswith("Section number 7\n\nend")
+    assert html_extract.regions([4, 0, 0, 0, 9, 4, 0, 0, 0, 4], level=5) == [(4, 6)]
+
+
 def test_gradient_of_the_attention_model():
     r = np.random.default_rng(0)
     bags = [r.normal(size=(n, quality_classifier.N_FEATURES)) for n in (1, 3, 2)]
