@@ -15,11 +15,12 @@ smallest one it shares a bucket with; then against the smallest of each bucket
 that has not linked to the same; then, in buckets that still hold several components,
 pairs of different components only.  In buckets with more than ``CROWD`` such
 pairs for each row, the rows outside the largest component first meet one row of
-it; what still holds several is split by a second band (and a third): similar
-pairs agree in several bands, unlike ones that share a passage do not.  The join
-that makes these last pairs leaves out those whose weights and parity bitmaps
-(Sandes et al. 2017) already bound the similarity below the threshold, which
-loses no link; all others are verified.
+it, which only saves pairs: all of different components that are left then meet
+in a last round, in blocks of ``BLOCK`` rows against each other, so that no task
+holds a whole bucket.  What makes these pairs leaves out those whose weights
+and parity bitmaps (Sandes et al. 2017) already bound the similarity below the
+threshold, and a pair of a crowd that shares several buckets is verified in one of
+them only; neither loses a link, and all other pairs are verified.
 
 Result: one row a document with its class (the smallest doc_id of its
 connected component of links).
@@ -39,6 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField,
                                StructType)
 
@@ -49,8 +51,9 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
 M = BANDS * ROWS
 BITS = 512                     # of a parity bitmap
-CROWD = 16                     # pairs for each row of a bucket that is not split further
-MAX_SPLITS = 2
+CROWD = 16                     # pairs for each row of a bucket that meets no hub first
+BLOCK = 512                    # rows of a crowd that one task holds, twice
+STEP = 32                      # of these against a block at a time
 MAX_CACHE = 200_000
 
 # Fixed values of the splitmix64 generator (Steele, Lea, Flood 2014).
@@ -265,7 +268,7 @@ def labelled(buckets: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def mixed(rows: DataFrame) -> DataFrame:
-    """The rows (h, rep, c, split) of buckets that hold several components, with
+    """The rows (h, rep, c) of buckets that hold several components, with
     the bucket's largest component ``most``, one row ``hub`` of it, and whether the
     bucket is a ``crowd``: more than CROWD pairs of different components a row."""
     n, square = F.sum("n").cast("double"), F.sum(F.col("n").cast("double") * F.col("n"))
@@ -274,16 +277,67 @@ def mixed(rows: DataFrame) -> DataFrame:
              .groupBy("_h").agg(F.count("*").alias("k"), F.max(F.struct("n", "c", "hub")).alias("x"),
                                 (n * n - square > 2 * CROWD * n).alias("crowd"))
              .filter("k > 1").select("_h", F.col("x.c").alias("most"), F.col("x.hub").alias("hub"), "crowd"))
-    return rows.join(sizes, F.col("h") == F.col("_h")).select("h", "rep", "c", "split", "most", "hub", "crowd")
+    return rows.join(sizes, F.col("h") == F.col("_h")).select("h", "rep", "c", "most", "hub", "crowd")
 
 
-def split_further(crowd: DataFrame) -> DataFrame:
-    """Buckets (h, rep, split) of the rows of crowds that agree in one more of
-    them; rows that agree in a bucket that is none have met there."""
-    other = crowd.select(F.col("rep").alias("_r"), F.explode("split").alias("k")).distinct()
-    return (crowd.join(other, (F.col("rep") == F.col("_r")) & ~F.array_contains("split", F.col("k")))
-            .select("rep", F.array_sort(F.concat("split", F.array("k"))).alias("split"))
-            .withColumn("h", F.xxhash64("split")).dropDuplicates(["h", "rep"]))
+def may_reach(px: np.ndarray, nx: np.ndarray, tx: np.ndarray, py: np.ndarray, ny: np.ndarray, ty: np.ndarray,
+              threshold: float) -> np.ndarray:
+    """``possible`` of every row of x with every row of y: (x, y) bools."""
+    bits = np.bitwise_count(px[:, None, :] ^ py[None, :, :]).sum(axis=2, dtype=np.int64)
+    both = tx[:, None] + ty[None, :]
+    d = np.maximum(bits, np.abs(tx[:, None] - ty[None, :]))
+    common = (both - d) / 2
+    unequal = np.minimum(common, both - (nx[:, None] + ny[None, :]))
+    return (common - unequal) * 2 / (both + d) + unequal / np.minimum(tx[:, None], ty[None, :]) >= threshold - 1e-9
+
+
+def crowd_links(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, sim) of every pair of different components in a bucket that reaches
+    the threshold, verified once for all the buckets it shares."""
+    size = rows.groupBy(F.col("h").alias("_h")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = (rows.join(size, F.col("h") == F.col("_h")).withColumn("own", own)
+             .select("h", "rep", "c", "bands", "parity", "n", "total", "items", "weights", "own",
+                     F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+             .select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
+                     "rep", "c", "bands", "parity", "n", "total", "items", "weights"))
+    rep = rows.schema["rep"].dataType
+    schema = StructType([StructField("a", rep), StructField("b", rep), StructField("sim", DoubleType())])
+    to = to_arrow_schema(schema)
+
+    def meet(key, group):
+        h, i, j = (k.as_py() for k in key)
+        ids = group.column("rep").combine_chunks()
+        c = np.unique(group.column("c").to_numpy(), return_inverse=True)[1]
+        side_, n, total = (group.column(x).to_numpy() for x in ("own", "n", "total"))
+        band, parity = (np.array(group.column(x).to_pylist(), np.int64) for x in ("bands", "parity"))
+        parity = parity.view(np.uint64)
+        a, b = np.flatnonzero(side_ == i), np.flatnonzero(side_ == j)
+        items = [np.frombuffer(x, np.uint64) for x in group.column("items").to_pylist()]
+        weights = [np.ones(len(x)) if w is None else np.frombuffer(w, "<i4")
+                   for x, w in zip(items, group.column("weights").to_pylist())]
+        left, right, sims = [], [], []
+        for at in range(0, len(a), STEP):
+            p = a[at:at + STEP]
+            meets = may_reach(parity[p], n[p], total[p], parity[b], n[b], total[b], threshold)
+            meets &= c[p][:, None] != c[b][None, :]
+            if i == j:
+                meets &= p[:, None] < b[None, :]
+            k, m = np.nonzero(meets)
+            k, m = p[k], b[m]
+            # a band's hash has its number, so shared bands stand at one place
+            first = ~((band[k] == band[m]) & (band[k] < h)).any(axis=1)
+            for x, y in zip(k[first].tolist(), m[first].tolist()):
+                sim = similarity(items[x], weights[x], items[y], weights[y])
+                if sim >= threshold - 1e-12:
+                    left.append(x)
+                    right.append(y)
+                    sims.append(sim)
+        k, m = pa.array(left, pa.int64()), pa.array(right, pa.int64())
+        return pa.Table.from_arrays([ids.take(k), ids.take(m), pa.array(sims, pa.float64())], schema=to)
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(parts, "h", "i", "j").groupBy("h", "i", "j").applyInArrow(meet, schema)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -320,27 +374,27 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     classes = stored(components(links), "near-classes")
 
     # pairs of different components in the buckets that still hold several; crowds
-    # first meet a hub of their largest component, and then are split
-    own = labelled(buckets.select("h", "rep").withColumn("split", F.array("h")), classes)
-    for step in range(MAX_SPLITS + 1):
-        last = step == MAX_SPLITS
-        again = stored(mixed(own).join(copies.select("rep", "parity", "n", "total"), "rep"), "near-mixed")
-        few, crowd = (again, again.limit(0)) if last else (again.filter(~F.col("crowd")), again.filter("crowd"))
-        x, y = few.filter("c <> most").alias("l"), few.alias("r")
-        left, right = (lambda c: F.col(f"l.{c}")), (lambda c: F.col(f"r.{c}"))
-        pairs = (x.join(y, (left("h") == right("h")) & (left("c") != right("c"))
-                        & ((right("c") == left("most")) | (left("rep") < right("rep")))
-                        & possible(left, right, threshold)).select(left("rep").alias("x"), right("rep").alias("y"))
-                 .unionByName(crowd.filter("c <> most").select(F.col("rep").alias("x"), F.col("hub").alias("y")))
-                 .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        tested = tested.unionByName(pairs)
-        links = links.unionByName(verified(pairs, sets, threshold))
+    # first meet a hub of their largest component, and what is left of them then
+    # meets in full
+    own = labelled(buckets.select("h", "rep"), classes)
+    again = stored(mixed(own).join(copies.select("rep", "parity", "n", "total"), "rep"), "near-mixed")
+    few, crowd = again.filter(~F.col("crowd")), again.filter("crowd")
+    x, y = few.filter("c <> most").alias("l"), few.alias("r")
+    left, right = (lambda c: F.col(f"l.{c}")), (lambda c: F.col(f"r.{c}"))
+    pairs = (x.join(y, (left("h") == right("h")) & (left("c") != right("c"))
+                    & ((right("c") == left("most")) | (left("rep") < right("rep")))
+                    & possible(left, right, threshold)).select(left("rep").alias("x"), right("rep").alias("y"))
+             .unionByName(crowd.filter("c <> most").select(F.col("rep").alias("x"), F.col("hub").alias("y"))))
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+    links = links.unionByName(verified(pairs, sets, threshold))
+    classes = stored(components(links), "near-classes")
+    if crowd.limit(1).count():
+        rest = stored(mixed(labelled(crowd.select("h", "rep"), classes)).select("h", "rep", "c"), "near-crowd")
+        facts = (copies.select("rep", "bands", "parity", "n", "total")
+                 .join(sets.select(F.col("doc").alias("rep"), "items", "weights"), "rep"))
+        links = links.unionByName(stored(crowd_links(rest.join(facts, "rep"), threshold), "near-links"))
         classes = stored(components(links), "near-classes")
-        if last or not crowd.limit(1).count():
-            break
-        crowd = stored(mixed(labelled(crowd.select("h", "rep", "split"), classes)), "near-crowd")
-        own = labelled(split_further(crowd), classes)
 
     found = (marks.select("doc_id", "key").join(copies.select(F.col("key").alias("_k"), "rep"), F.col("key") == F.col("_k"))
              .join(classes.select(F.col("doc").alias("_d"), "class"), F.col("rep") == F.col("_d"), "left")

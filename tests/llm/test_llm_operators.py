@@ -94,6 +94,33 @@ def test_near_duplicates_split_crowded_buckets(spark, monkeypatch):
     assert {x["doc_id"]: x["class_id"] for x in near_dedup.near_duplicates(docs).collect()} == want
 
 
+def test_near_duplicates_in_a_crowd_share_one_bucket(spark, monkeypatch):
+    """Pairs of 0.8 or little more whose only shared bucket is a crowded one."""
+    base = [f"{i}" for i in range(96)]
+    rows = [(i, " ".join(base + [f"t{i // 2} {i // 2}"] + [f"o{i}x{k}" for k in range(10)])) for i in range(40)]
+    rows += [(100 + i, " ".join([f"q{i}x{k}" for k in range(60)])) for i in range(40)]
+    marks = near_dedup.bands
+
+    def one_bucket(sig):
+        own = marks(sig)
+        own[:, 0] = 7
+        own[:, 1:] = own[:, 1:] ^ sig[:, :1].view(np.int64) ^ np.array([zlib.crc32(x.tobytes()) for x in sig])[:, None]
+        return own
+
+    monkeypatch.setattr(near_dedup, "bands", one_bucket)
+    monkeypatch.setattr(near_dedup, "CROWD", 1)
+    monkeypatch.setattr(near_dedup, "BLOCK", 16, raising=False)
+    s = {i: sets(t) for i, t in rows}
+    want = {i: i for i, _ in rows}
+    for i in sorted(want):
+        for j in sorted(want):
+            if j < i and len(s[i] & s[j]) / len(s[i] | s[j]) >= 0.8:
+                low, high = sorted((want[i], want[j]))
+                want = {k: low if v == high else v for k, v in want.items()}
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x["doc_id"]: x["class_id"] for x in got} == want
+
+
 def test_line_dedup_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "CROWD", 2)
     monkeypatch.setattr(line_dedup, "LOOK_AT", 1)
