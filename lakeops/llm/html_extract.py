@@ -29,11 +29,14 @@ from lakeops.llm._common import map_batches
 WINDOW = 3
 
 HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
-                    r"|<(script|style|noscript|template|svg|iframe|object|textarea|select|title|head)\b"
+                    r"|<(script|style|textarea|title)\b"
                     r"[^>]*(?:/>|>.*?(?:</\1\s*>|\Z)|\Z)", re.S | re.I)
 TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)(/?)>|<(?=/?[a-zA-Z])[^<>]*\Z""")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 
+#: elements without text of the page; one without an end tag ends with its parent
+UNSEEN = frozenset("noscript template svg iframe object select".split())
+NEXT = {name: re.compile(rf"<(/?){name}\b", re.I) for name in UNSEEN}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section
@@ -67,17 +70,28 @@ def boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def ends(stack: list[str], hide_at: int, name: str) -> bool:
+    """Whether the block ``name`` ends an unseen element that has no end tag: it
+    ends the parent, no tag must end the parent, or svg cannot hold it."""
+    parent = stack[hide_at - 2] if hide_at > 1 else "html"
+    return (parent in ("html", "body", "p") or name in CLOSES and parent in CLOSES[name]
+            or stack[hide_at - 1] == "svg" and "foreignobject" not in stack[hide_at:])
+
+
 def lines(html: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
     """((text, boilerplate, in the article, length without links) of each block;
     article marked)."""
     out: list[tuple[str, bool, bool, int]] = []
     stack: list[str] = []
     skip_at = article_at = link_at = 0           # depth of the element that began it; 0: none
+    hide_at, unclosed = 0, False                 # the same of an element in UNSEEN; whether it has no end tag
     seen_article = False
     part: list[str] = []
     linked: list[str] = []
 
     def add(text: str):
+        if hide_at:
+            return
         part.append(text)
         if link_at:
             linked.append(text)
@@ -92,11 +106,12 @@ def lines(html: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
             linked.clear()
 
     def close_to(depth: int):
-        nonlocal skip_at, article_at, link_at
+        nonlocal skip_at, article_at, link_at, hide_at
         del stack[depth:]
         skip_at = 0 if skip_at > depth else skip_at
         article_at = 0 if article_at > depth else article_at
         link_at = 0 if link_at > depth else link_at
+        hide_at = 0 if hide_at > depth else hide_at
 
     html, last = HIDDEN.sub(" ", html), 0
     for m in TAG.finditer(html):
@@ -106,8 +121,20 @@ def lines(html: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
         closing, name, attributes = m[1], (m[2] or "").lower(), m[3]
         if name == "br":
             part.append(" ")
-        if not name or name in VOID and name != "hr":
+        if not name or name == "head" or name in VOID and name != "hr":
             continue
+        if hide_at:
+            if closing:
+                depth = len(stack) - 1 - stack[::-1].index(name) if name in stack else len(stack)
+                if depth >= hide_at - 1:
+                    close_to(depth)
+                    continue
+            elif unclosed and name in BLOCK and ends(stack, hide_at, name):
+                close_to(hide_at - 1)
+            else:
+                if name != "hr" and not m[4] and not attributes.endswith("/"):
+                    stack.append(name)
+                continue
         if name in BLOCK:
             end_block()
         if name == "hr":
@@ -124,6 +151,10 @@ def lines(html: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
         elif name in CLOSES and stack and stack[-1] in CLOSES[name]:
             close_to(len(stack) - 1)
         stack.append(name)
+        if name in UNSEEN:
+            part.append(" ")
+            after = NEXT[name].search(html, last)
+            hide_at, unclosed = len(stack), not after or not after[1]
         if name == "a" and not link_at and HREF.search(attributes) and HEADINGS.isdisjoint(stack):
             link_at = len(stack)
         if not skip_at and boilerplate(name, attributes, bool(article_at)):

@@ -176,6 +176,17 @@ def test_line_blocks_choose_the_text_of_bare_divs():
     assert html_extract.regions([4, 0, 0, 0, 9, 4, 0, 0, 0, 4], level=5) == [(4, 6)]
 
 
+def test_main_text_after_unseen_elements_without_end_tags():
+    article = "<article><p>Whole text</p></article>"
+    assert html_extract.main_text(f"<html><head><meta charset=utf-8><title>T</title><body>{article}") == "Whole text"
+    assert html_extract.main_text(f"<head><noscript><link rel=x><body>{article}") == "Whole text"
+    for name in sorted(html_extract.UNSEEN):
+        assert html_extract.main_text(f"<nav><ul><li><{name} id=x>menu</ul></nav>{article}") == "Whole text"
+        assert html_extract.main_text(f"<body><{name}>x{article}") == "Whole text"
+        page = f"<article><p>One <{name}><i>not</i> seen</{name}> two</p><p>Next</article>"
+        assert html_extract.main_text(page) == "One two\n\nNext"
+
+
 def test_gradient_of_the_attention_model():
     r = np.random.default_rng(0)
     bags = [r.normal(size=(n, quality_classifier.N_FEATURES)) for n in (1, 3, 2)]
