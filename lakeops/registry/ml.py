@@ -37,8 +37,7 @@ def train_classify(spark, sf_dir):
 @query("score_batch")
 def score_batch(spark, sf_dir):
     train, test = _travel_training(spark, sf_dir)
-    trials, fitted = models.search(train, test, TRAVEL_FEATURES, "purchased", "classification",
-                                   grid=models.CLASSIFIER_GRID[:2])
+    trials, fitted = models.search(train, test, TRAVEL_FEATURES, "purchased", "classification")
     best = models.pick_best(trials).collect()[0]      # one row: the best trial
     model = fitted[best.run_id]
     batch = test.select("user_id", "destination_id", "ts", "purchased", *TRAVEL_FEATURES)

@@ -48,3 +48,21 @@ def test_regression_search(spark):
                               "target", "regression", grid=models.REGRESSOR_GRID[:1])
     r = trials.first()
     assert r.status == "FINISHED" and r.metric < 1e-6
+
+
+def test_score_batch_searches_the_whole_grid(spark, monkeypatch):
+    from lakeops.registry import ml
+    df = _data(spark)
+    travel = df.select("id", F.col("y").alias("purchased"), F.lit(1).alias("user_id"), F.lit(2).alias("destination_id"),
+                       F.lit("t").alias("ts"), *[(F.col("x1") + i).alias(c) for i, c in enumerate(ml.TRAVEL_FEATURES)])
+    monkeypatch.setattr(ml, "_travel_training", lambda spark, sf_dir: (travel.filter("id % 4 <> 0"), travel.filter("id % 4 = 0")))
+    seen, search = [], models.search
+
+    def spy(*args, **named):
+        found = search(*args, **named)
+        seen.append(found[0].select("model", "status").collect())
+        return found
+
+    monkeypatch.setattr(models, "search", spy)
+    assert ml.score_batch(spark, "").count() == 100
+    assert [tuple(r) for r in seen[0]] == [(m, "FINISHED") for m, *_ in models.CLASSIFIER_GRID]
