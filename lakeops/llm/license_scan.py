@@ -113,8 +113,13 @@ class Scanner:
         hits = []
         for i, own in windows.items():
             for a, b in own:
-                for m in self.exact[i].finditer(text, a, b):
-                    hits.append((m.start(), m.end(), i, sum(m.fuzzy_counts)))
+                todo = [(a, b)]
+                while todo:                                        # the best match, then before and after it
+                    start, end = todo.pop()
+                    m = self.exact[i].search(text, start, end)
+                    if m:
+                        hits.append((m.start(), m.end(), i, sum(m.fuzzy_counts)))
+                        todo += [(x, y) for x, y in ((start, m.start() - 1), (m.end(), end)) if x < y]
         kept: list[tuple[int, int, int, int]] = []
         for h in sorted(set(hits), key=lambda h: (h[3] / len(self.notices[h[2]].text), -(h[1] - h[0]), h)):
             label = self.notices[h[2]].label

@@ -146,6 +146,15 @@ def test_fuzzy_search_misses_no_match_within_the_edits():
         assert bool(s.fuzzy(text)) == bool(whole.search(text))
 
 
+def test_license_scan_finds_neighbouring_notices():
+    s = license_scan.Scanner()
+    worse, best = "released under the mit licence ", "released under the mit license "
+    for text, edits in ((worse + best, [1, 0]), (best + worse, [0, 1]), (worse + worse + best + worse, [1, 1, 0, 1])):
+        spans = [x for x in s.scan("see " + text + "here")[7] if x["label"] == "mit"]
+        assert [(x["first_word"], x["last_word"]) for x in spans] == [(1 + 5 * i, 5 + 5 * i) for i in range(len(edits))]
+        assert [x["edits"] for x in spans] == edits
+
+
 def test_main_text():
     page = ('<html><head><title>T</title></head><body><nav><ul><li><a href="/a">menu</a></ul></nav><div class="ad">buy</div>'
             '<article><h1>Head</h1><p><b>One&amp;two<br>more \n x<p>Next <i>it</i>em</p><div class="comments"><p>troll</p></div>'
