@@ -48,6 +48,22 @@ def map_batches(df: DataFrame, make: Callable, schema: StructType) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def map_slices(df: DataFrame, make: Callable, schema: StructType, rows: int) -> DataFrame:
+    """As ``map_batches``, ``rows`` rows at a time; the batches that hold them keep
+    the session's bounds (``spark.sql.execution.arrow.maxBytesPerBatch``)."""
+    out = to_arrow_schema(schema)
+
+    def run(batches):
+        step = make()
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                cols = step(batch.slice(at, rows))
+                yield pa.RecordBatch.from_arrays(
+                    [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, out)], schema=out)
+
+    return df.mapInArrow(run, schema)
+
+
 def side(table: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """A stored, narrow table as a join side: broadcast when its counted rows
     are at most ``max_rows``, else left to a shuffle join (same result)."""

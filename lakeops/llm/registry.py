@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from lakeops.llm import (html_extract, license_scan, line_dedup, mixing, near_dedup, packing, quality_classifier,
-                         quality_rules, token_output, topk)
+from lakeops.llm import (html_extract, license_scan, line_dedup, merkle, mixing, near_dedup, packing,
+                         quality_classifier, quality_rules, token_output, topk)
 from lakeops.llm._common import table
-from lakeops.llm.sql import LINE_DEDUP_SQL, QUALITY_RULES_SQL, TOPK_SQL
+from lakeops.llm.sql import LINE_DEDUP_SQL, MANIFEST_SQL, QUALITY_RULES_SQL, TOPK_SQL
 
 #: file of the tokenizer; a parameter of the operators
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -58,9 +59,19 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).drop("removed")
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("decimal(20,0)").cast("string")
+    hit = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    rows = merkle.manifest(docs, {"n_chars": F.when(hit, more).otherwise(F.col("n_chars").cast("string"))})
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+                       "verified")
+
+
 QUERIES: dict[str, Callable] = {f.__name__: f for f in (
     op1_exact_topk, op2_quality_rules, op3_near_dedup, op4_best_fit_packing, op5_license_scan,
-    op6_quality_classifier, op7_source_mixing, op8_html_extraction, op9_token_output, op10_line_dedup)}
+    op6_quality_classifier, op7_source_mixing, op8_html_extraction, op9_token_output, op10_line_dedup,
+    op11_merkle_manifest)}
 
 ORACLE: dict[str, str] = {"op1_exact_topk": TOPK_SQL, "op2_quality_rules": QUALITY_RULES_SQL,
-                          "op10_line_dedup": LINE_DEDUP_SQL}
+                          "op10_line_dedup": LINE_DEDUP_SQL, "op11_merkle_manifest": MANIFEST_SQL}

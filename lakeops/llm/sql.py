@@ -129,3 +129,68 @@ LEFT JOIN (SELECT d, count(*) AS n FROM gone GROUP BY d) r ON r.d = doc_id
 LEFT JOIN (SELECT ln.d, string_agg(line, chr(10) ORDER BY ln.l) AS kept
            FROM ln LEFT JOIN gone USING (d, l) WHERE gone.d IS NULL GROUP BY ln.d) t ON t.d = doc_id
 """
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, a bit at a time."""
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, "
+            f"list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT)), "
+            "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], "
+            "lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))")
+
+
+def _encoded(*values: str) -> str:
+    return " || ".join(f"coalesce(strlen({v}::VARCHAR) || ':' || {v}, '-')" for v in values)
+
+
+MANIFEST_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, sha256({_encoded('doc_id', 'source', 'lang', 'n_chars', 'text')}) AS leaf,
+         sha256({_encoded('doc_id', 'source', 'lang', 'm', 'text')}) AS now
+  FROM (SELECT *, CASE WHEN doc_id IS NOT NULL AND {_crc32('doc_id::VARCHAR')} % 7 = 0 THEN n_chars + 1
+                       ELSE n_chars END AS m FROM documents)
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n FROM d
+), up AS (
+  SELECT lang, 0 AS lev, pos, leaf AS node, n FROM p
+  UNION ALL
+  SELECT lang, lev + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2
+  FROM up WHERE n > 1 GROUP BY lang, lev, pos // 2, n
+), g AS (
+  SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM up WHERE n = 1
+), top AS (
+  SELECT 0 AS lev, pos, subroot AS node, n FROM g
+  UNION ALL
+  SELECT lev + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2
+  FROM top WHERE n > 1 GROUP BY lev, pos // 2, n
+), own AS (
+  SELECT p.doc_id, p.lang, p.pos, p.leaf, p.now, up.lev, p.pos >> up.lev AS place, s.node AS sib
+  FROM p JOIN up ON up.lang IS NOT DISTINCT FROM p.lang AND up.pos = p.pos >> up.lev AND up.n > 1
+  LEFT JOIN up s ON s.lang IS NOT DISTINCT FROM p.lang AND s.lev = up.lev AND s.pos = xor(p.pos >> up.lev, 1)
+), heads AS (
+  SELECT g.lang, top.lev, g.pos >> top.lev AS place, s.node AS sib
+  FROM g JOIN top ON top.pos = g.pos >> top.lev AND top.n > 1
+  LEFT JOIN top s ON s.lev = top.lev AND s.pos = xor(g.pos >> top.lev, 1)
+), steps AS (
+  SELECT doc_id, lang, pos, row_number() OVER (PARTITION BY lang, pos ORDER BY part, lev) AS k, place, coalesce(sib, '') AS sib
+  FROM (SELECT doc_id, lang, pos, 0 AS part, lev, place, sib FROM own
+        UNION ALL SELECT p.doc_id, p.lang, p.pos, 1, h.lev, h.place, h.sib
+        FROM p JOIN heads h ON h.lang IS NOT DISTINCT FROM p.lang)
+), fold AS (
+  SELECT lang, pos, 0 AS k, now AS node FROM p
+  UNION ALL
+  SELECT f.lang, f.pos, f.k + 1, sha256(CASE WHEN s.place % 2 = 0 THEN f.node || s.sib ELSE s.sib || f.node END)
+  FROM fold f JOIN steps s ON s.lang IS NOT DISTINCT FROM f.lang AND s.pos = f.pos AND s.k = f.k + 1
+), ends AS (
+  SELECT lang, pos, arg_max(node, k) AS folded_root FROM fold GROUP BY lang, pos
+), proofs AS (
+  SELECT lang, pos, string_agg(sib, '' ORDER BY k) AS proof FROM steps GROUP BY lang, pos
+)
+SELECT p.doc_id, p.leaf, g.subroot, r.node AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root,
+       folded_root = r.node AS verified
+FROM p JOIN g ON g.lang IS NOT DISTINCT FROM p.lang JOIN top r ON r.n = 1
+JOIN ends e ON e.lang IS NOT DISTINCT FROM p.lang AND e.pos = p.pos
+LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.pos = p.pos
+"""
