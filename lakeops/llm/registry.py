@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lakeops.llm import (html_extract, license_scan, line_dedup, merkle, mixing, near_dedup, packing,
-                         quality_classifier, quality_rules, token_output, topk)
+from lakeops.llm import (conversations, html_extract, license_scan, line_dedup, merkle, mixing, near_dedup,
+                         packing, quality_classifier, quality_rules, substring_dedup, token_output, topk)
 from lakeops.llm._common import table
-from lakeops.llm.sql import LINE_DEDUP_SQL, MANIFEST_SQL, QUALITY_RULES_SQL, TOPK_SQL
+from lakeops.llm.sql import (CONVERSATIONS_SQL, LINE_DEDUP_SQL, MANIFEST_SQL, QUALITY_RULES_SQL,
+                             SUBSTRING_DEDUP_SQL, TOPK_SQL)
 
 #: file of the tokenizer; a parameter of the operators
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -68,10 +69,21 @@ def op11_merkle_manifest(spark, sf_dir):
                        "verified")
 
 
+def op12_conversation_repair(spark, sf_dir):
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")), F.col("present"))
+
+
+def op13_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable] = {f.__name__: f for f in (
     op1_exact_topk, op2_quality_rules, op3_near_dedup, op4_best_fit_packing, op5_license_scan,
     op6_quality_classifier, op7_source_mixing, op8_html_extraction, op9_token_output, op10_line_dedup,
-    op11_merkle_manifest)}
+    op11_merkle_manifest, op12_conversation_repair, op13_substring_dedup)}
 
 ORACLE: dict[str, str] = {"op1_exact_topk": TOPK_SQL, "op2_quality_rules": QUALITY_RULES_SQL,
-                          "op10_line_dedup": LINE_DEDUP_SQL, "op11_merkle_manifest": MANIFEST_SQL}
+                          "op10_line_dedup": LINE_DEDUP_SQL, "op11_merkle_manifest": MANIFEST_SQL,
+                          "op12_conversation_repair": CONVERSATIONS_SQL,
+                          "op13_substring_dedup": SUBSTRING_DEDUP_SQL}

@@ -194,3 +194,100 @@ FROM p JOIN g ON g.lang IS NOT DISTINCT FROM p.lang JOIN top r ON r.n = 1
 JOIN ends e ON e.lang IS NOT DISTINCT FROM p.lang AND e.pos = p.pos
 LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.pos = p.pos
 """
+
+
+# A state of reading is a text: cost in nine digits, then the audit ('~': not reached),
+# so the least (cost, audit) is the least text.
+def _edit(state: str, cost: str, letters: str) -> str:
+    return (f"CASE WHEN {state} = '~' THEN '~' ELSE lpad((CAST(substr({state}, 1, 9) AS BIGINT) + {cost})::VARCHAR, 9, '0') "
+            f"|| substr({state}, 10) || '{letters}' END")
+
+
+def _read(states: list[str], initial: str) -> str:
+    """The least of reading one turn as ``initial`` from any of the states."""
+    return ", ".join(f"CASE WHEN NOT must THEN {_edit(s, '3 + t', 'R')} ELSE '~' END, "
+                     f"CASE WHEN NOT must AND c = '{initial}' THEN {_edit(s, 't', 'K')} ELSE '~' END" for s in states)
+
+
+_CLOSED = (f"s0 AS c0, s1 AS c1, least(s2, {', '.join(_edit(s, '3', 'I') for s in ('s0', 's1', 's3'))}) AS c2, "
+           f"least(s3, {_edit('s2', '3', 'I')}, {_edit('s0', '6', 'II')}, {_edit('s1', '6', 'II')}) AS c3")
+_SYSTEM = f"CASE WHEN NOT must AND c = 's' THEN {_edit('c0', 't', 'K')} ELSE '~' END"
+_CRC = _crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")
+
+CONVERSATIONS_SQL = rf"""
+WITH RECURSIVE o AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS kind FROM conversations
+), d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM o WHERE kind <> 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k FROM d
+), f AS (
+  SELECT conv_id, turn, role, text, k, left(role, 1) AS c,
+         regexp_replace(text, '[ 	-
+]+$', '') AS bare,
+         k > min(k) OVER (PARTITION BY conv_id, role, text) AS again,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS before
+  FROM r
+), x AS (
+  SELECT *, bare = '' AS blank, bare <> '' AND again AS dup,
+         bare <> '' AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS cut FROM f
+), n AS (
+  SELECT conv_id, k, c, blank OR dup AS must, CASE WHEN cut THEN 3 ELSE 0 END AS t FROM x
+), dp AS (
+  SELECT conv_id, 0::BIGINT AS k, '000000000' AS s0, '~' AS s1, '~' AS s2, '~' AS s3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, k, {_edit('c0', '4', 'D')}, least({_edit('c1', '4', 'D')}, {_SYSTEM}),
+         least({_edit('c2', '4', 'D')}, {_read(['c0', 'c1', 'c3'], 'u')}),
+         least({_edit('c3', '4', 'D')}, {_read(['c2'], 'a')})
+  FROM (SELECT p.conv_id, n.k, n.c, n.must, n.t, {_CLOSED}
+        FROM dp p JOIN n ON n.conv_id IS NOT DISTINCT FROM p.conv_id AND n.k = p.k + 1)
+), best AS (
+  SELECT conv_id, least(c0, c3) AS b FROM (
+    SELECT conv_id, {_CLOSED} FROM dp QUALIFY k = max(k) OVER (PARTITION BY conv_id))
+), audits AS (
+  SELECT conv_id, CAST(substr(b, 1, 9) AS BIGINT) AS cost, substr(b, 10) AS audit FROM best
+), e AS (
+  SELECT conv_id, i, substr(audit, i, 1) AS e, length(replace(audit, 'D', '')) % 2 AS odd
+  FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS i FROM audits)
+), w AS (
+  SELECT *, sum(CASE WHEN e <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) AS k,
+         sum(CASE WHEN e <> 'D' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) AS item FROM e
+), texts AS (
+  SELECT w.conv_id, string_agg(CASE WHEN e = 'K' THEN x.role WHEN (item - 1 - odd) % 2 = 0 THEN 'user' ELSE 'assistant' END
+                               || ':' || coalesce(x.text, ''), chr(10) ORDER BY i) AS text
+  FROM w LEFT JOIN x ON x.conv_id IS NOT DISTINCT FROM w.conv_id AND x.k = w.k AND w.e <> 'I'
+  WHERE e <> 'D' GROUP BY w.conv_id
+), sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM x GROUP BY conv_id
+)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       cost, audit, sha256(coalesce(t.text, '')) AS repaired_sha256
+FROM audits a LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+SUBSTRING_DEDUP_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT r, doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS k
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 50)) AS j
+  FROM (SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY k) AS low FROM win) WHERE low < doc_id
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY j) AS text
+  FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM d) ANTI JOIN gone USING (r, j) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
