@@ -9,17 +9,18 @@ Scale design
 holds a third of all rows would then run in a single task.  Two exact
 strategies avoid that:
 
-**prefix** (sums and counts, the default for them).  Rows are first reduced
-to one row per distinct (key, second) — a partial aggregate, so duplicates of
-a hot key collapse map-side.  Running totals are computed per (key, day),
-where a group can never exceed 86,400 rows however hot the key, and each day
-adds the carried total of all earlier days (a window over the small
-key x day table).  A frame's value is then ``P(sec - upper) - P(sec - lower - 1)``;
-the running total at a frame edge comes from a "probe" row placed at that
-second in the same (key, day) pass.  Results are joined back to the rows on
-(key, second).  Fractional sums run in DECIMAL(38,12) so
-the difference of two large running totals loses nothing (|values| < 1e26;
-NaN and infinities count as NULL).
+**cells** (sums, counts, least and greatest values, the default for them).
+Rows are first reduced to one row per distinct (key, second), so duplicates of
+a hot key collapse map-side.  Time is cut into cells of a day (or of the
+shortest frame, where that is shorter).  A frame from ``a`` to ``e`` is the
+rest of a's cell from ``a`` on, the whole cells between, and e's cell up to
+``e``; the three parts are merged, never subtracted, so any associative
+aggregate is exact and NaN, infinities, very large and very small values give
+what the plain window gives.  The ends come from one window pass per
+(key, cell), a group of 86,400 seconds at most however hot the key, in which a
+"probe" row stands at every frame's start; the cells between come from a
+window over the small key x cell table.  The parts meet again by (key, second)
+and are joined back to the rows.
 
 **halo** (any aggregate).  We partition by ``(key, time bucket)``.  A row belongs to bucket ``floor(sec / B)``;
 because a frame only looks back ``W = max(lower)`` seconds, the rows of the
@@ -37,21 +38,26 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, DecimalType, FractionalType,
-                               IntegralType, StringType, TimestampNTZType, TimestampType)
-
 
 DAY = 86400
-EXACT_DECIMAL = DecimalType(38, 12)
+HOUR = 3600
+
+#: How an aggregate starts from rows, and how its partial values are merged.
+MONOIDS = {
+    "sum": (F.sum, F.sum),
+    "count": (F.count, F.sum),
+    "min": (F.min, F.min),
+    "max": (F.max, F.max),
+}
 
 
 @dataclass(frozen=True)
 class Frame:
     """One rolling aggregate: ``name = agg`` over ``[sec-lower, sec-upper]``.
 
-    ``kind``/``column`` mark invertible aggregates (``sum``, ``count``,
-    ``count_all``) that the prefix strategy can compute; use the
-    ``sum_frame``/``count_frame`` constructors for those.
+    ``kind``/``column`` mark the aggregates of ``MONOIDS``, which the cells
+    strategy can compute; use the ``sum_frame``, ``count_frame``, ``min_frame``
+    and ``max_frame`` constructors for those.
     """
 
     name: str
@@ -67,9 +73,16 @@ def sum_frame(name: str, column: str, lower: int, upper: int = 0) -> Frame:
 
 
 def count_frame(name: str, lower: int, upper: int = 0, column: str | None = None) -> Frame:
-    if column is None:
-        return Frame(name, F.count(F.lit(1)), lower, upper, "count_all", None)
-    return Frame(name, F.count(column), lower, upper, "count", column)
+    """Rows of the frame, or those with a value in ``column``."""
+    return Frame(name, F.count(F.lit(1) if column is None else column), lower, upper, "count", column)
+
+
+def min_frame(name: str, column: str, lower: int, upper: int = 0) -> Frame:
+    return Frame(name, F.min(column), lower, upper, "min", column)
+
+
+def max_frame(name: str, column: str, lower: int, upper: int = 0) -> Frame:
+    return Frame(name, F.max(column), lower, upper, "max", column)
 
 
 def rolling_aggregate(df: DataFrame, keys: list[str], seconds_col: str,
@@ -79,18 +92,20 @@ def rolling_aggregate(df: DataFrame, keys: list[str], seconds_col: str,
 
     ``seconds_col`` must be an integral epoch-seconds column.  Rows with a NULL
     key form their own partition, as in a plain ``partitionBy``; rows with a
-    NULL time get NULL-time peers only.  ``strategy``: ``prefix`` (sums and
-    counts only), ``halo``, or ``auto`` (prefix when every frame allows it).
+    NULL time get NULL-time peers only.  ``strategy``: ``cells`` (frames of the
+    constructors only; ``bucket_seconds`` is the length of a cell), ``halo``, or
+    ``auto`` (cells when every frame allows it and spans an hour or more).
     """
     if not frames:
         return df
     if any(f.lower < 0 or f.upper < 0 or f.upper > f.lower for f in frames):
         raise ValueError("frames must look back: 0 <= upper <= lower")
-    invertible = all(f.kind in ("sum", "count", "count_all") for f in frames)
-    if strategy == "prefix" or (strategy == "auto" and invertible):
-        if not invertible:
-            raise ValueError("prefix strategy needs sum/count frames")
-        return _rolling_prefix(df, keys, seconds_col, frames, bucket_seconds or DAY)
+    mergeable = all(f.kind in MONOIDS for f in frames)
+    span = min(f.lower - f.upper for f in frames)
+    if strategy == "cells" or (strategy == "auto" and mergeable and span >= HOUR):
+        if not mergeable:
+            raise ValueError("the cells strategy needs frames of a kind in MONOIDS")
+        return _rolling_cells(df, keys, seconds_col, frames, max(1, min(bucket_seconds or DAY, span)))
     return _rolling_halo(df, keys, seconds_col, frames, bucket_seconds)
 
 
@@ -126,120 +141,82 @@ def rolling_aggregate_plain(df: DataFrame, keys: list[str], seconds_col: str,
                        for f in frames])
 
 
-def _null_safe_key(df: DataFrame, k: str, i: int) -> list[Column]:
-    """A NULL key is its own group: (is_null flag, value or a type default)."""
-    t = df.schema[k].dataType
-    if isinstance(t, StringType):
-        default = F.lit("")
-    elif isinstance(t, BooleanType):
-        default = F.lit(False)
-    elif isinstance(t, (DateType, TimestampType, TimestampNTZType)):
-        default = F.lit("1970-01-01").cast(t)
-    else:
-        default = F.lit(0).cast(t)
-    return [F.col(k).isNull().alias(f"__kn{i}"), F.coalesce(F.col(k), default).alias(f"__kv{i}")]
-
-
-def _measure(df: DataFrame, f: Frame, j: int) -> list[Column]:
-    """Per (key, second) partial measures of one frame."""
-    if f.kind == "count_all":
-        return [F.count(F.lit(1)).alias(f"__n{j}")]
-    if f.kind == "count":
-        return [F.count(f.column).alias(f"__n{j}")]
-    t = df.schema[f.column].dataType
-    if isinstance(t, IntegralType):
-        v = F.col(f.column).cast("long")
-    elif isinstance(t, DecimalType):
-        v = F.col(f.column)
-    else:
-        v = F.col(f.column).try_cast(EXACT_DECIMAL)
-    # a key-second whose values are all NULL adds 0 to the running total; the
-    # non-NULL count decides whether a frame's sum is NULL
-    zero = F.lit(0).cast(t if isinstance(t, DecimalType) else
-                         ("long" if isinstance(t, IntegralType) else EXACT_DECIMAL))
-    return [F.coalesce(F.sum(v), zero).alias(f"__s{j}"), F.count(v).alias(f"__n{j}")]
-
-
-def _rolling_prefix(df: DataFrame, keys: list[str], seconds_col: str, frames: list[Frame],
-                    bucket: int) -> DataFrame:
-    kcols = [c for i, k in enumerate(keys) for c in (f"__kn{i}", f"__kv{i}")]
-    staged = df.select("*", *[c for i, k in enumerate(keys) for c in _null_safe_key(df, k, i)])
-    sec = F.col(seconds_col)
-    measures = [c for j, f in enumerate(frames) for c in _measure(df, f, j)]
-    mcols = [m for j, f in enumerate(frames)
-             for m in ([f"__s{j}"] if f.kind == "sum" else []) + [f"__n{j}"]]
-
-    # 1. one row per (key, second); NULL seconds form their own peer group
-    per_sec = staged.groupBy(*kcols, sec.alias("__sec")).agg(*measures)
-    timed = per_sec.filter(F.col("__sec").isNotNull()) \
-        .withColumn("__b", F.floor(F.col("__sec") / F.lit(bucket)))
-
-    # 2. one pass over (key, day) buckets.  Besides each key-second's own row,
-    #    a "probe" row is placed at every frame edge (sec - edge); a running
-    #    sum ordered by position (values before probes at equal positions)
-    #    gives each probe the total of its day up to that second.
-    edges = sorted({f.lower + 1 for f in frames} | {f.upper for f in frames if f.upper > 0})
-    mtypes = {m: per_sec.schema[m].dataType for m in mcols}
-    values = timed.select(*kcols, F.col("__sec").alias("__pos"), F.lit(0).alias("__side"),
-                          F.col("__sec").alias("__origin"), F.lit(0).alias("__edge"), *mcols)
-    probes = (timed.select(*kcols, "__sec", F.explode(F.array(*[F.lit(e) for e in edges])).alias("__edge"))
-              .select(*kcols, (F.col("__sec") - F.col("__edge")).alias("__pos"), F.lit(1).alias("__side"),
-                      F.col("__sec").alias("__origin"), "__edge",
-                      *[F.lit(0).cast(mtypes[m]).alias(m) for m in mcols]))
-    both = values.unionByName(probes).withColumn("__b", F.floor(F.col("__pos") / F.lit(bucket)))
-    order = Window.partitionBy(*kcols, "__b").orderBy("__pos", "__side")
-    running = both.select(
-        *kcols, "__b", "__side", "__origin", "__edge",
-        *[F.sum(m).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"__r{m}")
-          for m in mcols])
-    # 3. each day's carried total of all earlier days (keys x days rows); the
-    #    day totals are a hash aggregate (probe rows add zero but make their
-    #    day exist), so the window above runs once
-    totals = both.groupBy(*kcols, "__b").agg(*[F.sum(m).alias(f"__t{m}") for m in mcols])
-    earlier = Window.partitionBy(*kcols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*kcols, "__b", *[F.sum(f"__t{m}").over(earlier).alias(f"__c{m}") for m in mcols])
-    totals_at = running.join(carry, on=kcols + ["__b"], how="left").select(
-        *kcols, "__side", "__origin", "__edge",
-        *[(F.col(f"__r{m}") + F.coalesce(F.col(f"__c{m}"), F.lit(0))).alias(f"__P{m}") for m in mcols])
-    # 4. back to one row per key-second: own running total and one per edge
-    own = F.col("__side") == 0
-    current = totals_at.groupBy(*kcols, F.col("__origin").alias("__sec")).agg(
-        *[F.max(F.when(own, F.col(f"__P{m}"))).alias(f"__P{m}") for m in mcols],
-        *[F.max(F.when(~own & (F.col("__edge") == e), F.col(f"__P{m}"))).alias(f"__Q{m}_{e}")
-          for e in edges for m in mcols])
-
-    def edge_value(m: str, edge: int) -> Column:
-        return F.coalesce(F.col(f"__Q{m}_{edge}"), F.lit(0))
-
-    outs = []
+def _merged(kind: str, parts: list[Column]) -> Column:
+    """The aggregate of several parts; a NULL part is empty."""
+    if kind in ("min", "max"):
+        return (F.least if kind == "min" else F.greatest)(*parts, F.lit(None))
+    total = sum((F.coalesce(p, F.lit(0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0)))
+    return total if kind == "count" else F.when(F.coalesce(*parts).isNotNull(), total)
+
+
+def _matches(left: DataFrame, right: DataFrame, names: list[tuple[str, str]]) -> list[Column]:
+    return [left[a].eqNullSafe(right[b]) for a, b in names]
+
+
+def _rolling_cells(df: DataFrame, keys: list[str], seconds_col: str, frames: list[Frame], cell: int) -> DataFrame:
+    measures: dict[tuple, str] = {}
+    for f in frames:
+        measures.setdefault((f.kind, f.column), f"__m{len(measures)}")
+    merge = {m: MONOIDS[kind][1] for (kind, _), m in measures.items()}
+    names = [f"__k{i}" for i in range(len(keys))]
+
+    # 1. one row per (key, second); NULL seconds are a peer group of their own
+    per_sec = (df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(seconds_col).alias("__sec"))
+               .agg(*[MONOIDS[kind][0](F.lit(1) if column is None else F.col(column)).alias(m)
+                      for (kind, column), m in measures.items()]))
+    timed = per_sec.filter(F.col("__sec").isNotNull())
+
+    # 2. each key-second at its own place, at the start of each frame and at the end of
+    #    each that ends earlier; one pass gives the merged values of its cell up to an end
+    #    and from a start on (RANGE frames: equal seconds count as one place)
+    ends = sorted({f.upper for f in frames} | {0})
+    starts = sorted({f.lower for f in frames})
+    places = [F.struct(F.lit(off).cast("long").alias("off"), F.lit(start).alias("start"))
+              for start, offs in ((False, ends), (True, starts)) for off in offs]
+    own = ~F.col("__start") & (F.col("__off") == 0)
+    placed = (timed.select("*", F.explode(F.array(*places)).alias("__p"))
+              .select(*names, "__sec", F.col("__p.off").alias("__off"), F.col("__p.start").alias("__start"),
+                      (F.col("__sec") - F.col("__p.off")).alias("__pos"), *merge)
+              .select(*names, "__sec", "__off", "__start", "__pos", F.floor(F.col("__pos") / cell).alias("__cell"),
+                      *[F.when(own, F.col(m)).alias(m) for m in merge]))
+    group = Window.partitionBy(*names, "__cell")
+    up, down = group.orderBy(F.col("__pos")), group.orderBy(F.col("__pos").desc())
+    ended = placed.select(*names, "__sec", "__off", "__start", "__cell", *[
+        F.when(F.col("__start"), agg(m).over(down)).otherwise(agg(m).over(up)).alias(m) for m, agg in merge.items()])
+
+    # 3. whole cells before each cell in which a frame ends: q or q - 1 of them, as its
+    #    start falls; from the key x cell table
+    between = {(m, k) for f in frames for m in [measures[f.kind, f.column]]
+               for q in [(f.lower - f.upper) // cell] for k in (q, q - 1) if k > 0}
+    cells = placed.filter(~F.col("__start")).groupBy(*names, "__cell").agg(*[agg(m).alias(m) for m, agg in merge.items()])
+    row = Window.partitionBy(*names).orderBy("__cell")
+    cells = cells.select(*[F.col(n).alias(f"_{n}") for n in names], F.col("__cell").alias("___cell"), *[
+        merge[m](m).over(row.rangeBetween(-k, -1)).alias(f"__mid{m}_{k}") for m, k in sorted(between)])
+    parts = ended.join(cells, _matches(ended, cells, [(n, f"_{n}") for n in [*names, "__cell"]]), "left")
+
+    # 4. back to one row per key-second
+    def whole(f: Frame) -> Column:
+        q, m = (f.lower - f.upper) // cell, measures[f.kind, f.column]
+        far = F.col("__cell") - F.floor((F.col("__sec") - f.lower) / cell) == q + 1
+        mid = [F.col(f"__mid{m}_{k}") if k > 0 else F.lit(None) for k in (q, q - 1)]
+        return F.when(far, mid[0]).otherwise(mid[1])
+
+    found, outs = [], []
     for j, f in enumerate(frames):
-        hi_n = F.col(f"__P__n{j}") if f.upper == 0 else edge_value(f"__n{j}", f.upper)
-        n = hi_n - edge_value(f"__n{j}", f.lower + 1)
-        if f.kind == "sum":
-            hi_s = F.col(f"__P__s{j}") if f.upper == 0 else edge_value(f"__s{j}", f.upper)
-            total = hi_s - edge_value(f"__s{j}", f.lower + 1)
-            out_type = df.schema[f.column].dataType
-            if isinstance(out_type, IntegralType):
-                out_type = "long"
-            elif isinstance(out_type, FractionalType) and not isinstance(out_type, DecimalType):
-                out_type = "double"
-            outs.append(F.when(n > 0, total.cast(out_type)).alias(f.name))
-        else:
-            outs.append(n.cast("long").alias(f.name))
-    results = current.select(*kcols, "__sec", *outs)
-
-    # NULL seconds: each key's NULL-time rows are peers of each other only
-    nulls = per_sec.filter(F.col("__sec").isNull()).select(*kcols, "__sec", *[
-        (F.when(F.col(f"__n{j}") > 0, F.col(f"__s{j}").cast(
-            "long" if isinstance(df.schema[f.column].dataType, IntegralType) else
-            ("double" if not isinstance(df.schema[f.column].dataType, DecimalType)
-             else df.schema[f.column].dataType)))
-         if f.kind == "sum" else F.col(f"__n{j}").cast("long")).alias(f.name)
-        for j, f in enumerate(frames)])
+        m = measures[f.kind, f.column]
+        at_end, at_start = ~F.col("__start") & (F.col("__off") == f.upper), F.col("__start") & (F.col("__off") == f.lower)
+        picked = {"e": F.when(at_end, F.col(m))}
+        if f.lower > f.upper:
+            picked |= {"a": F.when(at_start, F.col(m)), "w": F.when(at_end, whole(f))}
+        found += [F.first(c, ignorenulls=True).alias(f"__{part}{j}") for part, c in picked.items()]
+        outs.append((f, _merged(f.kind, [F.col(f"__{part}{j}") for part in picked])))
+    types = df.select(*[f.agg.alias(f.name) for f in frames]).schema
+    results = parts.groupBy(*names, "__sec").agg(*found).select(
+        *names, "__sec", *[c.cast(types[f.name].dataType).alias(f.name) for f, c in outs])
+    nulls = per_sec.filter(F.col("__sec").isNull()).select(
+        *names, "__sec", *[F.col(measures[f.kind, f.column]).cast(types[f.name].dataType).alias(f.name) for f in frames])
     results = results.unionByName(nulls)
 
-    # 4. back to the rows: every row of a (key, second) shares its result
-    cond = [staged[c].eqNullSafe(results[c]) for c in kcols] + \
-        [staged[seconds_col].eqNullSafe(results["__sec"])]
-    joined = staged.join(results, cond, "left")
-    return joined.select(*[staged[c] for c in df.columns], *[results[f.name] for f in frames])
+    # 5. every row of a (key, second) shares its result
+    cond = _matches(df, results, [*zip(keys, names), (seconds_col, "__sec")])
+    return df.join(results, cond, "left").select(*[df[c] for c in df.columns], *[results[f.name] for f in frames])

@@ -27,7 +27,7 @@ def test_hot_key_rolling_exact_and_split(spark):
     norm = lambda d: sorted((r.event_id, round(r.s, 6), r.n) for r in d.collect())
     assert norm(got) == norm(want)
     hot_rows = df.filter("user_id = 0").count()
-    # the prefix strategy's largest window group: key-seconds of one (key, day)
+    # the cells strategy's largest window group: key-seconds of one (key, day)
     per_day = (df.groupBy("user_id", "sec").count()
                .groupBy("user_id", F.floor(F.col("sec") / 86400).alias("d")).count()
                .agg(F.max("count")).first()[0])

@@ -3,6 +3,7 @@ registered queries against DuckDB."""
 
 import contextlib
 import datetime as dt
+import re
 import io
 from collections import Counter
 
@@ -85,10 +86,12 @@ def test_rolling_plans_split_hot_keys(spark):
     tree = plan.split("\n\n")[0]
     assert tree.count("Exchange") == 1 and tree.count("Window") == 1
     assert "hashpartitioning(user_id" in plan and "__b" in plan
-    # prefix strategy: no window is partitioned by the raw key alone, and the
-    # scan reads only the needed columns
+    # cells strategy: rows are summed by (key, second) before any window; only the table
+    # of cells is dealt by the key alone, and the scan reads only the needed columns
     plan = _plan(QUERIES["user_features"](spark, SF001))
-    assert "windowspecdefinition(user_id" not in plan
+    by_key = [x for x in plan.split("\n") if "windowspecdefinition(" in x and "__cell" not in x.split("specifiedwindowframe")[0]]
+    assert not by_key and plan.count("windowspecdefinition(") >= 3
+    assert "windowspecdefinition(__k0" in re.sub(r"#\d+L?", "", plan)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "props" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
