@@ -16,7 +16,7 @@ USER_SUBSET = ["mean_price_7d", "last_6m_purchases", "day_of_week_sin", "day_of_
                "day_of_month_sin", "day_of_month_cos", "hour_sin", "hour_cos"]
 
 _LABELS = "labels AS (SELECT event_id, user_id, destination_id, ts, purchased FROM travel WHERE purchased)"
-_BROWSE = "browse AS (SELECT * FROM travel WHERE NOT purchased AND (clicked OR event_id % 2 = 0))"
+_BROWSE = "browse AS (SELECT * FROM travel WHERE NOT purchased)"
 
 
 def _labels(log):
@@ -24,9 +24,9 @@ def _labels(log):
 
 
 def _browse(log):
-    # clicks plus every other non-purchase row: a feature source that differs
-    # from the label rows, so matches are genuinely earlier rows
-    return log.filter(~F.col("purchased") & (F.col("clicked") | (F.col("event_id") % 2 == 0)))
+    # every row that is no purchase: a feature source that differs from the label
+    # rows, so matches are genuinely earlier rows
+    return log.filter(~F.col("purchased"))
 
 
 @query("asof_lookup", f"""

@@ -74,6 +74,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/lakeops/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df, name: str):
+    """``df`` written below the shared checkpoint root and read back: cuts lineage,
+    survives lost executors, and the planner knows the table's size."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint (never a local one): survives executor loss."""
     checkpoint_root(df.sparkSession)

@@ -97,7 +97,7 @@ def test_asof_edge_rows(spark):
              (4, None, 7.0)]           # NULL time matches nothing
     L = spark.createDataFrame(labels, "lid int, k int, ts timestamp_ntz")
     R = spark.createDataFrame(feats, "k int, ts timestamp_ntz, f double")
-    for bucket in (7, 3600, 86400, 86400 * 30):
+    for bucket in (None, 7, 3600, 86400, 86400 * 30):
         got = sorted((r.lid, r.k, r.ts, r.f) for r in
                      asof_join(L, R, ["k"], bucket_seconds=bucket).collect())
         assert got == _brute_asof(labels, feats), bucket
@@ -233,3 +233,59 @@ def test_decimals_and_clashing_names(spark):
     got, want = (sorted(map(tuple, f(df, ["__k0"], "__sec", frames).collect()))
                  for f in (rolling_aggregate, rolling_aggregate_plain))
     assert got == want
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([None, 0, 1, 1, 1]), st.one_of(st.none(), st.integers(0, 40))), min_size=1, max_size=40),
+       st.lists(st.tuples(st.sampled_from([None, 0, 1, 1, 2]), st.one_of(st.none(), st.integers(0, 40)),
+                          st.one_of(st.none(), st.integers(0, 5))), min_size=0, max_size=40))
+def test_asof_ranges_and_buckets_agree_with_brute_force(spark, labels, feats):
+    """Ties at one key and time go to the greatest feature values; NULLs match nothing."""
+    d = lambda s: None if s is None else T0 + dt.timedelta(seconds=s)
+    L = spark.createDataFrame([(i, k, d(t)) for i, (k, t) in enumerate(labels)], "lid int, k int, ts timestamp_ntz")
+    R = spark.createDataFrame([(k, d(t), v, f"x{v}") for k, t, v in feats], "k int, ts timestamp_ntz, v int, w string")
+
+    def brute(k, t):
+        own = [(ft, v is not None, v or 0, f"x{v}") for fk, ft, v in feats
+               if k is not None and t is not None and fk == k and ft is not None and ft <= t]
+        if not own:
+            return None, None
+        _, known, v, w = max(own)
+        return (v if known else None), w
+
+    want = {i: brute(k, t) for i, (k, t) in enumerate(labels)}
+    for width in (None, 7):
+        got = {r.lid: (r.v, r.w) for r in asof_join(L, R, ["k"], bucket_seconds=width).collect()}
+        assert got == want, width
+
+
+def test_asof_hot_key_is_dealt_evenly(spark):
+    """One key with a third of both sides (and one time with many rows): exact, and no
+    range holds much more than its share."""
+    from lakeops.operators import asof
+    labels = [(i, 7 if i % 3 == 0 else i % 50, T0 + dt.timedelta(seconds=(i // 9 if i % 4 else 500))) for i in range(6000)]
+    feats = [(7 if i % 3 == 0 else i % 50, T0 + dt.timedelta(seconds=i // 7), float(i)) for i in range(6000)]
+    L = spark.createDataFrame(labels, "lid int, k int, ts timestamp_ntz")
+    R = spark.createDataFrame(feats, "k int, ts timestamp_ntz, f double")
+    kept = {}
+    real = asof.written
+
+    def spy(df, name):
+        kept[name] = real(df, name)
+        return kept[name]
+
+    asof.written = spy
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.lid: r.f for r in asof_join(L, R, ["k"]).collect()}
+    finally:
+        asof.written = real
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    best = {}
+    for k, t, f in feats:
+        best.setdefault(k, []).append((t, f))
+    for lid, k, t in labels:
+        own = [x for x in best.get(k, []) if x[0] <= t]
+        assert got[lid] == (max(own)[1] if own else None)
+    sizes = [r["count"] for r in kept["asof-ranges"].groupBy("__part").count().collect()]
+    assert len(sizes) >= 3 and max(sizes) < 2 * sum(sizes) / 3
