@@ -2,13 +2,15 @@
 across schema versions.
 
 Each produces a new snapshot DataFrame (written as a new table version by
-``TableStore``).  Joins are on the full key; both sides shuffle once on it and
-AQE splits skewed key partitions.
+``TableStore``; ``plans.keyed`` rewrites only the files that an update touches).
+Joins are on the full key; both sides shuffle once on it and AQE splits skewed key
+partitions.  Rows with a NULL key match nothing; a number from their values deals
+them over all tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,19 +30,34 @@ def latest_per_key(updates: DataFrame, keys: list[str], order_col: str) -> DataF
     return agg.select(*keys, *[F.col(f"__r.__v.`{c}`").alias(c) for c in others])
 
 
+def _spread(keys: list[str], cols: list[str]) -> Column:
+    """0 where all keys are given, else a number from the whole row: part of the join
+    key, so that rows with a NULL key don't meet in one task."""
+    empty = F.lit(False)
+    for k in keys:
+        empty = empty | F.col(f"`{k}`").isNull()
+    return F.when(empty, F.xxhash64(*[F.col(f"`{c}`") for c in cols])).otherwise(F.lit(0).cast("long"))
+
+
+def _same_key(keys: list[str], left: str, right: str) -> list[Column]:
+    return [F.col(f"{left}.`{k}`") == F.col(f"{right}.`{k}`") for k in keys] + [
+        F.col(f"{left}.__spread") == F.col(f"{right}.__spread")]
+
+
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: list[str],
                  delete_condition: str | None = None) -> DataFrame:
     """``MERGE``: matched rows take the update's values, unmatched updates are
     inserted, other target rows are kept.  ``updates`` must be unique on the
-    keys (see ``latest_per_key``; else ValueError).  Rows of the update matching
-    ``delete_condition`` delete the target row instead."""
+    keys (see ``latest_per_key``); several for one key end the job that reads the
+    result (counted on the way into the join, not in a pass of its own).  Rows of the
+    update matching ``delete_condition`` delete the target row instead."""
     cols = target.columns
-    if (updates.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("__n"))
-            .filter("__n > 1").limit(1).count()):
-        raise ValueError(f"several updates for one key {keys}")
-    t = target.alias("t")
-    u = updates.select(*cols).withColumn("__u", F.lit(True)).alias("u")
-    j = t.join(u, [F.col(f"t.`{k}`") == F.col(f"u.`{k}`") for k in keys], "full")
+    t = target.withColumn("__spread", _spread(keys, cols)).alias("t")
+    u = updates.select(*cols).withColumn("__spread", _spread(keys, cols))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys, "__spread"))
+    several = F.raise_error(F.lit(f"several updates for one key {keys}"))
+    u = u.withColumn("__u", F.when((n > 1) & (F.col("__spread") == 0), several.cast("boolean")).otherwise(F.lit(True))).alias("u")
+    j = t.join(u, _same_key(keys, "t", "u"), "full")
     has_u = F.col("u.__u").isNotNull()
     out = j.select(*[F.when(has_u, F.col(f"u.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c)
                      for c in cols], has_u.alias("__has_u"),
@@ -62,9 +79,9 @@ def snapshot_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
     for keys whose non-key values differ (NULL-safe)."""
     cols = new.columns
     vals = [c for c in cols if c not in keys]
-    o = old.select(*cols).withColumn("__o", F.lit(True)).alias("o")
-    n = new.select(*cols).withColumn("__n", F.lit(True)).alias("n")
-    j = o.join(n, [F.col(f"o.`{k}`") == F.col(f"n.`{k}`") for k in keys], "full")
+    o = old.select(*cols).withColumn("__spread", _spread(keys, cols)).withColumn("__o", F.lit(True)).alias("o")
+    n = new.select(*cols).withColumn("__spread", _spread(keys, cols)).withColumn("__n", F.lit(True)).alias("n")
+    j = o.join(n, _same_key(keys, "o", "n"), "full")
     in_o, in_n = F.col("o.__o").isNotNull(), F.col("n.__n").isNotNull()
     changed = _null_safe_differs(vals, "o", "n")
     old_row = F.struct(*[F.col(f"o.`{c}`").alias(c) for c in cols])

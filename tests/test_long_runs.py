@@ -29,5 +29,10 @@ def test_top_k_keeps_null_and_others_apart(spark):
 def test_latest_of_null_orders_and_unique_updates(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, 1, "a"), (2, 2, "b")], "k int, o int, v string")
     assert sorted(map(tuple, changes.latest_per_key(df, ["k"], "o").collect())) == [(1, None, "x"), (2, 2, "b")]
-    with pytest.raises(ValueError):
-        changes.merge_upsert(df.select("k", "v"), df.select("k", "v"), ["k"])
+    with pytest.raises(Exception, match="several updates for one key"):
+        changes.merge_upsert(df.select("k", "v"), df.select("k", "v"), ["k"]).collect()
+    nulls = spark.createDataFrame([(None, "x"), (None, "y"), (1, "z")], "k int, v string")
+    got = changes.merge_upsert(nulls, nulls.filter("k IS NULL"), ["k"]).collect()      # NULL keys match nothing
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "z"), (None, "x"), (None, "x"), (None, "y"), (None, "y")], key=str)
+    feed = changes.snapshot_changes(nulls, nulls, ["k"]).collect()
+    assert sorted(r["_change_type"] for r in feed) == ["delete", "delete", "insert", "insert"]
