@@ -13,12 +13,14 @@ AS SELECT ... FROM [STREAM(]live.other[)]`` becomes::
 Each definition names the datasets it reads (``depends_on``); datasets run
 in topological order.  Live tables are recomputed and written as
 a new table version; streaming tables process only new input (availableNow,
-own checkpoint, exactly-once file sink).  Expectation counters are collected
+own checkpoint, exactly-once file sink) and are catalog entries too, with their
+comment and a history row for each run.  Expectation counters are collected
 with ``observe`` (per micro-batch for streams, summed by a listener).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -128,6 +130,7 @@ class DatasetGraph:
         self.metrics[ds.name] = dict(obs.get) if obs is not None else {}
 
     def _run_stream(self, ds: _Dataset) -> None:
+        started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         listener = metrics_listener(self.spark)
         obs_name = f"{ds.name}-expect-{id(self)}"
         stream = ds.fn(self)
@@ -143,6 +146,12 @@ class DatasetGraph:
         if q.exception():
             raise q.exception()
         batches = run_batches(self.spark, q, listener)
+        data = f"{self._path(ds.name)}/data"
+        self.store.register(ds.name, data, self.spark.read.parquet(data).schema, ds.comment)
+        self.store.log_refresh(ds.name, "STREAMING UPDATE", data, sum(int(b["rows"]) for b in batches), started,
+                               dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+        if ds.deps:
+            self.store.record_lineage(sorted(ds.deps), ds.name)
         if all(b["observed"] is not None for b in batches):
             totals: dict[str, int] = {}
             for b in batches:

@@ -137,14 +137,33 @@ class TableStore:
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.full_name(name))
 
-    def drop(self, name: str) -> None:
-        """``DROP TABLE IF EXISTS``; the files of all versions stay."""
+    def register(self, name: str, path: str, schema: StructType, comment: str | None = None,
+                 partition_by: list[str] | None = None) -> None:
+        """A catalog entry over a directory that something else writes (a stream's sink:
+        batch reads then see the files its log has committed); moves with its comment."""
+        full = self.full_name(name)
+        if not self.exists(name):
+            cols = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+            by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+            self.spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet{by} LOCATION '{path}'")
+        if comment is not None:
+            self.spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ('comment' = '{_esc(comment)}')")
+        self.spark.sql(f"REFRESH TABLE {full}")
+
+    def drop(self, name: str, purge: list[str] | None = None) -> None:
+        """``DROP TABLE IF EXISTS``; the files of all versions stay, but for the
+        directories in ``purge``."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.full_name(name)}")
+        for path in purge or []:
+            remove_tree(self.spark, path)
 
     def properties(self, name: str) -> dict:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(name)}").collect()
         return {r.key: r.value for r in rows}
 
+    def comment(self, name: str) -> str | None:
+        return next((r.data_type for r in self.describe(name).collect() if r.col_name == "Comment"), None)
+
     def describe(self, name: str) -> DataFrame:
         return self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(name)}")
 
@@ -185,6 +204,12 @@ class TableStore:
             return self.spark.createDataFrame([], LINEAGE_SCHEMA)
 
 
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Deletes a directory through the file system of its path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def lineage_lookup(store: TableStore, target: str) -> DataFrame:
     """Rows whose target is ``target``: chosen columns first, then all
     (duplicate names renamed so the result can be saved)."""

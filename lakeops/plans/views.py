@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeops.plans.tables import remove_tree
+
 MERGEABLE = ("sum", "count", "min", "max", "avg")
 
 
@@ -41,6 +43,15 @@ class IncrementalAggregateView:
         self.max_files = max_files_per_trigger
         self.partials = f"{self.root}/partials"
 
+    @classmethod
+    def over(cls, table, keys: list[str], measures: dict[str, tuple[str, str]], root: str) -> "IncrementalAggregateView":
+        """The view over a ``StreamingTable``: its committed files are the input."""
+        return cls(table.spark, table.data_path, table.read().schema, keys, measures, root)
+
+    def drop(self) -> None:
+        """``DROP MATERIALIZED VIEW``: partial aggregates and checkpoint."""
+        remove_tree(self.spark, self.root)
+
     def _partial_columns(self):
         cols = []
         for name, (fn, col) in self.measures.items():

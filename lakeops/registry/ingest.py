@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -267,16 +268,20 @@ def schema_evolve_union(spark, sf_dir):
 
 
 # --------------------------------------------------- streaming tables / views
-def _landed_lineitem(spark, sf_dir, n_files=4):
+# Bytes of input of one micro-batch, at most.
+_TRIGGER_BYTES = str(256 << 20)
+
+
+def _landed_lineitem(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    return land_files(li, work_dir(spark, "lineitem-landing"), "parquet", n_files=n_files), li.schema
+    return land_files(li, work_dir(spark, "lineitem-landing"), "parquet"), li.schema
 
 
 @query("stream_table_ingest", "SELECT * FROM lineitem")
 def stream_table_ingest(spark, sf_dir):
     src, schema = _landed_lineitem(spark, sf_dir)
     st = StreamingTable(spark, src, work_dir(spark, "st-lineitem"), fmt="parquet", schema=schema,
-                        max_files_per_trigger=1)
+                        max_bytes_per_trigger=_TRIGGER_BYTES)
     st.refresh()
     st.refresh()            # a second refresh finds nothing new
     return st.read()
@@ -293,7 +298,7 @@ def mv_incremental_sum(spark, sf_dir):
         spark, src, schema, ["l_suppkey"],
         {"total_price": ("sum", "l_extendedprice"), "n_lines": ("count", "l_orderkey"),
          "min_discount": ("min", "l_discount"), "avg_quantity": ("avg", "l_quantity")},
-        work_dir(spark, "mv-lineitem"), max_files_per_trigger=1)
+        work_dir(spark, "mv-lineitem"))
     mv.refresh()
     out = mv.read()
     return out.select("l_suppkey", F.round("total_price", 4).alias("total_price"), "n_lines",
@@ -301,9 +306,59 @@ def mv_incremental_sum(spark, sf_dir):
                       F.round("avg_quantity", 6).alias("avg_quantity"))
 
 
+@query("stream_history", """
+SELECT row_number() OVER (ORDER BY k) AS run, operation, num_output_rows, 'Line items as they arrive' AS comment
+FROM (SELECT 1 AS k, 'STREAMING UPDATE' AS operation, count(*) AS num_output_rows FROM lineitem WHERE l_returnflag = 'R'
+      UNION ALL SELECT 2, 'STREAMING UPDATE', count(*) FROM lineitem WHERE l_returnflag <> 'R'
+      UNION ALL SELECT 3, 'STREAMING UPDATE', 0)
+""")
+def stream_history(spark, sf_dir):
+    """History and comment of a streaming table after three refreshes, the last without input."""
+    li = table(spark, sf_dir, "lineitem")
+    store, src = TableStore(spark, f"history_{uuid.uuid4().hex[:8]}"), work_dir(spark, "history-landing")
+    st = StreamingTable(spark, src, work_dir(spark, "st-history"), fmt="parquet", schema=li.schema, store=store,
+                        name="line_items", comment="Line items as they arrive")
+    for part in ("l_returnflag = 'R'", "l_returnflag <> 'R'", None):
+        if part:
+            li.filter(part).write.mode("append").parquet(src)
+        st.refresh()
+    runs = store.history("line_items")
+    return runs.select(F.row_number().over(Window.orderBy("started_at")).cast("long").alias("run"), "operation", "num_output_rows",
+                       F.lit(store.comment("line_items")).alias("comment"))
+
+
+@query("mv_over_stream_table", """
+SELECT l_suppkey, count(l_orderkey) AS n_lines, round(sum(l_quantity), 4) AS quantity, round(max(l_tax), 4) AS max_tax
+FROM lineitem GROUP BY ALL
+""")
+def mv_over_stream_table(spark, sf_dir):
+    """A view over a streaming table, refreshed after each of its two refreshes; a second
+    view and a second table are dropped again."""
+    li = table(spark, sf_dir, "lineitem")
+    store, src = TableStore(spark, f"stmv_{uuid.uuid4().hex[:8]}"), work_dir(spark, "stmv-landing")
+    tables = [StreamingTable(spark, src, work_dir(spark, f"stmv-{n}"), fmt="parquet", schema=li.schema, store=store, name=n)
+              for n in ("kept", "dropped")]
+    views = []
+    for part in ("l_linenumber % 2 = 0", "l_linenumber % 2 = 1"):
+        li.filter(part).write.mode("append").parquet(src)
+        for t in tables:
+            t.refresh()
+        views = views or [IncrementalAggregateView.over(t, ["l_suppkey"], {
+            "n_lines": ("count", "l_orderkey"), "quantity": ("sum", "l_quantity"), "max_tax": ("max", "l_tax")},
+            work_dir(spark, "stmv-view")) for t in tables]
+        for v in views:
+            v.refresh()
+    views[1].drop()
+    tables[1].drop()
+    if store.exists("dropped") or store.read("kept").count() != li.count():
+        raise AssertionError("the table's catalog entry doesn't follow it")
+    return views[0].read().select("l_suppkey", "n_lines", F.round("quantity", 4).alias("quantity"),
+                                  F.round("max_tax", 4).alias("max_tax"))
+
+
 def _land_raw_travel(spark, sf_dir):
     raw = _raw_travel(travel_log(spark, sf_dir))
-    return land_files(raw, work_dir(spark, "travel-raw"), "csv", n_files=4)
+    return land_files(raw, work_dir(spark, "travel-raw"), "csv")
 
 
 _RAW_SCHEMA = StructType([StructField(c, StringType()) for c, _ in _RAW_TRAVEL])
@@ -317,7 +372,7 @@ SELECT ts, CAST(user_id AS VARCHAR) AS user_id, CAST(destination_id AS VARCHAR)
 def stream_csv_ingest(spark, sf_dir):
     src = _land_raw_travel(spark, sf_dir)
     bronze = StreamingTable(spark, src, work_dir(spark, "st-travel-bronze"), fmt="csv",
-                            schema=_RAW_SCHEMA, max_files_per_trigger=2)
+                            schema=_RAW_SCHEMA, max_bytes_per_trigger=_TRIGGER_BYTES)
     bronze.refresh()
     b = bronze.read()
     return b.select(F.col("ts").try_cast("timestamp_ntz").alias("ts"), "user_id", "destination_id",
@@ -330,48 +385,48 @@ def _travel_graph(spark, sf_dir):
                           header=False)
     store = TableStore(spark, f"travel_{uuid.uuid4().hex[:8]}")
     g = DatasetGraph(spark, store)
-    g.streaming_table("vacation_purchase_logs_bronze",
+    g.streaming_table("trips_raw",
                       lambda g: spark.readStream.schema(_RAW_SCHEMA).option("header", "true")
-                      .option("maxFilesPerTrigger", "2").csv(src),
-                      comment="Raw purchase log files")
-    g.streaming_table("vacation_purchase_logs_silver",
-                      lambda g: try_cast_columns(g.read_stream("vacation_purchase_logs_bronze"),
+                      .option("maxBytesPerTrigger", _TRIGGER_BYTES).csv(src),
+                      comment="Trips as delivered, all text")
+    g.streaming_table("trips_typed",
+                      lambda g: try_cast_columns(g.read_stream("trips_raw"),
                                                  SILVER_TYPES),
-                      expectations=[Expectation("valid_user", "user_id IS NOT NULL")],
-                      comment="Cleansed silver layer", depends_on=["vacation_purchase_logs_bronze"])
-    g.live_table("destination_bronze",
+                      expectations=[Expectation("has_user", "user_id IS NOT NULL")],
+                      comment="Trips with typed columns", depends_on=["trips_raw"])
+    g.live_table("places_raw",
                  lambda g: files.read_csv_headerless(spark, dest_csv).select(
                      F.col("_c0").alias("name"), F.col("_c1").alias("destination_id"),
                      F.col("_c2").alias("latitude"), F.col("_c3").alias("longitude")),
-                 expectations=[Expectation("valid_destination", "try_cast(destination_id AS INT) > 0",
+                 expectations=[Expectation("known_place", "try_cast(destination_id AS INT) > 0",
                                            "drop")])
-    g.live_table("destination_silver",
-                 lambda g: try_cast_columns(g.read("destination_bronze"),
+    g.live_table("places_typed",
+                 lambda g: try_cast_columns(g.read("places_raw"),
                                             {"destination_id": "int", "latitude": "double",
                                              "longitude": "double"}),
-                 expectations=[Expectation("valid_destination", "destination_id > 0", "drop")],
-                 depends_on=["destination_bronze"])
+                 expectations=[Expectation("known_place", "destination_id > 0", "drop")],
+                 depends_on=["places_raw"])
 
     def gold(g):
-        p = g.read("vacation_purchase_logs_silver").alias("p")
-        d = g.read("destination_silver").alias("d")
+        p = g.read("trips_typed").alias("p")
+        d = g.read("places_typed").alias("d")
         return p.join(d, F.col("p.destination_id") == F.col("d.destination_id"), "left").select(
             "p.ts", "p.user_id", F.col("p.destination_id").alias("destination_id"), "p.user_latitude",
             "p.user_longitude", F.col("d.latitude").alias("dest_latitude"),
             F.col("d.longitude").alias("dest_longitude"), "p.purchased", "p.booking_date", "p.price")
 
-    g.live_table("vacation_purchase_logs", gold,
-                 expectations=[Expectation("valid_destination", "destination_id > 0"),
-                               Expectation("valid_price", "price > 0")],
-                 depends_on=["vacation_purchase_logs_silver", "destination_silver"])
+    g.live_table("trips_placed", gold,
+                 expectations=[Expectation("known_place", "destination_id > 0"),
+                               Expectation("paid", "price > 0")],
+                 depends_on=["trips_typed", "places_typed"])
     return g
 
 
 @query("stream_silver", f"{_SILVER_SQL} SELECT * FROM silver")
 def stream_silver(spark, sf_dir):
     g = _travel_graph(spark, sf_dir)
-    g.run(only=["vacation_purchase_logs_bronze", "vacation_purchase_logs_silver"])
-    return round_floats(g.read("vacation_purchase_logs_silver"))
+    g.run(only=["trips_raw", "trips_typed"])
+    return round_floats(g.read("trips_typed"))
 
 
 @query("gold_join", f"""
@@ -384,4 +439,4 @@ FROM silver p LEFT JOIN (SELECT * FROM dest WHERE destination_id > 0) d
 def gold_join(spark, sf_dir):
     g = _travel_graph(spark, sf_dir)
     g.run()
-    return round_floats(g.read("vacation_purchase_logs"))
+    return round_floats(g.read("trips_placed"))

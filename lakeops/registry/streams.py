@@ -57,8 +57,8 @@ SELECT user_id, count(*) AS n_events, round(sum(value), 4) AS total_value FROM e
 """)
 def stream_user_running_count(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    landed = land_files(events, work_dir(spark, "events-landing"), "parquet", n_files=4)
-    s = _events_stream(spark, sf_dir, path=landed, max_files=1)
+    landed = land_files(events, work_dir(spark, "events-landing"), "parquet")
+    s = _events_stream(spark, sf_dir, path=landed)
     root = work_dir(spark, "running-totals")
 
     def write_batch(batch, batch_id):

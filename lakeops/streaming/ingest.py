@@ -6,6 +6,9 @@ every file not yet seen is processed (in several micro-batches when
 ``max_files_per_trigger`` is set), then the query stops.  The file sink's
 commit log makes retries and restarts exactly-once.  Schemas are inferred
 once from the existing files by a batch read, then fixed for the stream.
+With a ``store`` and a ``name`` the table is a catalog entry over the sink's log:
+batch reads by name see committed files only, ``describe`` shows its comment, every
+refresh is a row of ``history``, and ``drop`` removes entry, data and checkpoint.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakeops.plans.tables import remove_tree
 from lakeops.sources.files import detect_format
 from lakeops.streaming.listener import metrics_listener, run_batches
 
@@ -38,7 +42,8 @@ class StreamingTable:
                  schema: StructType | None = None, options: dict | None = None,
                  transform: Callable[[DataFrame], DataFrame] | None = None,
                  max_files_per_trigger: int | None = None, partition_by: list[str] | None = None,
-                 store=None, name: str | None = None):
+                 store=None, name: str | None = None, comment: str | None = None,
+                 max_bytes_per_trigger: str | None = None):
         self.spark = spark
         self.source = source
         self.target = target.rstrip("/")
@@ -53,6 +58,8 @@ class StreamingTable:
         self.partition_by = partition_by
         self.store = store
         self.name = name
+        self.comment = comment
+        self.max_bytes = max_bytes_per_trigger
         self.progress: list[dict] = []
 
     @property
@@ -69,6 +76,8 @@ class StreamingTable:
             r = r.option(k, v)
         if self.max_files:
             r = r.option("maxFilesPerTrigger", str(self.max_files))
+        if self.max_bytes:
+            r = r.option("maxBytesPerTrigger", self.max_bytes)
         df = r.load(self.source)
         return self.transform(df) if self.transform else df
 
@@ -95,6 +104,7 @@ class StreamingTable:
         rows = sum(int(b["rows"]) for b in seen)
         if self.store is not None and self.name:
             ended = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            self.store.register(self.name, self.data_path, self._output_schema(), self.comment, self.partition_by)
             self.store.log_refresh(self.name, "STREAMING UPDATE", self.data_path, rows, started, ended)
         return rows
 
@@ -106,6 +116,12 @@ class StreamingTable:
         """The table as a streaming source for downstream streaming tables."""
         return self.spark.readStream.schema(self._output_schema()).parquet(self.data_path)
 
+    def drop(self) -> None:
+        """``DROP TABLE``: the catalog entry, the data and the checkpoint (history stays)."""
+        if self.store is not None and self.name:
+            self.store.drop(self.name)
+        remove_tree(self.spark, self.target)
+
     def _output_schema(self) -> StructType:
         return self.spark.read.parquet(self.data_path).schema
 

@@ -99,3 +99,25 @@ def test_odd_vectors_take_no_part_and_ids_are_unique(spark):
         (7, 1, 1), (7, 2, 4)]
     with pytest.raises(ValueError):
         vector_topk(v, q.union(q), 5)
+
+
+def test_streaming_table_is_a_catalog_object(spark):
+    """By name: committed files only, comment, history, drop of data and checkpoint."""
+    import os
+    import uuid
+
+    from lakeops.plans.tables import TableStore
+    from lakeops.session import work_dir
+    from lakeops.streaming.ingest import StreamingTable
+    src, target = work_dir(spark, "st-src"), work_dir(spark, "st-obj")
+    store = TableStore(spark, f"stobj_{uuid.uuid4().hex[:8]}")
+    spark.range(10).write.parquet(src)
+    st = StreamingTable(spark, src, target, fmt="parquet", store=store, name="t", comment="it's a table")
+    assert st.refresh() == 10 and store.read("t").count() == 10 and store.comment("t") == "it's a table"
+    spark.range(5).write.mode("append").parquet(st.data_path)           # files that the sink's log doesn't have
+    spark.range(10, 13).write.mode("append").parquet(src)
+    assert st.refresh() == 3 and sorted(r.id for r in store.read("t").collect()) == list(range(13))
+    assert [r.num_output_rows for r in store.history("t").orderBy("started_at").collect()] == [10, 3]
+    st.drop()
+    path = target.removeprefix("file:")
+    assert not store.exists("t") and not os.path.exists(path)
