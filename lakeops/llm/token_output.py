@@ -87,7 +87,11 @@ def packed_matrices(docs: DataFrame, tokenizer: str, seq_len: int = 2048, eos: i
     its segments, n_tokens, input_ids and position_ids (``seq_len`` numbers of
     ``dtype`` each, padded with ``pad`` and 0; positions restart in every
     segment) and cu_seqlens (0, then the end of each segment).  doc_ids are
-    long; ids must fit ``dtype``."""
+    long; a vocabulary that does not fit ``dtype`` is refused."""
+    from tokenizers import Tokenizer
+    largest = max([eos, pad, Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True) - 1])
+    if largest > np.iinfo(dtype).max:
+        raise ValueError(f"ids up to {largest} don't fit {dtype}")
     schema = StructType([StructField("sequence_id", LongType())] + SCHEMA)
     out = to_arrow_schema(schema)
     bounded_batches(docs.sparkSession)
@@ -116,8 +120,8 @@ def packed_matrices(docs: DataFrame, tokenizer: str, seq_len: int = 2048, eos: i
         words, made = word_ids(tokenizer), TaskContext.get().partitionId() << 40
         buffer, size = [], 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = token_ids(text, words, eos).astype(dtype)
+            for doc, ids in zip(batch.column(0).to_pylist(), token_ids(batch.column(1).to_pylist(), words, eos)):
+                ids = ids.astype(dtype)
                 for k, s in enumerate(range(0, len(ids), seq_len)):
                     buffer.append((doc, k, s, ids[s:s + seq_len]))
                     size += len(buffer[-1][3])

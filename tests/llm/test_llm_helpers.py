@@ -5,10 +5,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from lakeops.llm import html_extract, license_scan, near_dedup, packing, quality_classifier, quality_rules, token_output
 from lakeops.llm.registry import TOKENIZER
+from lakeops.llm import tokens
 from lakeops.llm.tokens import WordIds, token_ids
 
 
@@ -16,11 +18,28 @@ def test_token_ids_equal_the_tokenizers_own():
     from tokenizers import Tokenizer
     t, w = Tokenizer.from_file(TOKENIZER), WordIds(TOKENIZER)
     texts = ["", " ", "The cat's 12 tails, isn't it?\n\tYes!!", "É è   x́ ́y Straße 𝔘 ŒUF", "a" * 5000,
-             "don't we'll I'M <|endoftext|> x<|endoftext|>y", "Δοκιμή ΣΑΣ. 中文字 1234 ½", "\x1c a\x85b c", "İI ſtop. The, THE."]
-    for x in texts:
-        want = t.encode(x, add_special_tokens=False).ids + [0]
-        assert token_ids(x, w, 0).tolist() == want
-    assert token_ids(None, w, 0).tolist() == [0]
+             "don't we'll I'M <|endoftext|> x<|endoftext|>y", "A <|ENDOFTEXT|> b. c,d ,e ... f... g.\x1c", "a.\xa0b.\nc.",
+             "w." * 3000, "Q" * 200 + " x " + "ab.c " * 10, "Δοκιμή ΣΑΣ. 中文字 1234 ½", "\x1c a\x85b c", "İI ſtop. The, THE."]
+    r = random.Random(2)
+    letters = "aAbé ÉİßΣ.,'!\n\t\x0b 中9½-\u0301\x1c\x85\u2028s<|endoftext|>"
+    texts += ["".join(r.choice(letters) for _ in range(r.randrange(40))) for _ in range(3000)]
+    want = [t.encode(x, add_special_tokens=False).ids + [0] for x in texts]
+    assert [x.tolist() for x in token_ids(texts, w, 0)] == want
+    assert [x.tolist() for x in token_ids([None, "", None], w, 0)] == [[0]] * 3
+    assert max(map(len, w)) <= tokens.MAX_CACHED_WORD
+
+
+def test_token_ids_outlive_a_full_cache_and_take_other_tokenizers(monkeypatch):
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(tokens, "MAX_CACHE", 40)
+    t, w = Tokenizer.from_file(TOKENIZER), WordIds(TOKENIZER)
+    for k in range(20):
+        texts = [" ".join(f"word{i}" for i in range(k * 7 + j, k * 7 + j + 30)) for j in range(3)]
+        assert [x.tolist() for x in token_ids(texts, w, None)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t, w = Tokenizer.from_file(path), WordIds(path)
+    texts = ["Two  spaces and Capitals.", " x\n\ny", ""]
+    assert not w.worded and [x.tolist() for x in token_ids(texts, w, None)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 def brute_repeats(words):
