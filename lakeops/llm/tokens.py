@@ -65,7 +65,7 @@ class WordIds(dict):
     def learn(self, words: set[bytes]) -> None:
         """Adds the ids of words that are not known yet."""
         marked = [w for w in words if w[-1:] in (b".", b",") and w[:-1].isalpha()]      # ASCII letters only
-        todo = list({x for w in marked for x in (w[:-1], w[-1:])}.union(words).difference(marked, self))
+        todo = [w for w in {x for w in marked for x in (w[:-1], w[-1:])} | (words - set(marked)) if w not in self]
         for at in range(0, len(todo), AT_ONCE):
             part = todo[at:at + AT_ONCE]
             got = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
