@@ -13,6 +13,9 @@ also asks for sizes within the threshold (length filter), and a pair for enough
 words after the last shared one (positional filter); the survivors are verified
 by the sizes of their intersections.
 
+A word that stands in the prefix of a single line cannot meet another, so such words
+go first, and then the lines that keep too few; most words of a corpus are of this kind.
+
 Words that very many lines have in their prefix (found on a hashed share of the
 lines; a miss costs time, never a result) come from large groups of near
 copies.  There each line first meets the earliest line only; the lines that
@@ -134,7 +137,14 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
                         & (F.col("n") == F.col("_n")), "left")
     equal = marked.filter(place("d", "l") > F.col("first")).select("d", "th", "l")
     first = marked.filter(F.col("first").isNull() | (place("d", "l") == F.col("first")))
+    # only words that stand in several prefixes can meet, and only lines that have enough of them
     posts = first.select("d", "l", "n", F.posexplode("prefix").alias("i", "w"))
+    several = posts.groupBy(F.col("w").alias("_w")).agg(F.count("*").alias("c")).filter("c > 1").select("_w")
+    posts = stored(posts.join(several, F.col("w") == F.col("_w"), "left_semi"), "line-posts")
+    enough = (posts.groupBy(F.col("d").alias("_d"), F.col("l").alias("_l"), F.col("n").alias("_n")).agg(F.count("*").alias("c"))
+              .filter(F.col("c") >= F.least(F.lit(SHARED), need(need(F.col("_n"), percent), percent))).select("_d", "_l"))
+    posts = stored(posts.join(enough, F.col("d").eqNullSafe(F.col("_d")) & (F.col("l") == F.col("_l")), "left_semi"),
+                   "line-meeting")
 
     # crowded words: against the earliest line first
     crowded = stored(posts.filter(F.pmod(F.xxhash64("d", "l"), F.lit(LOOK_AT)) == 0).groupBy(F.col("w").alias("_w"))
@@ -179,30 +189,37 @@ def without(text: Column, gone: Column) -> Column:
         F.concat(F.array(F.lit(-1)), gone, F.array(F.size(lines))), lambda ends: rest(lines, ends)))
 
 
-def joined(docs: DataFrame, percent: int, min_words: int) -> DataFrame:
+def joined(docs: DataFrame, percent: int, min_words: int) -> tuple[DataFrame, str]:
+    """``docs`` with the numbers of the lines to remove, in a column whose name is the
+    second value (a name that ``docs`` has not)."""
+    mark = "_line"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark = "_" + mark
     gone = removed_lines(docs, percent, min_words).select(
-        F.col("d").alias("_line_d"), F.col("th").alias("_line_th"), F.col("gone").alias("_line_gone"))
-    return docs.join(side(gone), F.col("doc_id").eqNullSafe(F.col("_line_d"))
-                     & (F.xxhash64("text") == F.col("_line_th")), "left")
+        F.col("d").alias(f"{mark}_d"), F.col("th").alias(f"{mark}_th"), F.col("gone").alias(f"{mark}_gone"))
+    return docs.join(side(gone), F.col("doc_id").eqNullSafe(F.col(f"{mark}_d"))
+                     & (F.xxhash64("text") == F.col(f"{mark}_th")), "left"), f"{mark}_gone"
 
 
 def line_dedup(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """One row a document: doc_id, n_lines, n_removed, removed (line numbers
     from 0), text."""
-    gone = F.coalesce("_line_gone", F.array().cast("array<int>"))
-    return joined(docs, percent, min_words).select(
+    rows, mark = joined(docs.select("doc_id", "text"), percent, min_words)
+    gone = F.coalesce(mark, F.array().cast("array<int>"))
+    return rows.select(
         "doc_id", F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))
         .cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_removed"), gone.alias("removed"),
-        F.when(F.col("_line_gone").isNull(), F.col("text")).otherwise(without(F.col("text"), gone)).alias("text"))
+        F.when(F.col(mark).isNull(), F.col("text")).otherwise(without(F.col("text"), gone)).alias("text"))
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs``, all columns, with the removed lines taken out of ``text`` and
     ``n_chars``, where there is one, brought up to date."""
-    text = F.when(F.col("_line_gone").isNull(), F.col("text")).otherwise(without(F.col("text"), F.col("_line_gone")))
-    new = joined(docs, percent, min_words).withColumn("_line_text", text)
-    size = F.when(F.col("_line_gone").isNull(), F.col("n_chars")).otherwise(F.length("_line_text"))
+    rows, mark = joined(docs, percent, min_words)
+    text = F.when(F.col(mark).isNull(), F.col("text")).otherwise(without(F.col("text"), F.col(mark)))
+    new = rows.withColumn(f"{mark}_text", text)
+    size = F.when(F.col(mark).isNull(), F.col("n_chars")).otherwise(F.length(f"{mark}_text"))
     return new.select(*[
-        F.col("_line_text").alias(c) if c == "text" else
+        F.col(f"{mark}_text").alias(c) if c == "text" else
         size.cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
