@@ -3,7 +3,9 @@
 A source with share p of all tokens gets weight p ** alpha, normalised.  The
 exponent is the largest flattening (least alpha in [0, 1]) that the limits
 allow, found by repeated bisection: the entropy of the weights must reach
-``target_entropy`` of its maximum (the largest such alpha is taken), and no
+``target_entropy`` of its maximum (the largest such alpha is taken; by default half
+way from the entropy of the natural shares to the maximum, a target that no corpus of
+unequal sources has already met), and no
 source may be repeated more than ``max_repeat`` times within the budget (alpha
 is raised until that holds; the repetition limit goes first).
 
@@ -39,7 +41,7 @@ def n_tokens(text: Column) -> Column:
     return F.greatest(F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+")), F.lit(1)).cast("long")
 
 
-def exponent(sources: DataFrame, total: int, budget: int, target_entropy: float, max_repeat: float) -> float:
+def exponent(sources: DataFrame, total: int, budget: int, target_entropy: float | None, max_repeat: float) -> float:
     """alpha for the table (source, tokens)."""
     def measure(alphas: list[float]) -> list[tuple[float, float]]:
         """(entropy / maximum, most repeats) at each alpha, in one small job."""
@@ -66,6 +68,8 @@ def exponent(sources: DataFrame, total: int, budget: int, target_entropy: float,
         return low, high
 
     (flat_h, flat_r), (full_h, full_r) = measure([0.0, 1.0])
+    if target_entropy is None:
+        target_entropy = (full_h + 1) / 2
     if full_h >= target_entropy:
         alpha = 1.0
     else:
@@ -83,7 +87,7 @@ def block_of(doc: Column, n_blocks: Column, seed: int) -> Column:
     return F.pmod(hashed(doc, F.lit(seed)), n_blocks)
 
 
-def plan(docs: DataFrame, budget_tokens: int | None, target_entropy: float, max_repeat: float,
+def plan(docs: DataFrame, budget_tokens: int | None, target_entropy: float | None, max_repeat: float,
          seed: int) -> DataFrame | None:
     """One row a source: weight, whole epochs, and the cut of the last epoch:
     blocks of order below ``cut_block``, and of the block at it the documents
@@ -131,7 +135,7 @@ def plan(docs: DataFrame, budget_tokens: int | None, target_entropy: float, max_
                   .select("source", "weight", "epochs", "n_blocks", "cut_block", "cut_doc"), "mix-plan")
 
 
-def mix(docs: DataFrame, budget_tokens: int | None = None, target_entropy: float = 0.95, max_repeat: float = 4.0,
+def mix(docs: DataFrame, budget_tokens: int | None = None, target_entropy: float | None = None, max_repeat: float = 4.0,
         seed: int = 11, digest: bool = False) -> DataFrame:
     """The documents of the mix, a document once for each time it is taken.
     With ``digest``: doc_id, source, weight, epoch, block, block_order (its
