@@ -406,6 +406,9 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, without the later documents of a class."""
-    drop = stored(near_duplicates(docs, threshold).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(),
+    mark = "_gone"
+    while mark in docs.columns:
+        mark = "_" + mark
+    drop = stored(near_duplicates(docs, threshold).filter(~F.col("kept")).select(F.col("doc_id").alias(mark)).distinct(),
                   "near-drop")
-    return docs.join(side(drop, 2_000_000), F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(side(drop, 2_000_000), F.col("doc_id") == F.col(mark), "left_anti")

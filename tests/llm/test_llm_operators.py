@@ -216,6 +216,43 @@ def test_mixing_meets_entropy_repeats_and_budget(spark):
         assert all(len(x) == len(set(x)) for x in per.values())
 
 
+def test_mixing_acts_on_the_given_tables(spark):
+    """By default the weights lie half way to equal ones in entropy: some source repeats,
+    some loses documents, and the exponent is the one that gives this entropy."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words, own = {}, {}
+    for r in docs.select("doc_id", "source", "text").collect():
+        words[r["doc_id"]] = max(len((r["text"] or "").split()), 1)
+        own[r["source"]] = own.get(r["source"], 0) + words[r["doc_id"]]
+    got = mixing.mix(docs, digest=True).collect()
+    weight, total = {r["source"]: r["weight"] for r in got}, sum(own.values())
+
+    def entropy(alpha):
+        w = [(x / total) ** alpha for x in own.values()]
+        return -sum(x / sum(w) * math.log(x / sum(w)) for x in w) / math.log(len(w))
+
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if entropy(mid) >= (entropy(1.0) + 1) / 2 else (low, mid)
+    z = sum((x / total) ** low for x in own.values())
+    assert low < 0.99 and set(weight) == set(own)
+    for s, x in own.items():
+        assert weight[s] == pytest.approx((x / total) ** low / z, rel=1e-5)
+        taken = sum(words[r["doc_id"]] for r in got if r["source"] == s)
+        assert 0 <= round(weight[s] * total) - taken <= max(words.values())
+    assert max(r["epoch"] for r in got) >= 1 and len({r["doc_id"] for r in got}) < len(words)
+
+
+def test_stages_take_columns_named_like_their_own(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six", "a", 1, 2, 3, 4), (2, "one two three four five six", "a", 1, 2, 3, 4)],
+                                 "doc_id long, text string, source string, _gone int, _line_d int, __line_gone int, _mix_times int")
+    assert line_dedup.dedup_lines(docs).columns == near_dedup.drop_near_duplicates(docs).columns == docs.columns
+    assert near_dedup.drop_near_duplicates(docs).count() == 1
+    assert sorted(r["text"] for r in line_dedup.dedup_lines(docs).collect()) == ["", "one two three four five six"]
+    assert line_dedup.line_dedup(docs).count() == 2 and mixing.mix(docs).columns == docs.columns
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
