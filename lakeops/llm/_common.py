@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from lakeops.plans.tables import remove_tree
 from lakeops.session import work_dir
 
 BATCH_ROWS = 256
@@ -24,6 +25,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Deletes a table of ``stored`` that nothing will read again."""
+    files = table.inputFiles()
+    if files:
+        remove_tree(table.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Keeps Arrow batches of whole texts small (a Python worker holds one)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

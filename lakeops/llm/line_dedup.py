@@ -13,9 +13,6 @@ also asks for sizes within the threshold (length filter), and a pair for enough
 words after the last shared one (positional filter); the survivors are verified
 by the sizes of their intersections.
 
-A word that stands in the prefix of a single line cannot meet another, so such words
-go first, and then the lines that keep too few; most words of a corpus are of this kind.
-
 Words that very many lines have in their prefix (found on a hashed share of the
 lines; a miss costs time, never a result) come from large groups of near
 copies.  There each line first meets the earliest line only; the lines that
@@ -29,12 +26,13 @@ come first; an empty table gives no rows.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm._common import side, stored
+from lakeops.llm._common import discard, side, stored
 
 PERCENT = 80
 MIN_WORDS = 5
@@ -45,6 +43,18 @@ HASH_BITS = 63 - CLASS_BITS
 LOOK_AT, CROWD = 8, 6          # crowded: in the prefix of CROWD lines of one in LOOK_AT
 
 
+def step(df: DataFrame, name: str, *used: DataFrame) -> DataFrame:
+    """A stored table.  What made it is no longer needed: the stored tables ``used`` are
+    deleted, and the shuffle files of finished jobs go as soon as the driver's JVM
+    notices that nothing refers to them, which a collection makes it do now."""
+    out = stored(df, name)
+    for table in used:
+        discard(table)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def words(text: Column) -> Column:
     """Runs of characters other than ASCII white space."""
     for c in "\t\n\x0b\x0c\r":
@@ -89,22 +99,22 @@ def place(*names: str) -> Column:
     return F.struct(*names)
 
 
-def similar(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def similar(docs: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataFrame:
     """(d, th, l) of the later lines of those pairs (ad, al), (bd, bl) that
     reach the threshold."""
-    wanted = stored(pairs.select(F.col("ad").alias("_d"), F.col("al").alias("_l"))
-                    .unionByName(pairs.select(F.col("bd").alias("_d"), F.col("bl").alias("_l"))).distinct(), "line-wanted")
+    wanted = step(pairs.select(F.col("ad").alias("_d"), F.col("al").alias("_l"))
+                  .unionByName(pairs.select(F.col("bd").alias("_d"), F.col("bl").alias("_l"))).distinct(), "line-wanted")
     sets = (numbered(docs).join(side(wanted, 4_000_000), F.col("d").eqNullSafe(F.col("_d")) & (F.col("l") == F.col("_l")),
                                 "left_semi")
             .select("d", "th", "l", F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w))).alias("s")))
-    sets = stored(sets, "line-words")
+    sets = step(sets, "line-words", wanted)
     x = sets.select(F.col("d").alias("xd"), F.col("l").alias("xl"), F.col("s").alias("xs"))
     y = sets.select(F.col("d").alias("yd"), F.col("l").alias("yl"), F.col("th").alias("yt"), F.col("s").alias("ys"))
     both = F.size(F.array_intersect("xs", "ys"))
-    return (pairs.join(x, F.col("ad").eqNullSafe(F.col("xd")) & (F.col("al") == F.col("xl")))
-            .join(y, F.col("bd").eqNullSafe(F.col("yd")) & (F.col("bl") == F.col("yl")))
-            .filter(both * 100 >= (F.size("xs") + F.size("ys") - both) * percent)
-            .select(F.col("bd").alias("d"), F.col("yt").alias("th"), F.col("bl").alias("l")))
+    return step(pairs.join(x, F.col("ad").eqNullSafe(F.col("xd")) & (F.col("al") == F.col("xl")))
+                .join(y, F.col("bd").eqNullSafe(F.col("yd")) & (F.col("bl") == F.col("yl")))
+                .filter(both * 100 >= (F.size("xs") + F.size("ys") - both) * percent)
+                .select(F.col("bd").alias("d"), F.col("yt").alias("th"), F.col("bl").alias("l")), name, sets, pairs)
 
 
 def meetings(earlier: DataFrame, later: DataFrame, percent: int) -> DataFrame:
@@ -127,34 +137,27 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
              .withColumn("n", F.size("k")).filter(F.col("n") >= min_words)
              .select("d", "th", "l", "n", F.xxhash64("k").alias("h"), F.hash("k").alias("h2"),
                      F.slice("k", F.lit(1), F.col("n") - need(F.col("n"), percent) + shared).alias("prefix")))
-    lines = stored(lines, "line-sets")
+    lines = step(lines, "line-sets")
 
     # equal sets: the earliest stands for them
-    same = stored(lines.groupBy("h", "h2", "n").agg(F.min(place("d", "l")).alias("first"), F.count("*").alias("c"))
+    same = step(lines.groupBy("h", "h2", "n").agg(F.min(place("d", "l")).alias("first"), F.count("*").alias("c"))
                   .filter("c > 1").select(F.col("h").alias("_h"), F.col("h2").alias("_h2"), F.col("n").alias("_n"),
                                           "first"), "line-same")
     marked = lines.join(side(same), (F.col("h") == F.col("_h")) & (F.col("h2") == F.col("_h2"))
                         & (F.col("n") == F.col("_n")), "left")
     equal = marked.filter(place("d", "l") > F.col("first")).select("d", "th", "l")
     first = marked.filter(F.col("first").isNull() | (place("d", "l") == F.col("first")))
-    # only words that stand in several prefixes can meet, and only lines that have enough of them
     posts = first.select("d", "l", "n", F.posexplode("prefix").alias("i", "w"))
-    several = posts.groupBy(F.col("w").alias("_w")).agg(F.count("*").alias("c")).filter("c > 1").select("_w")
-    posts = stored(posts.join(several, F.col("w") == F.col("_w"), "left_semi"), "line-posts")
-    enough = (posts.groupBy(F.col("d").alias("_d"), F.col("l").alias("_l"), F.col("n").alias("_n")).agg(F.count("*").alias("c"))
-              .filter(F.col("c") >= F.least(F.lit(SHARED), need(need(F.col("_n"), percent), percent))).select("_d", "_l"))
-    posts = stored(posts.join(enough, F.col("d").eqNullSafe(F.col("_d")) & (F.col("l") == F.col("_l")), "left_semi"),
-                   "line-meeting")
 
     # crowded words: against the earliest line first
-    crowded = stored(posts.filter(F.pmod(F.xxhash64("d", "l"), F.lit(LOOK_AT)) == 0).groupBy(F.col("w").alias("_w"))
+    crowded = step(posts.filter(F.pmod(F.xxhash64("d", "l"), F.lit(LOOK_AT)) == 0).groupBy(F.col("w").alias("_w"))
                      .agg(F.count("*").alias("c")).filter(F.col("c") >= CROWD).select("_w"), "line-crowded")
-    dense = stored(posts.join(side(crowded), F.col("w") == F.col("_w"), "left_semi"), "line-dense")
+    dense = step(posts.join(side(crowded), F.col("w") == F.col("_w"), "left_semi"), "line-dense")
     lead = dense.groupBy(F.col("w").alias("_w")).agg(F.min(place("d", "l")).alias("lead"))
     star = (dense.join(lead, F.col("w") == F.col("_w")).groupBy("d", "l").agg(F.min("lead").alias("a"))
             .select(F.col("a.d").alias("ad"), F.col("a.l").alias("al"), F.col("d").alias("bd"), F.col("l").alias("bl"))
             .filter(F.struct("ad", "al") < F.struct("bd", "bl")))
-    quick = stored(similar(docs, stored(star, "line-star"), percent), "line-quick")
+    quick = similar(docs, step(star, "line-star"), percent, "line-quick")
     gone = quick.select(F.col("d").alias("_d"), F.col("l").alias("_l")).distinct()
     rest = dense.join(gone, F.col("d").eqNullSafe(F.col("_d")) & (F.col("l") == F.col("_l")), "left_anti")
 
@@ -167,10 +170,10 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
                      & ((F.col("c") + F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi")) - 1) * (100 + percent)
                         >= (F.col("an") + F.col("bn")) * percent))
              .select("ad", "al", "bd", "bl"))
-    near = similar(docs, stored(pairs, "line-pairs"), percent)
+    near = similar(docs, step(pairs, "line-pairs", dense), percent, "line-near")
     # lines equal to one that goes are later than it, and go as equal lines
-    return stored(equal.unionByName(quick).unionByName(near).groupBy("d", "th")
-                  .agg(F.sort_array(F.collect_set("l")).alias("gone")), "line-gone")
+    return step(equal.unionByName(quick).unionByName(near).groupBy("d", "th")
+                .agg(F.sort_array(F.collect_set("l")).alias("gone")), "line-gone", lines, same, crowded, quick, near)
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
