@@ -4,9 +4,10 @@ A few counts are taken from every whole text.  Four ratios of them go into
 mergeable quantile sketches (log-linear histograms: counts per bucket, exact
 to one part in 32, merged by adding counts), one for each (language, source).
 A document is rejected where a ratio lies outside the fence
-``quantile + factor * max(interquartile range, slack)`` of its group; a group
-of fewer than ``min_docs`` documents uses the merged sketch of its language,
-or else that of all documents.
+``quantile + factor * max(interquartile range, slack)`` of its group.  Every group
+has a fence from its own sketch, drawn towards that of the merged sketch of its
+language, and that one towards the sketch of all documents: the parent's fence
+weighs as much as ``prior_docs`` documents, the own fence as much as the group has.
 
 Cases: a null text has no words (base_failed); null languages and sources are
 groups of their own; repeated rows are judged each; with no document past the
@@ -110,7 +111,7 @@ def sketches(features: DataFrame) -> DataFrame:
             .groupBy("lang", "source", "p.metric", "p.bucket").agg(F.count("*").alias("n")))
 
 
-def fences(sketch: DataFrame, min_docs: int) -> DataFrame:
+def fences(sketch: DataFrame, prior_docs: int) -> DataFrame:
     """(lang, source, one column for each rule) from the sketches."""
     levels = (sketch.select(F.lit(2).alias("lev"), "lang", "source", "metric", "bucket", "n")
               .unionByName(sketch.groupBy("lang", "metric", "bucket").agg(F.sum("n").alias("n"))
@@ -139,20 +140,21 @@ def fences(sketch: DataFrame, min_docs: int) -> DataFrame:
     lang = wide.filter("lev = 1").select(F.col("lang").alias("lang1"), F.col("total").alias("total1"),
                                          *[F.col(n).alias(f"{n}1") for n in names])
     top = wide.filter("lev = 0").select(F.lit(0).alias("k"), *[F.col(n).alias(f"{n}0") for n in names])
+    def drawn(name: str) -> Column:
+        parent = f"(total1 * {name}1 + {prior_docs} * {name}0) div (total1 + {prior_docs})"
+        return F.expr(f"(total * {name} + {prior_docs} * ({parent})) div (total + {prior_docs})").alias(name)
+
     return (own.join(lang, F.col("lang").eqNullSafe(F.col("lang1"))).withColumn("k", F.lit(0)).join(top, "k")
-            .select("lang", "source",
-                    *[F.when(F.col("total") >= min_docs, F.col(n))
-                      .when(F.col("total1") >= min_docs, F.col(f"{n}1"))
-                      .otherwise(F.col(f"{n}0")).alias(n) for n in names]))
+            .select("lang", "source", *[drawn(n) for n in names]))
 
 
-def quality_rules(docs: DataFrame, min_docs: int = 200, min_words: int = 50, max_repeat_pct: int = 50) -> DataFrame:
+def quality_rules(docs: DataFrame, prior_docs: int = 200, min_words: int = 50, max_repeat_pct: int = 50) -> DataFrame:
     """One row a document: its counts, ``base_failed``, ``failed_rules`` and ``kept``."""
     f = counts(docs).withColumn(
         "base_failed", (F.col("n_words") < min_words)
         | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words")))
     f = stored(f, "quality-counts")
-    limits = stored(fences(sketches(f.filter(~F.col("base_failed"))), min_docs), "quality-fences")
+    limits = stored(fences(sketches(f.filter(~F.col("base_failed"))), prior_docs), "quality-fences")
     g = limits.select(F.col("lang").alias("_l"), F.col("source").alias("_s"),
                       *[F.col(r.name).alias(f"_{r.name}") for r in RULES])
     joined = f.join(g, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")

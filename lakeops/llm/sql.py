@@ -30,8 +30,8 @@ _RULES = [("symbols", "symbol_ratio", 1, 3, 10000), ("dup_lines", "dup_line_rati
           ("repeats", "repeat_ratio", 1, 4, 75000), ("long_words", "mean_word", 1, 6, 500),
           ("short_words", "mean_word", -1, 6, 300)]
 _FENCES = ", ".join(f"{_fence(m, s, f, k)} AS {n}" for n, m, s, f, k in _RULES)
-_CHOSEN = ", ".join(f"CASE WHEN o.total >= 200 THEN o.{n} WHEN l.total >= 200 THEN l.{n} ELSE t.{n} END AS {n}"
-                    for n, *_ in _RULES)
+_CHOSEN = ", ".join(f"(o.total * o.{n} + 200 * ((l.total * l.{n} + 200 * t.{n}) // (l.total + 200))) "
+                    f"// (o.total + 200) AS {n}" for n, *_ in _RULES)
 _BROKEN = ", ".join(f"CASE WHEN {m} {'>' if s > 0 else '<'} g.{n} THEN '{n}' END" for n, m, s, *_ in _RULES)
 
 QUALITY_RULES_SQL = rf"""

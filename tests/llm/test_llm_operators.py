@@ -263,3 +263,20 @@ def test_pipeline(spark):
     assert corpus_pipeline.ORACLE_SQL is None
     packed = corpus_pipeline.run(spark, SF001)
     assert packed.count() > 0 and "sequence_id" in packed.columns
+
+
+def test_fences_of_every_group_lean_on_its_own_sketch(spark):
+    """Groups of 3 and of 300 documents; each fence between its own and that of its parents."""
+    rows = [("en", "small", "mean_word", 100, 3), ("en", "big", "mean_word", 200, 300), ("de", "big", "mean_word", 160, 50)]
+    sketch = spark.createDataFrame(rows, "lang string, source string, metric string, bucket int, n long")
+    got = {(r["lang"], r["source"]): r["long_words"] for r in quality_rules.fences(sketch, 200).collect()}
+    alone = {(r["lang"], r["source"]): r["long_words"] for r in quality_rules.fences(sketch, 0).collect()}
+    assert len(set(alone.values())) == 3
+    value = {b: int(spark.range(1).select(quality_rules.bucket_value(F.lit(b))).first()[0]) for b in (100, 160, 200)}
+    assert alone == {(lang, src): value[b] + 6 * 500 for lang, src, _, b, _ in rows}
+    own, top = {k: v for k, v in alone.items()}, value[200] + 6 * max(value[200] - value[200], 500)
+    en = (303 * (value[200] + 3000) + 200 * top) // 503
+    de = (50 * own["de", "big"] + 200 * top) // 250
+    assert got == {("en", "small"): (3 * own["en", "small"] + 200 * en) // 203,
+                   ("en", "big"): (300 * own["en", "big"] + 200 * en) // 500,
+                   ("de", "big"): (50 * own["de", "big"] + 200 * de) // 250}
