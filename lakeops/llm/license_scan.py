@@ -5,7 +5,10 @@ A-Z.  Base phrases count where their words stand consecutively.  Notices are
 searched with up to k edits: a notice is split into k + 1 seeds, one of which
 must stand in the text unchanged if at most k edits do (pigeonhole), an
 Aho-Corasick automaton finds all seeds in one pass, and the ``regex`` library
-verifies a window around each hit with bounded errors and gives the span.
+verifies a window around each hit with bounded errors and gives the span.  The
+words that tell a licence from its neighbours must stand unchanged.  Of spans that
+overlap, whatever their labels, the one with the fewest edits a character counts,
+the longest first.
 
 Cases: a null text is empty; repeated rows are scanned each; texts of any
 length are scanned whole.
@@ -14,6 +17,7 @@ length are scanned whole.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from dataclasses import dataclass
 
 import ahocorasick
@@ -35,25 +39,40 @@ PHRASES = {
 
 @dataclass(frozen=True)
 class Notice:
-    """A short notice in normal form (lower-case words, one space between)."""
+    """A short notice in normal form (lower-case words, one space between);
+    ``deciding`` words of it must stand unchanged."""
     label: str
     text: str
     edits: int
+    deciding: tuple[str, ...] = ()
 
 
 NOTICES = (
-    Notice("apache", "licensed under the apache license version 2 0", 4),
-    Notice("mit", "released under the mit license", 2),
-    Notice("mit", "permission is hereby granted free of charge to any person obtaining a copy", 6),
+    Notice("agpl", "gnu affero general public license", 3, ("affero",)),
+    Notice("apache", "licensed under the apache license version 2 0", 4, ("apache",)),
+    Notice("apache", "spdx license identifier apache 2 0", 2, ("apache",)),
     Notice("bsd", "redistribution and use in source and binary forms", 4),
-    Notice("mpl", "mozilla public license version 2 0", 3),
-    Notice("gpl", "licensed under the gnu general public license version", 4),
-    Notice("gpl", "gnu general public license", 2),
-    Notice("cc-by-nc", "licensed under cc by nc", 2),
-    Notice("cc-by-sa", "licensed under cc by sa", 2),
+    Notice("bsd", "spdx license identifier bsd", 1, ("bsd",)),
     Notice("cc-by", "creative commons attribution", 2),
+    Notice("cc-by-nc", "licensed under cc by nc", 2, ("nc",)),
+    Notice("cc-by-nd", "licensed under cc by nd", 2, ("nd",)),
+    Notice("cc-by-sa", "licensed under cc by sa", 2, ("sa",)),
+    Notice("cc0", "cc0 1 0 universal", 1, ("cc0",)),
+    Notice("epl", "eclipse public license", 1, ("eclipse",)),
+    Notice("gpl", "gnu general public license", 2, ("gnu", "general")),
+    Notice("gpl", "licensed under the gnu general public license version", 4, ("gnu", "general")),
+    Notice("gpl", "spdx license identifier gpl", 1, ("gpl",)),
+    Notice("isc", "permission to use copy modify and or distribute this software for any purpose", 6),
+    Notice("lgpl", "gnu lesser general public license", 3, ("lesser",)),
+    Notice("lgpl", "spdx license identifier lgpl", 1, ("lgpl",)),
+    Notice("mit", "permission is hereby granted free of charge to any person obtaining a copy", 6),
+    Notice("mit", "released under the mit license", 2, ("mit",)),
+    Notice("mit", "spdx license identifier mit", 1, ("mit",)),
+    Notice("mpl", "mozilla public license version 2 0", 3, ("mozilla",)),
     Notice("public-domain", "released into the public domain", 2),
     Notice("reserved", "all rights reserved", 1),
+    Notice("unlicense", "this is free and unencumbered software", 3, ("unencumbered",)),
+    Notice("zlib", "altered source versions must be plainly marked as such", 4),
 )
 
 SPAN = StructType([StructField("label", StringType()), StructField("first_word", LongType()),
@@ -76,13 +95,32 @@ def seeds(notice: Notice) -> list[tuple[int, str]]:
     return [(a, notice.text[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def pattern(notice: Notice) -> regex.Pattern:
+    """The notice with at most ``edits`` edits in each stretch between deciding words."""
+    parts, loose = [], []
+
+    def end_stretch():
+        if loose:
+            parts.append(rb"(?:" + re.escape("".join(loose).encode()) + rb"){e<=%d}" % notice.edits)
+            loose.clear()
+
+    for token in re.findall("[^ ]+| ", notice.text):
+        if token in notice.deciding:
+            end_stretch()
+            parts.append(rb"(?<![^ ])" + re.escape(token.encode()) + rb"(?![^ ])")
+        else:
+            loose.append(token)
+    end_stretch()
+    return regex.compile(rb"(?<![^ ])" + b"".join(parts) + rb"(?![^ ])", regex.BESTMATCH)
+
+
 class Scanner:
     def __init__(self, notices: tuple[Notice, ...] = NOTICES, phrases: dict[str, str] = PHRASES):
         self.notices = notices
         self.phrases = [(re.compile(rb"(?<![^ ])" + p.encode() + rb"(?![^ ])"), label)
                         for p, label in phrases.items()]
-        self.exact = [regex.compile(rb"(?<![^ ])(?:" + re.escape(n.text.encode()) + rb"){e<=%d}(?![^ ])" % n.edits,
-                                    regex.BESTMATCH) for n in notices]
+        self.plain = [re.compile(rb"(?<![^ ])" + re.escape(n.text.encode()) + rb"(?![^ ])") for n in notices]
+        self.fuzzed = [pattern(n) for n in notices]
         found: dict[str, list[tuple[int, int]]] = {}
         for i, n in enumerate(notices):
             for offset, seed in seeds(n):
@@ -96,9 +134,20 @@ class Scanner:
         """(byte offset, label) of every place of a base phrase."""
         return [(m.start(), label) for p, label in self.phrases for m in p.finditer(text)]
 
+    def search(self, text: bytes, i: int, start: int, end: int) -> tuple[int, int, int, int] | None:
+        """The best match of notice ``i`` within a window."""
+        m = self.plain[i].search(text, start, end)
+        if m and text[m.end():m.end() + 1] in (b"", b" "):
+            return m.start(), m.end(), i, 0
+        m = self.fuzzed[i].search(text, start, end)
+        edits = sum(m.fuzzy_counts) if m else 0
+        return (m.start(), m.end(), i, edits) if m and edits <= self.notices[i].edits else None
+
     def fuzzy(self, text: bytes) -> list[tuple[int, int, int, int]]:
-        """(start, end, notice, edits) of verified matches; of those of one
-        label that overlap, the one with the fewest edits, the longest first."""
+        """(start, end, notice, edits) of verified matches, none over another.
+
+        A window holds every match of its seeds whole and joins its neighbour up to
+        twice its own length only, so the work grows with the number of hits."""
         windows: dict[int, list[list[int]]] = {}
         for end, (size, uses) in self.automaton.iter(text.decode("latin-1")):
             for i, offset in uses:
@@ -106,26 +155,28 @@ class Scanner:
                 a = max(0, end + 1 - size - offset - n.edits - 1)
                 b = min(len(text), end + 1 - size - offset + len(n.text) + n.edits + 1)
                 own = windows.setdefault(i, [])
-                if own and own[-1][0] <= a <= own[-1][1]:          # the automaton goes forward
+                if (own and own[-1][0] <= a <= own[-1][1]
+                        and b - own[-1][0] <= 2 * (len(n.text) + 2 * n.edits + 2)):
                     own[-1][1] = max(own[-1][1], b)
                 else:
                     own.append([a, b])
-        hits = []
+        hits = set()
         for i, own in windows.items():
-            for a, b in own:
-                todo = [(a, b)]
+            least = len(self.notices[i].text) - self.notices[i].edits
+            for window in own:
+                todo = [tuple(window)]
                 while todo:                                        # the best match, then before and after it
                     start, end = todo.pop()
-                    m = self.exact[i].search(text, start, end)
-                    if m:
-                        hits.append((m.start(), m.end(), i, sum(m.fuzzy_counts)))
-                        todo += [(x, y) for x, y in ((start, m.start() - 1), (m.end(), end)) if x < y]
-        kept: list[tuple[int, int, int, int]] = []
-        for h in sorted(set(hits), key=lambda h: (h[3] / len(self.notices[h[2]].text), -(h[1] - h[0]), h)):
-            label = self.notices[h[2]].label
-            if not any(self.notices[k[2]].label == label and h[0] < k[1] and k[0] < h[1] for k in kept):
-                kept.append(h)
-        return sorted(kept)
+                    h = self.search(text, i, start, end)
+                    if h:
+                        hits.add(h)
+                        todo += [(x, y) for x, y in ((start, h[0] - 1), (h[1], end)) if y - x >= least]
+        kept: list[tuple[int, int, int, int]] = []                 # by place; none overlap
+        for h in sorted(hits, key=lambda h: (h[3] / len(self.notices[h[2]].text), h[0] - h[1], h)):
+            at = bisect(kept, h)
+            if (at == 0 or kept[at - 1][1] <= h[0]) and (at == len(kept) or h[1] <= kept[at][0]):
+                kept.insert(at, h)
+        return kept
 
     def scan(self, text: str | None) -> tuple:
         t = normal(text)
@@ -133,9 +184,9 @@ class Scanner:
         places, fuzzy = self.base(t), self.fuzzy(t)
         at = {}
         if places or fuzzy:
+            wanted = list({s for s, _ in places} | {x for h in fuzzy for x in h[:2]})
             before = np.flatnonzero(np.frombuffer(t, np.uint8) == 32)
-            for p in {x for s, _ in places for x in (s,)} | {x for h in fuzzy for x in h[:2]}:
-                at[p] = int(np.searchsorted(before, p))
+            at = dict(zip(wanted, np.searchsorted(before, wanted).tolist()))
         starts = [at[p] for p, _ in places]
         base = sorted({label for _, label in places})
         spans = [{"label": self.notices[i].label, "first_word": at[a], "last_word": at[b], "edits": e}

@@ -1,6 +1,7 @@
 """Pure functions of the training-data operators against brute force."""
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -174,6 +175,48 @@ def test_license_scan_finds_neighbouring_notices():
         assert [x["edits"] for x in spans] == edits
 
 
+def test_each_notice_gives_its_own_label_only():
+    s = license_scan.Scanner(phrases={})
+    for n in license_scan.NOTICES:
+        assert s.scan(f"Some words. {n.text.title()}; other words.")[5] == n.label, n
+        for i in range(0, len(n.text), 3):                     # an edit anywhere gives no other label
+            assert s.scan(n.text[:i] + "q" + n.text[i + 1:])[5] in (n.label, "")
+    assert s.scan("licensed under CC BY 4.0")[5] == "" and s.scan("licensd under cc by-nd 4.0")[5] == "cc-by-nd"
+
+
+def test_license_scan_equals_a_search_of_the_whole_text():
+    """Labels against a search of every notice over the whole text, without seeds or windows."""
+    r = random.Random(9)
+    s = license_scan.Scanner(phrases={})
+    for _ in range(60):
+        words = []
+        for _ in range(r.randrange(1, 6)):
+            n = r.choice(license_scan.NOTICES)
+            t = list(n.text)
+            for _ in range(r.randrange(0, n.edits + 2)):
+                i = r.randrange(len(t))
+                t[i:i + 1] = r.choice([[], ["x"], [t[i], "x"]])
+            words += ["lorem ipsum"] * 3 + ["".join(t)]
+        text = license_scan.normal(" ".join(words))
+        whole = set()
+        for i, n in enumerate(license_scan.NOTICES):
+            h = s.search(text, i, 0, len(text))
+            if h:
+                whole.add(n.label)
+        spans = s.fuzzy(text)
+        assert {s.notices[h[2]].label for h in spans} <= whole
+        assert bool(spans) == bool(whole)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_license_scan_grows_with_the_text_only():
+    text = "all rights reserved " * 30_000
+    s = license_scan.Scanner()
+    began = time.process_time()
+    out = s.scan(text)
+    assert len(out[7]) == 30_000 == out[1] and time.process_time() - began < 10
+
+
 def test_main_text():
     page = ('<html><head><title>T</title></head><body><nav><ul><li><a href="/a">menu</a></ul></nav><div class="ad">buy</div>'
             '<article><h1>Head</h1><p><b>One&amp;two<br>more \n x<p>Next <i>it</i>em</p><div class="comments"><p>troll</p></div>'
