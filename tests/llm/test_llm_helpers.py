@@ -247,6 +247,40 @@ def test_line_blocks_choose_the_text_of_bare_divs():
     assert html_extract.regions([4, 0, 0, 0, 9, 4, 0, 0, 0, 4], level=5) == [(4, 6)]
 
 
+def test_every_page_goes_through_the_regions(monkeypatch):
+    seen, real = [], html_extract.regions
+    monkeypatch.setattr(html_extract, "regions", lambda *a: seen.append(a) or real(*a))
+    for page in ("<article><p>marked</article>", "<p>bare", '<main><a href="/x">link</a></main>'):
+        html_extract.main_text(page)
+    assert len(seen) == 3
+
+
+def test_marks_are_weighed_by_the_text_below_them():
+    long = "some words of the text " * 8
+    for name in ("social-history", "ad-hoc-networks", "related-work", "notice-period"):
+        page = f'<article><p>{long}a</p><section id="{name}"><h2>On it</h2><p>{long}b</p><nav>x</nav></section><p>end</p></article>'
+        assert html_extract.main_text(page).split("\n\n") == [long + "a", "On it", long + "b", "end"], name
+    for inner in ("".join(f'<a href="/{i}">Share it there {i}</a>' for i in range(5)), "<p>Share</p><p>Like</p>"):
+        assert html_extract.main_text(f'<article><p>{long}a</p><div class="share-buttons">{inner}</div></article>') == long + "a"
+    for name in ("ad", "comments", "comment-list", "share", "social ad", "newsletter-signup"):
+        assert html_extract.main_text(f'<article><p>{long}a</p><div class="{name}"><p>{long}</p></div></article>') == long + "a"
+
+
+def test_marks_of_teasers_do_not_hide_the_text():
+    long = "some words of the text " * 8
+    page = f'<div><p>{long}a</p><p>{long}b</p></div><article>One teaser</article><article>Other teaser</article>'
+    assert html_extract.main_text(page).startswith(f"{long}a\n\n{long}b")
+    page = f'<p>Short line before</p><article><p>{long}a</p><p>end</p></article><p>Short line after</p>'
+    assert html_extract.main_text(page) == f"{long}a\n\nend"
+
+
+def test_deep_and_unclosed_markup_takes_linear_time():
+    began = time.process_time()
+    for page in ("<b>x" * 100_000, "<div>x" * 50_000 + "</span>" * 50_000, "<p><i>x" * 50_000):
+        assert html_extract.main_text(page).count("x") == page.count("x")
+    assert time.process_time() - began < 20
+
+
 def test_main_text_after_unseen_elements_without_end_tags():
     article = "<article><p>Whole text</p></article>"
     assert html_extract.main_text(f"<html><head><meta charset=utf-8><title>T</title><body>{article}") == "Whole text"
