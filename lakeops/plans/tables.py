@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (LongType, StringType, StructField, StructType, TimestampType)
 
+from lakeops.plans.lineage import column_sources, table_sources
 from lakeops.session import work_dir
 
 LEDGER_SCHEMA = StructType([
@@ -33,6 +34,11 @@ LINEAGE_SCHEMA = StructType([
     StructField("entity_type", StringType()), StructField("target_table_full_name", StringType()),
     StructField("recorded_at", TimestampType()),
 ])
+COLUMN_LINEAGE_SCHEMA = StructType([
+    StructField("target_table_full_name", StringType()), StructField("target_column_name", StringType()),
+    StructField("source_table_schema", StringType()), StructField("source_table_name", StringType()),
+    StructField("source_column_name", StringType()), StructField("recorded_at", TimestampType()),
+])
 
 
 class TableStore:
@@ -63,10 +69,13 @@ class TableStore:
 
         ``cluster_by`` lays rows out by range of those columns and sorts them
         within files, so Parquet min/max statistics skip files on filters.
+        Lineage is read off the plan of ``df``; ``sources`` names them instead where
+        the plan cannot show them (rows the driver gave, a cut lineage).
         """
         if mode not in ("overwrite", "append"):
             raise ValueError("mode must be overwrite or append")
         full = self.full_name(name)
+        found = [] if sources else table_sources(df)
         if cluster_by:
             df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
         obs = Observation(f"write-{uuid.uuid4().hex[:8]}")
@@ -118,6 +127,8 @@ class TableStore:
                             version, rows, started, ended)
         if sources:
             self.record_lineage(sources, full)
+        elif found:
+            self._append_lineage([(*s, full) for s in found])
         return version
 
     def partition_columns(self, name: str) -> list[str]:
@@ -189,13 +200,25 @@ class TableStore:
 
     # -- lineage -------------------------------------------------------------
     def record_lineage(self, sources: list[str], target: str, entity_type: str = "TABLE") -> None:
+        parts = [s.rpartition(".") for s in sources]
+        self._append_lineage([(schema or None, name, entity_type, self.full_name(target)) for schema, _, name in parts])
+
+    def _append_lineage(self, rows: list[tuple]) -> None:
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        self.spark.createDataFrame([(*r, now) for r in rows], LINEAGE_SCHEMA).coalesce(1) \
+            .write.mode("append").parquet(f"{self.root}/_lineage")
+
+    def record_column_lineage(self, df: DataFrame, target: str) -> None:
+        """Column lineage of ``df``, written as ``target``: one plan a column, no data read."""
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        rows = []
-        for s in sources:
-            schema, _, tname = s.rpartition(".")
-            rows.append((schema or None, tname, entity_type, self.full_name(target), now))
-        self.spark.createDataFrame(rows, LINEAGE_SCHEMA).coalesce(1).write.mode("append") \
-            .parquet(f"{self.root}/_lineage")
+        rows = [(self.full_name(target), name, *s, now) for name, found in column_sources(df).items() for s in found]
+        self.spark.createDataFrame(rows, COLUMN_LINEAGE_SCHEMA).coalesce(1) \
+            .write.mode("append").parquet(f"{self.root}/_column_lineage")
+
+    def column_lineage(self, target: str) -> DataFrame:
+        """Recorded rows of a target."""
+        return (self.spark.read.schema(COLUMN_LINEAGE_SCHEMA).parquet(f"{self.root}/_column_lineage")
+                .filter(F.col("target_table_full_name") == self.full_name(target)))
 
     def lineage(self) -> DataFrame:
         try:

@@ -167,29 +167,61 @@ def ctas(spark, sf_dir):
                                                         "o_orderdate")
     # clustered layout: files hold ranges of o_orderdate, sorted within files,
     # so Parquet min/max statistics skip files on date filters
-    store.write(src, "finished_orders", comment="orders with status F", sources=["tpch.orders"],
-                cluster_by=["o_orderdate"])
+    store.write(src, "finished_orders", comment="orders with status F", cluster_by=["o_orderdate"])
     # rebuild the table from itself: the new version is written before the switch
-    store.write(store.read("finished_orders"), "finished_orders", sources=["finished_orders"])
+    store.write(store.read("finished_orders"), "finished_orders")
     return store.read("finished_orders")
 
 
+def _lineage_store(spark, sf_dir) -> TableStore:
+    """Tables of the given orders, customers and nations, a view over two of them, and a
+    table over the view and the third."""
+    name = f"lineage_{uuid.uuid4().hex[:8]}"
+    store = TableStore(spark, name)
+    for t in ("orders", "customer", "nation"):
+        store.write(table(spark, sf_dir, t), t)
+    spark.sql(f"CREATE VIEW {name}.bought AS SELECT c_nationkey, o_totalprice, o_orderdate "
+              f"FROM {name}.orders JOIN {name}.customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'P'")
+    totals = store.read("bought").join(store.read("nation"), F.col("c_nationkey") == F.col("n_nationkey")) \
+        .groupBy("n_name").agg(F.round(F.sum("o_totalprice"), 2).alias("total"), F.max("o_orderdate").alias("last"))
+    store.write(totals, "totals")
+    store.record_column_lineage(totals, "totals")
+    return store
+
+
 @query("lineage_lookup", """
-SELECT * FROM (VALUES ('tpch', 'orders', 'TABLE', 'lineage_demo.order_totals'),
-                      ('tpch', 'customer', 'TABLE', 'lineage_demo.order_totals'))
-  AS t(source_table_schema, source_table_name, entity_type, target_table_full_name)
-WHERE (SELECT count(*) FROM orders) > 0
+SELECT * FROM (
+  SELECT 'customer' AS source_table_name, 'TABLE' AS entity_type, count(*) AS source_rows FROM customer
+  UNION ALL SELECT 'nation', 'TABLE', count(*) FROM nation
+  UNION ALL SELECT 'orders', 'TABLE', count(*) FROM orders
+  UNION ALL SELECT 'bought', 'VIEW', NULL),
+  (SELECT count(DISTINCT c_nationkey) AS target_rows FROM orders JOIN customer ON o_custkey = c_custkey
+   WHERE o_orderstatus <> 'P')
 """)
 def lineage_lookup_q(spark, sf_dir):
-    store = TableStore(spark, "lineage_demo", root=work_dir(spark, "lineage"))
-    o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer")
-    totals = o.join(c, o.o_custkey == c.c_custkey).groupBy("c_custkey").agg(
-        F.sum("o_totalprice").alias("total"))
-    store.write(totals, "order_totals", sources=["tpch.orders", "tpch.customer"])
-    store.write(o.select("o_orderkey"), "order_keys", sources=["tpch.orders"])
-    return lineage_lookup(store, "order_totals").select(
-        "source_table_schema", "source_table_name", "entity_type", "target_table_full_name")
+    """The sources of a table, with the rows that the ledger holds for them and for it."""
+    store = _lineage_store(spark, sf_dir)
+    written = store.history().select(F.col("table_name").alias("t"), F.col("num_output_rows").alias("n"))
+    of = F.concat_ws(".", "source_table_schema", "source_table_name")
+    return (lineage_lookup(store, "totals")
+            .join(written.withColumnsRenamed({"t": "s", "n": "source_rows"}), of == F.col("s"), "left")
+            .join(written.withColumnRenamed("n", "target_rows"), F.col("target_table_full_name") == F.col("t"))
+            .select("source_table_name", "entity_type", "source_rows", "target_rows"))
+
+
+@query("lineage_columns", """
+SELECT t.column_name AS target_column_name, c.table_name AS source_table_name, c.column_name AS source_column_name
+FROM (VALUES ('n_name'), ('total'), ('last')) AS t(column_name), (
+  SELECT DISTINCT table_name, column_name FROM information_schema.columns
+  WHERE table_name IN ('orders', 'customer', 'nation')) c
+WHERE c.column_name IN ('o_custkey', 'o_orderstatus', 'c_custkey', 'c_nationkey', 'n_nationkey', 'n_name')
+  OR (t.column_name = 'total' AND c.column_name = 'o_totalprice')
+  OR (t.column_name = 'last' AND c.column_name = 'o_orderdate')
+""")
+def lineage_columns(spark, sf_dir):
+    """For each column of a table, the source columns it depends on."""
+    return _lineage_store(spark, sf_dir).column_lineage("totals").select(
+        "target_column_name", "source_table_name", "source_column_name")
 
 
 # ------------------------------------------------------------- keyed changes

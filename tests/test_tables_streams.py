@@ -35,6 +35,29 @@ def test_table_store_overwrite_from_itself_and_history(spark):
     assert not store.exists("t")
 
 
+def test_lineage_comes_from_the_plan(spark, tmp_path):
+    store = TableStore(spark, "lin_plan")
+    path = f"{tmp_path}/raw"
+    spark.range(5).selectExpr("id AS k", "id * 2 AS v", "id AS unused").write.parquet(path)
+    store.write(spark.read.parquet(path), "a")
+    store.write(store.read("a").withColumnRenamed("v", "w"), "b")
+    spark.sql("CREATE OR REPLACE VIEW lin_plan.seen AS SELECT k, v FROM lin_plan.a WHERE v > (SELECT min(w) FROM lin_plan.b)")
+    store.write(store.read("seen").join(store.read("b"), "k").select("k", (F.col("v") + 1).alias("v1"), "w"), "c")
+
+    def found(name):
+        return {(r.source_table_schema, r.source_table_name, r.entity_type) for r in lineage_lookup(store, name).collect()}
+
+    assert {(s, e, n.endswith("/raw")) for s, n, e in found("a")} == {(None, "PATH", True)}
+    assert found("b") == {("lin_plan", "a", "TABLE")}
+    assert found("c") == {("lin_plan", "a", "TABLE"), ("lin_plan", "b", "TABLE"), ("lin_plan", "seen", "VIEW")}
+    frame = store.read("a").filter("k > 1").select("v", "unused")
+    store.record_column_lineage(frame, "d")
+    got = {(r.target_column_name, r.source_table_name, r.source_column_name) for r in store.column_lineage("d").collect()}
+    assert got == {("v", "a", "v"), ("v", "a", "k"), ("unused", "a", "unused"), ("unused", "a", "k")}
+    store.write(spark.createDataFrame([(1,)], "x int"), "e")
+    assert found("e") == set()
+
+
 def test_merge_delete_changes(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, v string")
     u = spark.createDataFrame([(2, "B"), (4, "d"), (3, None)], "k int, v string")
