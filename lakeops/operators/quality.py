@@ -125,15 +125,18 @@ def classify_columns(df: DataFrame, columns: list[str] | None = None,
 
 
 def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False,
-                   rsd: float = 0.01, max_top_cardinality: int = 100_000) -> DataFrame:
+                   rsd: float = 0.01, tracked: int = 10_000, candidates: int = 32) -> DataFrame:
     """Per column: rows, NULLs, distinct count, numeric min/max/mean and, for
     text columns, the most frequent value (ties: smallest value).
 
-    ``exact=False`` (default): distinct counts are HyperLogLog sketches
-    (relative error ``rsd``) computed in the same single pass as the other
-    statistics; that one-row result (one value per column) is read first, and
-    only text columns whose sketch is at most ``max_top_cardinality`` are
-    unpivoted for value frequencies (free-text columns get no top value).
+    ``exact=False`` (default): distinct counts are HyperLogLog sketches (relative
+    error ``rsd``) and text columns get a frequent-item sketch of value hashes
+    (``tracked`` counters), both in the pass of the other statistics.  The one-row
+    result is read by the driver.  The ``candidates`` most frequent hashes of each
+    column are counted anew, exactly.  A column is settled where the best of these
+    counts exceeds what any other value can have by the error bound of the sketch;
+    the values of the columns left (no frequent value) are all counted.  The top value
+    and its count are exact at any number of distinct values.
     ``exact=True``: every column is unpivoted to (column, value) and counted
     in one aggregation; hot values collapse in the map-side partial aggregate,
     so no task receives a whole column, but the shuffle grows with columns x
@@ -151,14 +154,18 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool
             (F.max(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias(f"{c}__max"),
             (F.avg(c) if c in numeric else F.lit(None).cast("double")).alias(f"{c}__mean"),
             (F.lit(None).cast("long") if exact
-             else F.approx_count_distinct(c, rsd)).alias(f"{c}__approx"))])
+             else F.approx_count_distinct(c, rsd)).alias(f"{c}__approx"),
+            (F.call_function("approx_top_k", _hash(c), F.lit(candidates), F.lit(tracked))
+             if c in text and not exact else F.lit(None).cast("array<struct<item:bigint,count:bigint>>"))
+            .alias(f"{c}__often"))])
     per_col = stats.select("n_rows", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__nulls").alias("n_nulls"),
                  F.col(f"{c}__min").alias("min_value"), F.col(f"{c}__max").alias("max_value"),
                  F.col(f"{c}__mean").alias("mean_value"),
-                 F.col(f"{c}__approx").alias("approx_distinct")) for c in columns])).alias("s")
+                 F.col(f"{c}__approx").alias("approx_distinct"),
+                 F.col(f"{c}__often").alias("often")) for c in columns])).alias("s")
     ).select("s.column_name", "n_rows", "s.n_nulls", "s.min_value", "s.max_value", "s.mean_value",
-             "s.approx_distinct")
+             "s.approx_distinct", "s.often")
 
     if exact:
         counted = columns
@@ -167,9 +174,9 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool
         # pass over the data is not repeated for the final result
         row = per_col.collect()
         per_col = df.sparkSession.createDataFrame(row, per_col.schema)
-        low = {r.column_name for r in row
-               if r.approx_distinct is not None and r.approx_distinct <= max_top_cardinality}
-        counted = [c for c in text if c in low]
+        found, counted = _settled_tops(df, row, tracked, candidates)
+        per_col = per_col.join(df.sparkSession.createDataFrame(
+            found, "column_name string, sure_value string, sure_count long"), "column_name", "left")
     values = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"),
                  F.lit(c in text).alias("is_text")) for c in counted])).alias("s")
@@ -180,8 +187,7 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool
                               F.round("min_value", 6).alias("min_value"),
                               F.round("max_value", 6).alias("max_value"),
                               F.round("mean_value", 6).alias("mean_value"),
-                              F.lit(None).cast("string").alias("top_value"),
-                              F.lit(None).cast("long").alias("top_count"))
+                              F.col("sure_value").alias("top_value"), F.col("sure_count").alias("top_count"))
     freq = values.groupBy("column_name", "v", "is_text").agg(F.count(F.lit(1)).alias("n"))
     # distinct counts: a hash aggregate over all counted columns; the top value
     # (a sort-based min_by) only over the text columns' value counts
@@ -192,9 +198,46 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool
     per_value = n_distinct.join(tops, "column_name", "left")
     distinct = (F.coalesce(F.col("n_distinct"), F.lit(0)) if exact
                 else F.coalesce(F.col("n_distinct"), F.col("approx_distinct")))
+    if exact:
+        per_col = per_col.withColumns({"sure_value": F.lit(None).cast("string"), "sure_count": F.lit(None).cast("long")})
     return (per_col.join(per_value, "column_name", "left")
             .select("column_name", "n_rows", "n_nulls", distinct.alias("n_distinct"),
                     F.round("min_value", 6).alias("min_value"),
                     F.round("max_value", 6).alias("max_value"),
                     F.round("mean_value", 6).alias("mean_value"),
-                    F.col("__top").alias("top_value"), "top_count"))
+                    F.coalesce("sure_value", "__top").alias("top_value"),
+                    F.coalesce("sure_count", "top_count").alias("top_count")))
+
+
+def _hash(c: str):
+    return F.when(F.col(c).isNotNull(), F.xxhash64(c))
+
+
+def _settled_tops(df: DataFrame, stats: list, tracked: int, candidates: int) -> tuple[list, list[str]]:
+    """((column, top value, its count) proven by a count of the candidates; columns
+    with values that are not).
+
+    A value outside the candidates has at most ``5.25 / tracked`` of the rows (twice the
+    sketch's error, which is 3.5 over its number of counters), and where the list is full
+    as many more as the last candidate's estimate.
+    """
+    often = {r.column_name: [x for x in r.often if x["item"] is not None] for r in stats if r.often is not None}
+    asked = {c: items for c, items in often.items() if items}
+    tops = []
+    if asked:
+        pairs = F.array_compact(F.array(*[
+            F.when(F.xxhash64(c).isin([x["item"] for x in items]),
+                   F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v"))) for c, items in asked.items()]))
+        counts = df.select(F.explode(pairs).alias("s")).groupBy("s.column_name", "s.v").agg(F.count(F.lit(1)).alias("n"))
+        tops = counts.groupBy("column_name").agg(
+            F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("v"), F.max("n").alias("n")).collect()
+    found = []
+    for r in tops:
+        n_rows = next(s.n_rows for s in stats if s.column_name == r.column_name)
+        listed = next(s.often for s in stats if s.column_name == r.column_name)
+        bound = 5.25 * n_rows / tracked + (listed[-1]["count"] if len(listed) >= candidates else 0)
+        if r.n > bound:
+            found.append((r.column_name, r.v, r.n))
+    sure = {c for c, _, _ in found}
+    filled = {s.column_name for s in stats if s.n_rows > s.n_nulls}
+    return found, [c for c in often if c in filled and c not in sure]

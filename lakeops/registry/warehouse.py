@@ -247,6 +247,20 @@ def column_profile(spark, sf_dir):
     return quality.column_profile(table(spark, sf_dir, "orders"), exact=True)
 
 
+def _tops_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{c}' AS column_name, {c} AS top_value, count(*) AS top_count FROM documents "
+        f"WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY 3 DESC, 2 LIMIT 1)" for c in ("text", "lang", "source"))
+
+
+@query("column_top_values", _tops_sql())
+def column_top_values(spark, sf_dir):
+    """The most frequent value of each text column of the documents, whole texts
+    included, by sketch, exact recount and, where the sketch settles nothing, all counts."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.column_profile(docs.select("text", "lang", "source")).select("column_name", "top_value", "top_count")
+
+
 _EVENTS_DAY = "e AS (SELECT *, CAST(ts AS DATE) AS day FROM events)"
 
 

@@ -108,6 +108,22 @@ def test_classify_and_profile(spark):
     assert prof["u"].top_count == 2
 
 
+def test_top_values_are_exact_at_any_cardinality(spark):
+    """Heavy, flat, tied, unique, empty columns; few counters, so that some columns are not settled."""
+    n = 4000
+    df = spark.range(n).selectExpr(
+        "if(id % 8 = 0, 'often', concat('v', id)) AS heavy", "concat('u', id) AS single",
+        "concat('t', id % 2000) AS tied", "concat('f', id % 3) AS few", "CAST(NULL AS STRING) AS none",
+        "if(id % 3 = 0, NULL, concat('n', id % 500)) AS gaps", "id AS number")
+    want = {r.column_name: (r.top_value, r.top_count, r.n_nulls) for r in quality.column_profile(df, exact=True).collect()}
+    assert want["heavy"][:2] == ("often", 500) and want["single"][:2] == ("u0", 1) and want["none"] == (None, None, n)
+    for tracked, candidates in ((10_000, 32), (64, 2), (16, 4)):
+        got = quality.column_profile(df, tracked=tracked, candidates=candidates).collect()
+        assert {r.column_name: (r.top_value, r.top_count, r.n_nulls) for r in got} == want, tracked
+    empty = quality.column_profile(df.limit(0)).collect()
+    assert len(empty) == 7 and {r.top_value for r in empty} == {None}
+
+
 def test_player_groups(spark):
     df = spark.createDataFrame(
         [(1, 2020, 24, 4.0, "High/High", "Left")], "id long, year long, age long, "
