@@ -50,7 +50,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
     Read from the running context or from ``spark.checkpoint.dir``; if both are
-    unset (local tests only) a private folder is created and registered.
+    unset, a local master gets a private folder; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset
             conf_dir = None
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="lakeops-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
