@@ -12,6 +12,8 @@ from lakeops.registry._base import query
 from lakeops.registry.lookups import CUTOFF, USER_SUBSET
 from lakeops.sources.testdata import player_bronze, travel_log
 
+#: rows from here to the cutoff pick the model
+PICK_FROM = "2024-01-17"
 TRAVEL_FEATURES = ["sum_clicks_7d", "sum_impressions_7d"] + USER_SUBSET
 
 
@@ -36,8 +38,14 @@ def train_classify(spark, sf_dir):
 
 @query("score_batch")
 def score_batch(spark, sf_dir):
-    train, test = _travel_training(spark, sf_dir)
-    trials, fitted = models.search(train, test, TRAVEL_FEATURES, "purchased", "classification")
+    """Models fitted on the rows before ``PICK_FROM``, the best picked on those from there
+    to the cutoff, and the rows after the cutoff, which neither saw, scored."""
+    known, test = _travel_training(spark, sf_dir)
+    train, valid = time_split(known, PICK_FROM)
+    trials, fitted = models.search(train, valid, TRAVEL_FEATURES, "purchased", "classification")
+    failed = [r["model"] for r in trials.filter("status <> 'FINISHED'").collect()]
+    if failed:
+        raise RuntimeError(f"trials failed: {failed}")
     best = models.pick_best(trials).collect()[0]      # one row: the best trial
     model = fitted[best.run_id]
     batch = test.select("user_id", "destination_id", "ts", "purchased", *TRAVEL_FEATURES)
