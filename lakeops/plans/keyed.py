@@ -32,14 +32,21 @@ from lakeops.operators.changes import merge_upsert, snapshot_changes
 from lakeops.session import written
 
 ROWS_PER_FILE = 1_000_000
+FILES = 512
 
 
 class KeyedTable:
-    """``rows_per_file``: rows of a file that a change would rewrite, at most."""
+    """``rows_per_file``: rows of a file that a change would rewrite, at most, in a table
+    that has them in up to ``FILES`` such files.  Files of a larger table grow with it, up
+    to ``ROWS_PER_FILE`` rows, so that listing and opening them doesn't become the work."""
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str], rows_per_file: int = ROWS_PER_FILE):
         self.spark, self.root, self.keys, self.rows_per_file = spark, root.rstrip("/"), list(keys), rows_per_file
 
+    def file_rows(self, rows: int) -> int:
+        """Rows of a file, at most, of a table of ``rows`` rows."""
+        return max(self.rows_per_file, min(-(-rows // FILES), ROWS_PER_FILE))
+
     # -- versions ------------------------------------------------------------
     def _path(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -69,7 +76,7 @@ class KeyedTable:
     # -- writes --------------------------------------------------------------
     def create(self, df: DataFrame) -> "KeyedTable":
         df.limit(0).write.parquet(f"{self.root}/schema")
-        self._commit(0, self._written(df, 0), None)
+        self._commit(0, self._written(df, 0, df.count()), None)
         return self
 
     def merge(self, updates: DataFrame, delete_condition: str | None = None) -> int:
@@ -85,21 +92,22 @@ class KeyedTable:
     def _change(self, by: DataFrame, apply) -> int:
         version = self._latest()
         files = self.manifest(version).collect()
-        low, high = by.agg(F.min(self.keys[0]), F.max(self.keys[0])).first()
+        low, high, n_by = by.agg(F.min(self.keys[0]), F.max(self.keys[0]), F.count(F.lit(1))).first()
         near = [f.file for f in files if low is not None and f.low <= high and f.high >= low]
         at = F.col("_metadata.file_path").alias("__file")
         hit = {r["__file"] for r in (self._files(near).select(*self.keys, at).join(by.select(*self.keys), self.keys, "left_semi")
                                      .select("__file").distinct().collect())} if near else set()
         old = self._files([f.file for f in files if f.file in hit])
-        new = self._written(apply(old), version + 1)
+        new = self._written(apply(old), version + 1, sum(f.rows for f in files) + n_by)
         kept = self.manifest(version).join(F.broadcast(self.spark.createDataFrame([(h,) for h in hit], "file string")),
                                            "file", "left_anti")
         changed = snapshot_changes(old, self._files([r.file for r in new.select("file").collect()]), self.keys)
         self._commit(version + 1, kept.unionByName(new), changed)
         return version + 1
 
-    def _written(self, df: DataFrame, version: int) -> DataFrame:
-        """Writes rows as sorted files and returns their part of a manifest."""
+    def _written(self, df: DataFrame, version: int, rows: int) -> DataFrame:
+        """Writes rows as sorted files, sized for a table of ``rows`` rows, and returns
+        their part of a manifest."""
         some = F.lit(True)
         for k in self.keys:
             some = some & F.col(f"`{k}`").isNotNull()
@@ -108,7 +116,7 @@ class KeyedTable:
             F.raise_error(F.lit(f"null key {self.keys}")).cast(df.schema[first].dataType)))
         path = f"{self.root}/data/{uuid.uuid4().hex}"
         (df.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys).write
-         .option("maxRecordsPerFile", self.rows_per_file).parquet(path))
+         .option("maxRecordsPerFile", self.file_rows(rows)).parquet(path))
         own = self.spark.read.schema(df.schema).parquet(path)
         return written(own.groupBy(F.col("_metadata.file_path").alias("file"))
                        .agg(F.count(F.lit(1)).alias("rows"), F.min(first).alias("low"), F.max(first).alias("high"))

@@ -72,11 +72,12 @@ def merge_rewritten_share(spark, sf_dir):
     """Rows of the version after the merge, whether its files account for all of them, and
     whether no more rows were rewritten than the changed ones and two files besides."""
     t = _created(spark, sf_dir)
+    own = t.file_rows(t.read().count())
     _first(t)
     new, n_changed = F.col("added") == 1, t.changes().filter("_change_type <> 'update_preimage'").count()
     counted = t.manifest().agg(F.sum("rows").alias("n_rows"), F.sum(F.when(new, F.col("rows"))).alias("written"))
     return counted.select("n_rows", (F.col("n_rows") == F.lit(t.read().count())).alias("all_counted"),
-                          (F.col("written") <= F.lit(n_changed + 2 * _ROWS_PER_FILE)).alias("few_rewritten"))
+                          (F.col("written") <= F.lit(n_changed + 2 * own)).alias("few_rewritten"))
 
 
 def _feed_sql(version, old, new):

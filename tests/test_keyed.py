@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lakeops.plans import keyed
 from lakeops.plans.keyed import ChangeFedView, KeyedTable
 from lakeops.session import work_dir
 
@@ -84,6 +85,19 @@ def test_only_touched_files_are_rewritten(spark):
     assert {x.file for x in t.manifest(gone).collect()} == set(after)
 
 
+def test_files_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "FILES", 8)
+    t = KeyedTable(spark, work_dir(spark, "keyed-grown"), ["k"], 10).create(frame(spark, {k: ("a", k, 1.0) for k in range(2000)}))
+    assert t.file_rows(40) == 10 and t.file_rows(2000) == 250 and t.file_rows(10 ** 12) == keyed.ROWS_PER_FILE
+    files = t.manifest().collect()
+    assert len(files) <= 8 + 4 and max(f.rows for f in files) <= 250 and sum(f.rows for f in files) == 2000
+    t.merge(frame(spark, {k: ("b", 0, 0.0) for k in (57, 58, 3000)}))
+    after = t.manifest().collect()
+    assert len({f.file for f in files} - {f.file for f in after}) == 1 and sum(f.rows for f in after) == 2001
+    got = {x["k"]: x["g"] for x in t.read().collect()}
+    assert len(got) == 2001 and {k for k, g in got.items() if g == "b"} == {57, 58, 3000}
+
+
 def test_feed_appears_after_a_writer_died_before_the_rename(spark, monkeypatch):
     t = KeyedTable(spark, work_dir(spark, "keyed-died"), ["k"]).create(frame(spark, {1: ("a", 1, 1.0)}))
     with monkeypatch.context() as m:
