@@ -7,11 +7,14 @@ line number), anywhere in the corpus has a Jaccard similarity of at least
 Words are hashed and ordered from rare to common.  Any fixed order gives the
 exact result, so frequencies are kept in a table of ``BUCKETS`` hashed counts,
 whose size does not grow with the vocabulary.  Equal sets are first reduced to
-the earliest line.  Two sets at the threshold share ``SHARED`` words among the
-first n - ceil(t n) + SHARED of each (prefix filter); the join on those words
-also asks for sizes within the threshold (length filter), and a pair for enough
-words after the last shared one (positional filter); the survivors are verified
-by the sizes of their intersections.
+the earliest line.  Two sets at the threshold share a word among the first
+n - ceil(t n) + 1 of each (prefix filter).  The join on those words also asks
+for sizes within the threshold (length filter), enough words before and after
+the shared one (positional filter) and few different bits: a line carries the
+parities of its words' numbers over 64 bits, and every bit in which two lines
+differ stands for a word that only one of them has (bitmap filter).  So hardly
+a pair leaves the join that isn't near; those that do are verified by the sizes
+of their intersections.
 
 Words that very many lines have in their prefix (found on a hashed share of the
 lines; a miss costs time, never a result) come from large groups of near
@@ -36,7 +39,6 @@ from lakeops.llm._common import discard, side, stored
 
 PERCENT = 80
 MIN_WORDS = 5
-SHARED = 3
 BUCKETS = 1 << 18
 CLASS_BITS = 9                 # classes of rarity: 8 to each doubling of the count
 HASH_BITS = 63 - CLASS_BITS
@@ -95,6 +97,12 @@ def numbered(docs: DataFrame) -> DataFrame:
                        F.posexplode(F.split("text", "\n")).alias("l", "line"))
 
 
+def parities(words: Column) -> Column:
+    """For each of 64 bits, whether an odd number of the line's words falls on it."""
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(bit(w)))
+
+
 def place(*names: str) -> Column:
     return F.struct(*names)
 
@@ -118,25 +126,28 @@ def similar(docs: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataF
 
 
 def meetings(earlier: DataFrame, later: DataFrame, percent: int) -> DataFrame:
-    """A row for each word that the prefixes of two lines share, sizes within
-    the threshold."""
+    """(ad, al, bd, bl) for each word that the prefixes of two lines share, if
+    their sizes, the word's positions and the parities allow the threshold."""
     a = earlier.select(F.col("w").alias("aw"), F.col("d").alias("ad"), F.col("l").alias("al"), F.col("n").alias("an"),
-                       F.col("i").alias("ai"))
+                       F.col("i").alias("ai"), F.col("p").alias("ap"))
     b = later.select(F.col("w").alias("bw"), F.col("d").alias("bd"), F.col("l").alias("bl"), F.col("n").alias("bn"),
-                     F.col("i").alias("bi"))
-    return a.join(b, (F.col("aw") == F.col("bw")) & (F.struct("ad", "al") < F.struct("bd", "bl"))
-                  & (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent)).drop("aw", "bw")
+                     F.col("i").alias("bi"), F.col("p").alias("bp"))
+    total = F.col("an") + F.col("bn")
+    common = F.least("ai", "bi") + F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi"))      # at most
+    differ = F.bit_count(F.col("ap").bitwiseXOR(F.col("bp")))                                         # at least
+    return a.join(b, (F.col("aw") == F.col("bw")) & (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent)
+                  & (differ * (100 + percent) <= total * (100 - percent)) & (common * (100 + percent) >= total * percent)
+                  & (F.struct("ad", "al") < F.struct("bd", "bl"))).select("ad", "al", "bd", "bl")
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """(d, th, gone): the numbers of the lines to remove, for each document that has any."""
     docs = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
-    shared = F.least(F.lit(SHARED), need(F.col("n"), percent))
     # by a generator, over which the filter on n isn't pushed: that would compute the keys twice
     lines = (numbered(docs).select("d", "th", "l", F.explode(F.array(keys(F.col("line"), rarity(docs)))).alias("k"))
              .withColumn("n", F.size("k")).filter(F.col("n") >= min_words)
-             .select("d", "th", "l", "n", F.xxhash64("k").alias("h"), F.hash("k").alias("h2"),
-                     F.slice("k", F.lit(1), F.col("n") - need(F.col("n"), percent) + shared).alias("prefix")))
+             .select("d", "th", "l", "n", F.xxhash64("k").alias("h"), F.hash("k").alias("h2"), parities(F.col("k")).alias("p"),
+                     F.slice("k", F.lit(1), F.col("n") - need(F.col("n"), percent) + 1).alias("prefix")))
     lines = step(lines, "line-sets")
 
     # equal sets: the earliest stands for them
@@ -147,7 +158,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
                         & (F.col("n") == F.col("_n")), "left")
     equal = marked.filter(place("d", "l") > F.col("first")).select("d", "th", "l")
     first = marked.filter(F.col("first").isNull() | (place("d", "l") == F.col("first")))
-    posts = first.select("d", "l", "n", F.posexplode("prefix").alias("i", "w"))
+    posts = first.select("d", "l", "n", "p", F.posexplode("prefix").alias("i", "w"))
 
     # crowded words: against the earliest line first
     crowded = step(posts.filter(F.pmod(F.xxhash64("d", "l"), F.lit(LOOK_AT)) == 0).groupBy(F.col("w").alias("_w"))
@@ -162,14 +173,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
     rest = dense.join(gone, F.col("d").eqNullSafe(F.col("_d")) & (F.col("l") == F.col("_l")), "left_anti")
 
     sparse = posts.join(side(crowded), F.col("w") == F.col("_w"), "left_anti")
-    both = meetings(sparse, sparse, percent).unionByName(meetings(dense, rest, percent))
-    least = F.least(F.lit(SHARED), need(F.col("an"), percent), need(F.col("bn"), percent))
-    pairs = (both.groupBy("ad", "al", "bd", "bl", "an", "bn")
-             .agg(F.count("*").alias("c"), F.max("ai").alias("ai"), F.max("bi").alias("bi"))
-             .filter((F.col("c") >= least)
-                     & ((F.col("c") + F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi")) - 1) * (100 + percent)
-                        >= (F.col("an") + F.col("bn")) * percent))
-             .select("ad", "al", "bd", "bl"))
+    pairs = meetings(sparse, sparse, percent).unionByName(meetings(dense, rest, percent)).distinct()
     near = similar(docs, step(pairs, "line-pairs", dense), percent, "line-near")
     # lines equal to one that goes are later than it, and go as equal lines
     return step(equal.unionByName(quick).unionByName(near).groupBy("d", "th")

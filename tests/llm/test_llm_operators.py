@@ -141,6 +141,23 @@ def test_line_dedup_against_brute_force(spark, monkeypatch):
                                       if (x["doc_id"], i) not in gone)
 
 
+def test_line_dedup_verifies_near_lines_only(spark, monkeypatch):
+    # lines of a group share 4 rare words, first in the order, and no others
+    rows = [(g * 6 + i, " ".join([f"rare{g}x{j}" for j in range(4)] + [f"w{(g * 6 + i) * 8 + j}" for j in range(8)] * 2))
+            for g in range(20) for i in range(6)]
+    rows += [(1000 + d, " ".join(f"w{(7 * d + j) % 960}" for j in range(50))) for d in range(200)]
+    rows += [(2000, rows[0][1] + " more"), (2001, None)]
+    stored = {}
+    monkeypatch.setattr(line_dedup, "step", lambda df, name, *used, real=line_dedup.step: stored.setdefault(
+        name, df.cache()) if name == "line-pairs" else real(df, name, *used))
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sets = [(d, set(t.split())) for d, t in rows if t]
+    want = {d for n, (d, s) in enumerate(sets) if any(len(s & t) * 5 >= len(s | t) * 4 for _, t in sets[:n])}
+    assert {x["doc_id"] for x in got if x["n_removed"]} == want and 2000 in want
+    met = {(x["ad"], x["bd"]) for x in stored["line-pairs"].collect()}
+    assert (0, 2000) in met and not any(b < 1000 for _, b in met)
+
+
 def test_top_k_with_ties_bad_vectors_and_huge_values(spark):
     r = np.random.default_rng(4)
     rows = [(i, r.normal(size=4).tolist()) for i in range(60)] + [(i, [0.5, 0.25, 0.0, 1.0]) for i in range(60, 90)]
