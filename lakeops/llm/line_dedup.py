@@ -11,15 +11,16 @@ the earliest line.  Two sets at the threshold share a word among the first
 n - ceil(t n) + 1 of each (prefix filter).  The join on those words also asks
 for sizes within the threshold (length filter), enough words before and after
 the shared one (positional filter) and few different bits: a line carries the
-parities of its words' numbers over 64 bits, and every bit in which two lines
-differ stands for a word that only one of them has (bitmap filter).  So hardly
-a pair leaves the join that isn't near; those that do are verified by the sizes
-of their intersections.
+parities of its words' numbers over 64 bits (128, if it has ``LONG`` words), and
+every bit in which two lines differ stands for a word that only one of them has
+(bitmap filter).  So few pairs leave the join that aren't near; those that do are
+verified by the sizes of their intersections, a line's likeliest pair first: the
+others only if that one isn't near.
 
 Words that very many lines have in their prefix (found on a hashed share of the
 lines; a miss costs time, never a result) come from large groups of near
-copies.  There each line first meets the earliest line only; the lines that
-this removes need no further partner, so only the rest meet the whole group.
+copies.  There each line first meets the earliest line only, by the same length
+and bitmap filters; the lines that this removes need no further partner, so only the rest meet the whole group.
 
 Cases: a null text stays null; lines of fewer than ``min_words`` distinct words
 stay; repeated rows stand at one place, so neither removes the other; rows of
@@ -42,7 +43,8 @@ MIN_WORDS = 5
 BUCKETS = 1 << 18
 CLASS_BITS = 9                 # classes of rarity: 8 to each doubling of the count
 HASH_BITS = 63 - CLASS_BITS
-LOOK_AT, CROWD = 8, 6          # crowded: in the prefix of CROWD lines of one in LOOK_AT
+LONG = 80                      # lines of so many words have 128 bits, others 64
+LOOK_AT, CROWD = 8, 32         # crowded: in the prefix of CROWD lines of one in LOOK_AT
 
 
 def step(df: DataFrame, name: str, *used: DataFrame) -> DataFrame:
@@ -57,11 +59,16 @@ def step(df: DataFrame, name: str, *used: DataFrame) -> DataFrame:
     return out
 
 
-def words(text: Column) -> Column:
-    """Runs of characters other than ASCII white space."""
+def pieces(text: Column) -> Column:
+    """Runs of characters other than ASCII white space, and empty strings."""
     for c in "\t\n\x0b\x0c\r":
         text = F.replace(text, F.lit(c), F.lit(" "))
-    return F.array_remove(F.split(text, " "), "")
+    return F.split(text, " ")
+
+
+def hashes(line: Column) -> Column:
+    """The line's distinct words as 64-bit hashes, without that of the empty string."""
+    return F.array_remove(F.array_distinct(F.transform(pieces(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def need(n: Column, percent: int) -> Column:
@@ -70,14 +77,15 @@ def need(n: Column, percent: int) -> Column:
 
 
 def bucket(word: Column) -> Column:
-    return F.hash(word).bitwiseAND(F.lit(BUCKETS - 1))
+    """Of a word's hash."""
+    return word.bitwiseAND(F.lit(BUCKETS - 1))
 
 
 def rarity(docs: DataFrame) -> Column:
     """The class of rarity of every bucket of words: an array constant of
     BUCKETS small numbers, whatever the corpus."""
-    n = (docs.select(F.explode(words(F.col("text"))).alias("w"))
-         .groupBy(bucket(F.col("w")).cast("long").alias("b")).agg(F.count("*").alias("n")))
+    n = (docs.select(F.explode(pieces(F.col("text"))).alias("w")).filter("w <> ''")
+         .groupBy(bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n")))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").alias("b"), F.lit(0).cast("long").alias("n"))
     level = F.least(F.floor(F.log2(F.col("n") + 1) * 8), F.lit((1 << CLASS_BITS) - 1)).cast("int")
     row = (n.unionByName(every).groupBy("b").agg(F.sum("n").alias("n")).select("b", level.cast("string").alias("c"))
@@ -87,8 +95,8 @@ def rarity(docs: DataFrame) -> Column:
 
 def keys(line: Column, classes: Column) -> Column:
     """The line's distinct words as sorted numbers: class of rarity, then hash."""
-    return F.sort_array(F.array_distinct(F.transform(words(line), lambda w: F.shiftleft(
-        F.get(classes, bucket(w)), HASH_BITS).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << HASH_BITS) - 1))))))
+    return F.sort_array(F.transform(hashes(line), lambda h: F.shiftleft(
+        F.get(classes, bucket(h).cast("int")), HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -97,47 +105,82 @@ def numbered(docs: DataFrame) -> DataFrame:
                        F.posexplode(F.split("text", "\n")).alias("l", "line"))
 
 
-def parities(words: Column) -> Column:
-    """For each of 64 bits, whether an odd number of the line's words falls on it."""
-    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
+def parities(words: Column, of: Callable[[Column], Column] = lambda w: F.lit(1).cast("long")) -> Column:
+    """For each of 64 bits, whether an odd number of the line's words falls on it.
+    Words for which ``of`` gives 0 do not count."""
+    bit = lambda w: F.call_function("shiftleft", of(w), w.bitwiseAND(F.lit(63)).cast("int"))
     return F.aggregate(words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(bit(w)))
 
 
+def upper(word: Column) -> Column:
+    """1 for words on the upper 64 of 128 bits, else 0."""
+    return F.shiftright(word, 6).bitwiseAND(F.lit(1).cast("long"))
+
+
 def place(*names: str) -> Column:
     return F.struct(*names)
 
 
-def similar(docs: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataFrame:
-    """(d, th, l) of the later lines of those pairs (ad, al), (bd, bl) that
-    reach the threshold."""
+def before(d: Column, l: Column, d2: Column, l2: Column) -> Column:  # noqa: E741
+    """place(d, l) < place(d2, l2), without making structs: a join asks it very often."""
+    return (d < d2) | (d.eqNullSafe(d2) & (l < l2)) | (d.isNull() & d2.isNotNull())
+
+
+def word_sets(docs: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
+    """(d, th, l, s): the words of all lines of those pairs (ad, al), (bd, bl)."""
     wanted = step(pairs.select(F.col("ad").alias("_d"), F.col("al").alias("_l"))
-                  .unionByName(pairs.select(F.col("bd").alias("_d"), F.col("bl").alias("_l"))).distinct(), "line-wanted")
-    sets = (numbered(docs).join(side(wanted, 4_000_000), F.col("d").eqNullSafe(F.col("_d")) & (F.col("l") == F.col("_l")),
-                                "left_semi")
-            .select("d", "th", "l", F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w))).alias("s")))
-    sets = step(sets, "line-words", wanted)
+                  .unionByName(pairs.select(F.col("bd").alias("_d"), F.col("bl").alias("_l")))
+                  .groupBy("_d").agg(F.collect_set("_l").alias("_ls")), "line-wanted")
+    lines = (docs.join(side(wanted), F.col("doc_id").eqNullSafe(F.col("_d")))
+             .select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("th"), F.split("text", "\n").alias("lines"), "_ls")
+             .select("d", "th", "lines", F.explode("_ls").alias("l")).filter(F.col("l") < F.size("lines")))
+    return step(lines.select("d", "th", "l", F.explode(F.array(hashes(F.get("lines", "l")))).alias("s"))
+                .filter(F.size("s") >= min_words), "line-words", wanted)
+
+
+def similar(sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataFrame:
+    """(d, th, l, near): the later lines of those pairs, and whether any of their
+    pairs reaches the threshold."""
     x = sets.select(F.col("d").alias("xd"), F.col("l").alias("xl"), F.col("s").alias("xs"))
     y = sets.select(F.col("d").alias("yd"), F.col("l").alias("yl"), F.col("th").alias("yt"), F.col("s").alias("ys"))
-    both = F.size(F.array_intersect("xs", "ys"))
+    near = once(F.size(F.array_intersect("xs", "ys")), lambda both: both * 100 >= (F.size("xs") + F.size("ys") - both) * percent)
     return step(pairs.join(x, F.col("ad").eqNullSafe(F.col("xd")) & (F.col("al") == F.col("xl")))
                 .join(y, F.col("bd").eqNullSafe(F.col("yd")) & (F.col("bl") == F.col("yl")))
-                .filter(both * 100 >= (F.size("xs") + F.size("ys") - both) * percent)
-                .select(F.col("bd").alias("d"), F.col("yt").alias("th"), F.col("bl").alias("l")), name, sets, pairs)
+                .select(F.col("bd").alias("d"), F.col("yt").alias("th"), F.col("bl").alias("l"), near.alias("near"))
+                .groupBy("d", "th", "l").agg(F.max("near").alias("near")), name)
+
+
+def settled(checked: DataFrame) -> DataFrame:
+    """(_d, _l): the places all of whose lines (rows may share a doc_id) have an earlier near line."""
+    return (checked.groupBy(F.col("d").alias("_d"), F.col("l").alias("_l")).agg(F.min("near").alias("near"))
+            .filter("near").select("_d", "_l"))
+
+
+def differing(n: Column, p: Column, q: Column, n2: Column, p2: Column, q2: Column) -> Column:
+    """The words that only one of two lines has, by their parities: at least so many."""
+    long = (n >= LONG) & (n2 >= LONG)
+    x, y = p.bitwiseXOR(p2), q.bitwiseXOR(q2)
+    return F.when(long, F.bit_count(x.bitwiseXOR(y)) + F.bit_count(y)).otherwise(F.bit_count(x))
+
+
+def alike(differ: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether sizes ``n`` and ``m`` and at least ``differ`` different words allow the threshold."""
+    return ((n * 100 >= m * percent) & (m * 100 >= n * percent)
+            & (differ * (100 + percent) <= (n + m) * (100 - percent)))
 
 
 def meetings(earlier: DataFrame, later: DataFrame, percent: int) -> DataFrame:
-    """(ad, al, bd, bl) for each word that the prefixes of two lines share, if
-    their sizes, the word's positions and the parities allow the threshold."""
+    """(ad, al, bd, bl, differ) for each word that the prefixes of two lines share,
+    if their sizes, the word's positions and the parities allow the threshold."""
     a = earlier.select(F.col("w").alias("aw"), F.col("d").alias("ad"), F.col("l").alias("al"), F.col("n").alias("an"),
-                       F.col("i").alias("ai"), F.col("p").alias("ap"))
+                       F.col("i").alias("ai"), F.col("p").alias("ap"), F.col("q").alias("aq"))
     b = later.select(F.col("w").alias("bw"), F.col("d").alias("bd"), F.col("l").alias("bl"), F.col("n").alias("bn"),
-                     F.col("i").alias("bi"), F.col("p").alias("bp"))
-    total = F.col("an") + F.col("bn")
+                     F.col("i").alias("bi"), F.col("p").alias("bp"), F.col("q").alias("bq"))
     common = F.least("ai", "bi") + F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi"))      # at most
-    differ = F.bit_count(F.col("ap").bitwiseXOR(F.col("bp")))                                         # at least
-    return a.join(b, (F.col("aw") == F.col("bw")) & (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent)
-                  & (differ * (100 + percent) <= total * (100 - percent)) & (common * (100 + percent) >= total * percent)
-                  & (F.struct("ad", "al") < F.struct("bd", "bl"))).select("ad", "al", "bd", "bl")
+    differ = differing(*map(F.col, ("an", "ap", "aq", "bn", "bp", "bq")))
+    return a.join(b, (F.col("aw") == F.col("bw")) & before(*map(F.col, ("ad", "al", "bd", "bl")))
+                  & alike(differ, F.col("an"), F.col("bn"), percent)
+                  & (common * (100 + percent) >= (F.col("an") + F.col("bn")) * percent)).select("ad", "al", "bd", "bl", differ.alias("differ"))
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
@@ -147,6 +190,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
     lines = (numbered(docs).select("d", "th", "l", F.explode(F.array(keys(F.col("line"), rarity(docs)))).alias("k"))
              .withColumn("n", F.size("k")).filter(F.col("n") >= min_words)
              .select("d", "th", "l", "n", F.xxhash64("k").alias("h"), F.hash("k").alias("h2"), parities(F.col("k")).alias("p"),
+                     F.when(F.col("n") >= LONG, parities(F.col("k"), upper)).otherwise(F.lit(0).cast("long")).alias("q"),
                      F.slice("k", F.lit(1), F.col("n") - need(F.col("n"), percent) + 1).alias("prefix")))
     lines = step(lines, "line-sets")
 
@@ -158,26 +202,37 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
                         & (F.col("n") == F.col("_n")), "left")
     equal = marked.filter(place("d", "l") > F.col("first")).select("d", "th", "l")
     first = marked.filter(F.col("first").isNull() | (place("d", "l") == F.col("first")))
-    posts = first.select("d", "l", "n", "p", F.posexplode("prefix").alias("i", "w"))
+    posts = first.select("d", "l", "n", "p", "q", F.posexplode("prefix").alias("i", "w"))
 
     # crowded words: against the earliest line first
     crowded = step(posts.filter(F.pmod(F.xxhash64("d", "l"), F.lit(LOOK_AT)) == 0).groupBy(F.col("w").alias("_w"))
                      .agg(F.count("*").alias("c")).filter(F.col("c") >= CROWD).select("_w"), "line-crowded")
     dense = step(posts.join(side(crowded), F.col("w") == F.col("_w"), "left_semi"), "line-dense")
-    lead = dense.groupBy(F.col("w").alias("_w")).agg(F.min(place("d", "l")).alias("lead"))
-    star = (dense.join(lead, F.col("w") == F.col("_w")).groupBy("d", "l").agg(F.min("lead").alias("a"))
-            .select(F.col("a.d").alias("ad"), F.col("a.l").alias("al"), F.col("d").alias("bd"), F.col("l").alias("bl"))
-            .filter(F.struct("ad", "al") < F.struct("bd", "bl")))
-    quick = similar(docs, step(star, "line-star"), percent, "line-quick")
-    gone = quick.select(F.col("d").alias("_d"), F.col("l").alias("_l")).distinct()
-    rest = dense.join(gone, F.col("d").eqNullSafe(F.col("_d")) & (F.col("l") == F.col("_l")), "left_anti")
+    lead = step(dense.groupBy(F.col("w").alias("_w")).agg(F.min(F.struct("d", "l", "n", "p", "q")).alias("a")), "line-lead")
+    star = (dense.join(side(lead), F.col("w") == F.col("_w"))
+            .filter(alike(differing(*map(F.col, ("a.n", "a.p", "a.q", "n", "p", "q"))), F.col("a.n"), F.col("n"), percent)
+                    & (F.struct("a.d", "a.l") < F.struct("d", "l")))
+            .groupBy("d", "l").agg(F.min("a").alias("a"))
+            .select(F.col("a.d").alias("ad"), F.col("a.l").alias("al"), F.col("d").alias("bd"), F.col("l").alias("bl")))
+    star = step(star, "line-star")
+    sets = word_sets(docs, star, min_words)
+    quick = similar(sets, star, percent, "line-quick")
+    rest = dense.join(settled(quick), F.col("d").eqNullSafe(F.col("_d")) & (F.col("l") == F.col("_l")), "left_anti")
 
     sparse = posts.join(side(crowded), F.col("w") == F.col("_w"), "left_anti")
-    pairs = meetings(sparse, sparse, percent).unionByName(meetings(dense, rest, percent)).distinct()
-    near = similar(docs, step(pairs, "line-pairs", dense), percent, "line-near")
+    pairs = step(meetings(sparse, sparse, percent).unionByName(meetings(dense, rest, percent)).distinct(), "line-pairs")
+    # each line against its likeliest partner first, then what is left
+    best = step(pairs.groupBy("bd", "bl").agg(F.min(F.struct("differ", "ad", "al")).alias("a"))
+                .select("a.ad", "a.al", "bd", "bl"), "line-best", dense, lead, sets, star)
+    sets = word_sets(docs, pairs, min_words)
+    near = similar(sets, best, percent, "line-near")
+    left = step(pairs.join(settled(near), F.col("bd").eqNullSafe(F.col("_d")) & (F.col("bl") == F.col("_l")), "left_anti")
+                .select("ad", "al", "bd", "bl"), "line-left")
+    late = similar(sets, left, percent, "line-late")
+    found = quick.unionByName(near).unionByName(late).filter("near").select("d", "th", "l")
     # lines equal to one that goes are later than it, and go as equal lines
-    return step(equal.unionByName(quick).unionByName(near).groupBy("d", "th")
-                .agg(F.sort_array(F.collect_set("l")).alias("gone")), "line-gone", lines, same, crowded, quick, near)
+    return step(equal.unionByName(found).groupBy("d", "th").agg(F.sort_array(F.collect_set("l")).alias("gone")), "line-gone",
+                lines, same, crowded, quick, sets, pairs, best, near, left, late)
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:

@@ -158,6 +158,29 @@ def test_line_dedup_verifies_near_lines_only(spark, monkeypatch):
     assert (0, 2000) in met and not any(b < 1000 for _, b in met)
 
 
+def test_line_dedup_ships_few_word_sets(spark, monkeypatch):
+    # a crowded word in unrelated lines, long unrelated lines on one rare word, a group of near copies
+    rows = [(i, " ".join(["crowd"] + [f"c{i}x{j}" for j in range(9)])) for i in range(20)]
+    rows += [(100 + i, " ".join(["rare"] + [f"l{i}x{j}" for j in range(149)])) for i in range(2)]
+    rows += [(200 + i, " ".join([f"g{j}" for j in range(18)] + [f"own{i}"])) for i in range(8)]
+    # rows of one doc_id: only one of them has an earlier near line
+    rows += [(200, "a b c d e f"), (200, " ".join(f"g{j}" for j in range(20)))]
+    monkeypatch.setattr(line_dedup, "LOOK_AT", 1)
+    stored = {}
+
+    def keep(df, name, *used, real=line_dedup.step):
+        out = real(df, name, *used)
+        if name in ("line-star", "line-pairs", "line-best"):
+            stored[name] = [(r["ad"], r["bd"]) for r in out.collect()]
+        return out
+
+    monkeypatch.setattr(line_dedup, "step", keep)
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert not any(b < 200 for name in stored for _, b in stored[name])
+    assert len(set(stored["line-best"])) == len(stored["line-best"])
+    assert {r["doc_id"] for r in got if r["n_removed"]} == {201 + i for i in range(7)}
+
+
 def test_top_k_with_ties_bad_vectors_and_huge_values(spark):
     r = np.random.default_rng(4)
     rows = [(i, r.normal(size=4).tolist()) for i in range(60)] + [(i, [0.5, 0.25, 0.0, 1.0]) for i in range(60, 90)]
