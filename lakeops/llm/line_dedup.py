@@ -59,11 +59,13 @@ def step(df: DataFrame, name: str, *used: DataFrame) -> DataFrame:
     return out
 
 
-def pieces(text: Column) -> Column:
-    """Runs of characters other than ASCII white space, and empty strings."""
-    for c in "\t\n\x0b\x0c\r":
-        text = F.replace(text, F.lit(c), F.lit(" "))
-    return F.split(text, " ")
+def pieces(line: Column) -> Column:
+    """Of a text without line feeds: runs of characters other than ASCII white space,
+    and empty strings.  Most lines have spaces only, which a few scans tell."""
+    spaces, other = line, F.lit(False)
+    for c in "\t\x0b\x0c\r":
+        spaces, other = F.replace(spaces, F.lit(c), F.lit(" ")), other | line.contains(c)
+    return F.when(other, F.split(spaces, " ")).otherwise(F.split(line, " "))
 
 
 def hashes(line: Column) -> Column:
@@ -84,7 +86,8 @@ def bucket(word: Column) -> Column:
 def rarity(docs: DataFrame) -> Column:
     """The class of rarity of every bucket of words: an array constant of
     BUCKETS small numbers, whatever the corpus."""
-    n = (docs.select(F.explode(pieces(F.col("text"))).alias("w")).filter("w <> ''")
+    n = (docs.select(F.explode(F.split("text", "\n")).alias("line"))
+         .select(F.explode(pieces(F.col("line"))).alias("w")).filter("w <> ''")
          .groupBy(bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n")))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").alias("b"), F.lit(0).cast("long").alias("n"))
     level = F.least(F.floor(F.log2(F.col("n") + 1) * 8), F.lit((1 << CLASS_BITS) - 1)).cast("int")
@@ -94,27 +97,28 @@ def rarity(docs: DataFrame) -> Column:
 
 
 def keys(line: Column, classes: Column) -> Column:
-    """The line's distinct words as sorted numbers: class of rarity, then hash."""
-    return F.sort_array(F.transform(hashes(line), lambda h: F.shiftleft(
-        F.get(classes, bucket(h).cast("int")), HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))))
+    """The line's distinct words as sorted numbers: class of rarity, then hash.
+    (Arrays without nulls are sorted much faster.)"""
+    level = lambda h: F.coalesce(F.get(classes, bucket(h).cast("int")), F.lit(0).cast("long"))
+    return F.sort_array(F.transform(hashes(line), lambda h: F.shiftleft(level(h), HASH_BITS)
+                                    .bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
     """(d, th, l, line): every line of every text; d and th tell the document."""
-    return docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("th"),
-                       F.posexplode(F.split("text", "\n")).alias("l", "line"))
+    return (docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("th"), "text")
+            .select("d", "th", F.posexplode(F.split("text", "\n")).alias("l", "line")))
 
 
-def parities(words: Column, of: Callable[[Column], Column] = lambda w: F.lit(1).cast("long")) -> Column:
-    """For each of 64 bits, whether an odd number of the line's words falls on it.
-    Words for which ``of`` gives 0 do not count."""
-    bit = lambda w: F.call_function("shiftleft", of(w), w.bitwiseAND(F.lit(63)).cast("int"))
+def parities(words: Column) -> Column:
+    """For each of 64 bits, whether an odd number of the words falls on it."""
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
     return F.aggregate(words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(bit(w)))
 
 
-def upper(word: Column) -> Column:
-    """1 for words on the upper 64 of 128 bits, else 0."""
-    return F.shiftright(word, 6).bitwiseAND(F.lit(1).cast("long"))
+def upper(words: Column) -> Column:
+    """The words on the upper 64 of 128 bits."""
+    return F.filter(words, lambda w: w.bitwiseAND(F.lit(64)) != 0)
 
 
 def place(*names: str) -> Column:
@@ -176,28 +180,31 @@ def meetings(earlier: DataFrame, later: DataFrame, percent: int) -> DataFrame:
                        F.col("i").alias("ai"), F.col("p").alias("ap"), F.col("q").alias("aq"))
     b = later.select(F.col("w").alias("bw"), F.col("d").alias("bd"), F.col("l").alias("bl"), F.col("n").alias("bn"),
                      F.col("i").alias("bi"), F.col("p").alias("bp"), F.col("q").alias("bq"))
-    common = F.least("ai", "bi") + F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi"))      # at most
+    # at most so many words are common, if this is the first one; others of the pair need not pass
+    common = F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi"))
     differ = differing(*map(F.col, ("an", "ap", "aq", "bn", "bp", "bq")))
-    return a.join(b, (F.col("aw") == F.col("bw")) & before(*map(F.col, ("ad", "al", "bd", "bl")))
-                  & alike(differ, F.col("an"), F.col("bn"), percent)
-                  & (common * (100 + percent) >= (F.col("an") + F.col("bn")) * percent)).select("ad", "al", "bd", "bl", differ.alias("differ"))
+    return a.join(b, (F.col("aw") == F.col("bw")) & (common * (100 + percent) >= (F.col("an") + F.col("bn")) * percent)
+                  & before(*map(F.col, ("ad", "al", "bd", "bl"))) & alike(differ, F.col("an"), F.col("bn"), percent)).select("ad", "al", "bd", "bl", differ.alias("differ"))
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """(d, th, gone): the numbers of the lines to remove, for each document that has any."""
     docs = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
-    # by a generator, over which the filter on n isn't pushed: that would compute the keys twice
-    lines = (numbered(docs).select("d", "th", "l", F.explode(F.array(keys(F.col("line"), rarity(docs)))).alias("k"))
-             .withColumn("n", F.size("k")).filter(F.col("n") >= min_words)
-             .select("d", "th", "l", "n", F.xxhash64("k").alias("h"), F.hash("k").alias("h2"), parities(F.col("k")).alias("p"),
-                     F.when(F.col("n") >= LONG, parities(F.col("k"), upper)).otherwise(F.lit(0).cast("long")).alias("q"),
-                     F.slice("k", F.lit(1), F.col("n") - need(F.col("n"), percent) + 1).alias("prefix")))
-    lines = step(lines, "line-sets")
+    # so many words take so many characters; the filter on n comes after the step, as it would
+    # be pushed below and compute the keys twice
+    lines = (numbered(docs).filter(F.length("line") >= 2 * min_words - 1).select("d", "th", "l", keys(F.col("line"), rarity(docs)).alias("k"))
+             .select("d", "th", "l", F.size("k").alias("n"), F.xxhash64("k").alias("h"), F.hash("k").alias("h2"),
+                     parities(F.col("k")).alias("p"),
+                     F.when(F.size("k") >= LONG, parities(upper(F.col("k")))).otherwise(F.lit(0).cast("long")).alias("q"),
+                     F.slice("k", F.lit(1), F.size("k") - need(F.size("k"), percent) + 1).alias("prefix")))
+    stored_lines = step(lines, "line-sets")
+    lines = stored_lines.filter(F.col("n") >= min_words)
 
     # equal sets: the earliest stands for them
-    same = step(lines.groupBy("h", "h2", "n").agg(F.min(place("d", "l")).alias("first"), F.count("*").alias("c"))
-                  .filter("c > 1").select(F.col("h").alias("_h"), F.col("h2").alias("_h2"), F.col("n").alias("_n"),
-                                          "first"), "line-same")
+    many = step(lines.groupBy("h", "h2", "n").agg(F.count("*").alias("c")).filter("c > 1").select("h", "h2", "n"), "line-many")
+    same = step(lines.select("h", "h2", "n", "d", "l").join(side(many), ["h", "h2", "n"], "left_semi")
+                .groupBy(F.col("h").alias("_h"), F.col("h2").alias("_h2"), F.col("n").alias("_n"))
+                .agg(F.min(place("d", "l")).alias("first")), "line-same", many)
     marked = lines.join(side(same), (F.col("h") == F.col("_h")) & (F.col("h2") == F.col("_h2"))
                         & (F.col("n") == F.col("_n")), "left")
     equal = marked.filter(place("d", "l") > F.col("first")).select("d", "th", "l")
@@ -232,7 +239,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
     found = quick.unionByName(near).unionByName(late).filter("near").select("d", "th", "l")
     # lines equal to one that goes are later than it, and go as equal lines
     return step(equal.unionByName(found).groupBy("d", "th").agg(F.sort_array(F.collect_set("l")).alias("gone")), "line-gone",
-                lines, same, crowded, quick, sets, pairs, best, near, left, late)
+                stored_lines, same, crowded, quick, sets, pairs, best, near, left, late)
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -269,8 +276,7 @@ def line_dedup(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WOR
     rows, mark = joined(docs.select("doc_id", "text"), percent, min_words)
     gone = F.coalesce(mark, F.array().cast("array<int>"))
     return rows.select(
-        "doc_id", F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))
-        .cast("long").alias("n_lines"),
+        "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_removed"), gone.alias("removed"),
         F.when(F.col(mark).isNull(), F.col("text")).otherwise(without(F.col("text"), gone)).alias("text"))
 
