@@ -39,9 +39,12 @@ def train_classify(spark, sf_dir):
 @query("score_batch")
 def score_batch(spark, sf_dir):
     """Models fitted on the rows before ``PICK_FROM``, the best picked on those from there
-    to the cutoff, and the rows after the cutoff, which neither saw, scored."""
+    to the cutoff, and the rows after the cutoff, which neither saw, scored.  If no row lies
+    before ``PICK_FROM``, the best is picked on the rows that the models are fitted on."""
     known, test = _travel_training(spark, sf_dir)
     train, valid = time_split(known, PICK_FROM)
+    if train.isEmpty():
+        train = valid = known
     trials, fitted = models.search(train, valid, TRAVEL_FEATURES, "purchased", "classification")
     failed = [r["model"] for r in trials.filter("status <> 'FINISHED'").collect()]
     if failed:
