@@ -51,9 +51,7 @@ def list_files(spark, sf_dir):
 
 @query("binary_files")
 def binary_files(spark, sf_dir):
-    b = files.read_binary_files(spark, sf_dir, glob="*.parquet")
-    return b.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length",
-                    F.sha2(F.col("content"), 256).alias("sha256"))
+    return files.file_digests(spark, sf_dir, glob="*.parquet")
 
 
 @query("csv_headerless", """

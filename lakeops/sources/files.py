@@ -8,15 +8,18 @@ listing itself runs on the cluster for large directories).
 
 from __future__ import annotations
 
+import hashlib
 import io
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 # Extension -> reader format for schema-inferred previews.
+WHOLE = (1 << 31) - 1           # bytes: the longest value that a row can hold
 FORMAT_BY_EXTENSION = {
     ".parquet": "parquet", ".csv": "csv", ".json": "json", ".jsonl": "json",
     ".orc": "orc", ".txt": "text", ".avro": "avro",
@@ -77,6 +80,60 @@ def read_binary_files(spark: SparkSession, path: str, glob: str | None = None) -
     return reader.load(path)
 
 
+def file_digests(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(file_name, length, sha256) of every file.  Files too long for a value of a row
+    are read in pieces."""
+    name = F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name")
+    out = (read_binary_files(spark, path, glob).filter(F.col("length") <= WHOLE)
+           .select(name, "length", F.sha2("content", 256).alias("sha256")))
+    large = [r.path for r in list_files(spark, path, glob).filter(F.col("length") > WHOLE).select("path").collect()]
+    return out.unionByName(digests_of_pieces(spark, large)) if large else out
+
+
+def digests_of_pieces(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file_name, length, sha256) of uncompressed files, read by many tasks as the runs
+    of bytes between line feeds.  SHA-256 is a chain over the bytes in order, so one task
+    then takes all pieces of a file, sorted; it holds one batch of them at a time."""
+    pieces = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("length"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("i"), F.col("value").cast("binary").alias("piece"))
+
+    def digests(batches):
+        mark = b"\xef\xbb\xbf"       # the reader leaves it out at the start of a file, and the last line feed
+        file, seen, plain, marked = None, 0, None, None
+
+        def ended():
+            left = file[2] - seen
+            if left not in (0, 1, 3, 4):
+                raise ValueError(f"{file[1]}: {seen} of {file[2]} bytes read")
+            digest = marked if left >= 3 else plain
+            digest.update(b"\n" * (left % 3))
+            return pa.RecordBatch.from_arrays([pa.array([file[0]]), pa.array([file[2]], pa.int64()), pa.array([digest.hexdigest()])],
+                                              ["file_name", "length", "sha256"])
+
+        for batch in batches:
+            at, rows = 0, batch.num_rows
+            paths, lines = batch.column("path").to_pylist(), batch.column("piece").to_pylist()
+            while at < rows:
+                if file is None or paths[at] != file[1]:
+                    if file:
+                        yield ended()
+                    file = (batch.column("file_name")[at].as_py(), paths[at], batch.column("length")[at].as_py())
+                    seen, plain, marked, first = 0, hashlib.sha256(), hashlib.sha256(mark), b""
+                to = next((k for k in range(at, rows) if paths[k] != file[1]), rows)
+                run = first + b"\n".join(lines[at:to])
+                plain.update(run)
+                marked.update(run)
+                seen, first, at = seen + len(run), b"\n", to
+        if file:
+            yield ended()
+
+    return (pieces.repartition("path").sortWithinPartitions("path", "start", "i")
+            .select("file_name", "path", "length", "piece")
+            .mapInArrow(digests, "file_name string, length long, sha256 string"))
+
+
 def read_csv_files_by_header(spark: SparkSession, paths: list[str], null_value: str = "nan",
                              year_pattern: str | None = None, year_offset: int = 0) -> DataFrame:
     """Many CSV files whose headers differ, combined by column name.
