@@ -96,14 +96,27 @@ def rarity(docs: DataFrame) -> Column:
     return F.split(F.lit(row.first()[0]), ",").cast("array<long>")
 
 
-def keys(line: Column, classes: Column) -> Column:
-    """The line's distinct words as sorted numbers: class of rarity, then hash.
+def ordered(words: Column, classes: Column) -> Column:
+    """Distinct hashes as sorted numbers: class of rarity, then hash.
     (Arrays without nulls are sorted much faster.)"""
     level = lambda h: F.coalesce(F.get(classes, bucket(h).cast("int")), F.lit(0).cast("long"))
-    return F.sort_array(F.transform(hashes(line), lambda h: F.shiftleft(level(h), HASH_BITS)
+    return F.sort_array(F.transform(words, lambda h: F.shiftleft(level(h), HASH_BITS)
                                     .bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))))
 
 
+def keys(line: Column, classes: Column) -> Column:
+    """The line's distinct words, ``ordered``."""
+    return ordered(hashes(line), classes)
+
+
+def keyed(lines: DataFrame, classes: Column) -> DataFrame:
+    """(d, th, l, n, k): the number and the keys of each line's words.  The hashes are a
+    column of their own, used twice, so that Spark makes them distinct in compiled code;
+    as the argument of a lambda function they would be interpreted over objects."""
+    return (lines.select("d", "th", "l", hashes(F.col("line")).alias("s"))
+            .select("d", "th", "l", F.size("s").alias("n"), ordered(F.col("s"), classes).alias("k")))
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """(d, th, l, line): every line of every text; d and th tell the document."""
     return (docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("th"), "text")
@@ -147,11 +160,13 @@ def similar(sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataF
     pairs reaches the threshold."""
     x = sets.select(F.col("d").alias("xd"), F.col("l").alias("xl"), F.col("s").alias("xs"))
     y = sets.select(F.col("d").alias("yd"), F.col("l").alias("yl"), F.col("th").alias("yt"), F.col("s").alias("ys"))
-    near = once(F.size(F.array_intersect("xs", "ys")), lambda both: both * 100 >= (F.size("xs") + F.size("ys") - both) * percent)
-    return step(pairs.join(x, F.col("ad").eqNullSafe(F.col("xd")) & (F.col("al") == F.col("xl")))
-                .join(y, F.col("bd").eqNullSafe(F.col("yd")) & (F.col("bl") == F.col("yl")))
-                .select(F.col("bd").alias("d"), F.col("yt").alias("th"), F.col("bl").alias("l"), near.alias("near"))
-                .groupBy("d", "th", "l").agg(F.max("near").alias("near")), name)
+    # a column of its own: as the argument of a lambda function it would be interpreted
+    both = (pairs.join(x, F.col("ad").eqNullSafe(F.col("xd")) & (F.col("al") == F.col("xl")))
+            .join(y, F.col("bd").eqNullSafe(F.col("yd")) & (F.col("bl") == F.col("yl")))
+            .select(F.col("bd").alias("d"), F.col("yt").alias("th"), F.col("bl").alias("l"),
+                    (F.size("xs") + F.size("ys")).alias("sizes"), F.size(F.array_intersect("xs", "ys")).alias("both")))
+    near = F.col("both") * 100 >= (F.col("sizes") - F.col("both")) * percent
+    return step(both.groupBy("d", "th", "l").agg(F.max(near).alias("near")), name)
 
 
 def settled(checked: DataFrame) -> DataFrame:
@@ -192,11 +207,11 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
     docs = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
     # so many words take so many characters; the filter on n comes after the step, as it would
     # be pushed below and compute the keys twice
-    lines = (numbered(docs).filter(F.length("line") >= 2 * min_words - 1).select("d", "th", "l", keys(F.col("line"), rarity(docs)).alias("k"))
-             .select("d", "th", "l", F.size("k").alias("n"), F.xxhash64("k").alias("h"), F.hash("k").alias("h2"),
+    lines = (keyed(numbered(docs).filter(F.length("line") >= 2 * min_words - 1), rarity(docs))
+             .select("d", "th", "l", "n", F.xxhash64("k").alias("h"), F.hash("k").alias("h2"),
                      parities(F.col("k")).alias("p"),
-                     F.when(F.size("k") >= LONG, parities(upper(F.col("k")))).otherwise(F.lit(0).cast("long")).alias("q"),
-                     F.slice("k", F.lit(1), F.size("k") - need(F.size("k"), percent) + 1).alias("prefix")))
+                     F.when(F.col("n") >= LONG, parities(upper(F.col("k")))).otherwise(F.lit(0).cast("long")).alias("q"),
+                     F.slice("k", F.lit(1), F.col("n") - need(F.col("n"), percent) + 1).alias("prefix")))
     stored_lines = step(lines, "line-sets")
     lines = stored_lines.filter(F.col("n") >= min_words)
 

@@ -37,6 +37,18 @@ def test_keys_hold_no_nulls(spark):
     assert len(keys.first().k) == 3
 
 
+def test_words_are_made_distinct_outside_lambda_functions(spark):
+    """As the argument of one they are interpreted over objects."""
+    lines = spark.createDataFrame([(1, 2, 3, "a b a  c"), (1, 2, 4, "")], "d long, th long, l int, line string")
+    docs = lines.select(F.col("line").alias("text"))
+    rows = line_dedup.keyed(lines, line_dedup.rarity(docs))
+    want = lines.select("l", line_dedup.keys(F.col("line"), line_dedup.rarity(docs)).alias("k")).collect()
+    assert {(r.l, r.n, tuple(r.k)) for r in rows.collect()} == {(r.l, len(r.k), tuple(r.k)) for r in want}
+    nodes = rows._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not any("array_distinct" in node and "sort_array" in node for node in nodes)
+    assert any("array_distinct" in node for node in nodes)
+
+
 def test_any_white_space_parts_words(spark):
     spaces = [" ", "\t", "\x0b", "\x0c", "\r", " \t ", "\r\x0b"]
     words = "one two three four five six"
